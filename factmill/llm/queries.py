@@ -2,8 +2,32 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, sharding
-from .common import read
+import uuid
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from . import bpe, decontam, exact_dedup, line_dedup, sharding, simhash, token_counts
+from .common import read, shared_dir
+
+
+def op3_simhash(spark, sf_dir):
+    found = simhash.near_groups(read(spark, sf_dir, "documents"), width=3, radius=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op4_decontamination(spark, sf_dir):
+    return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_token_counts(spark, sf_dir):
+    """With a cache of its own, so that each run encodes all distinct texts."""
+    cache = f"{shared_dir(spark)}/token_counts/{uuid.uuid4().hex}"
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), cache)
+
+
+def op6_bpe(spark, sf_dir):
+    return bpe.encode(read(spark, sf_dir, "documents"), keep_ids=False)
 
 
 def op7_sharding(spark, sf_dir):
