@@ -7,10 +7,18 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, line_dedup, sharding, simhash, token_counts
+from . import bpe, decontam, exact_dedup, html_extract, line_dedup, lm_score, quality, sharding, simhash, token_counts
 from .common import read, shared_dir
 
 
+def op1_html_extract(spark, sf_dir):
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
+def op2_lm_score(spark, sf_dir):
+    return lm_score.score(read(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark, sf_dir):
     found = simhash.near_groups(read(spark, sf_dir, "documents"), width=3, radius=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -38,6 +46,12 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.classify(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op10_line_dedup(spark, sf_dir):
     return line_dedup.drop_repeated_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "lines_in", "lines_removed")
 
