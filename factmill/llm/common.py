@@ -7,6 +7,7 @@ import zlib
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,22 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
         yield batch.slice(start)
 
 
+def row_key(doc_id, text: bytes) -> bytes:
+    """Names a row: rows that agree in id and text are one document."""
+    return xxhash.xxh3_128_digest(b"%d\n" % doc_id + text if doc_id is not None else b"-\n" + text)
+
+
+def with_row_keys(names: list[str], text_at: int, id_at: int):
+    """For mapInArrow: the batch with a last column __row_key."""
+
+    def run(batches):
+        for batch in batches:
+            keys = [row_key(d, b) for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*names, "__row_key"])
+
+    return run
+
+
 def crc_of_id(doc_id) -> int:
     """CRC-32 of an id written as text (null: of the empty text)."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())

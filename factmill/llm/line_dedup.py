@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, broadcast_if_small, cut, slices
+from .common import as_bytes, broadcast_if_small, cut, row_key, slices, with_row_keys
 
 LINES = 3
 
@@ -22,11 +22,6 @@ def window_digests(text: bytes, lines: int = LINES) -> list[bytes]:
     return out
 
 
-def row_key(doc_id, text: bytes) -> bytes:
-    """Names a row: rows that agree in id and text are one document."""
-    return xxhash.xxh3_128_digest(b"%d\n" % doc_id + text if doc_id is not None else b"-\n" + text)
-
-
 def _windows(lines: int):
     def run(batches):
         for batch in batches:
@@ -40,15 +35,6 @@ def _windows(lines: int):
     return run
 
 
-def _with_keys(names: list[str], text_at: int, id_at: int):
-    def run(batches):
-        for batch in batches:
-            keys = [row_key(d, b) for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*names, "__row_key"])
-
-    return run
-
-
 def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES) -> DataFrame:
     """(key, starts): for each document the first lines of the windows that occurred before, in (doc_id, line) order."""
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -74,7 +60,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     starts = cut(later_lines(docs, id_col, text_col, lines))
     names = docs.columns
     schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
-    keyed = docs.mapInArrow(_with_keys(names, names.index(text_col), names.index(id_col)), schema)
+    keyed = docs.mapInArrow(with_row_keys(names, names.index(text_col), names.index(id_col)), schema)
     found = broadcast_if_small(starts.select(F.col("key").alias("__row_key"), F.col("starts").alias("__starts")), 120)
     rows = F.split(F.col(text_col), "\n", -1)
     numbered = F.transform(rows, lambda x, i: F.struct(i.alias("i"), x.alias("x")))

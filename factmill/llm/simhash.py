@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, slices
+from .common import as_bytes, broadcast_if_small, cut, row_key, slices, with_row_keys
 from .components import components
 
 SEED = 42
@@ -143,3 +143,78 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = homes.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("component_size"))
     homes = homes.select("fp", "root").join(named, "root").select("fp", "component_id", "component_size")
     return marked.join(homes, "fp").select("doc_id", "fp", "component_id", "component_size")
+
+
+def _row_marks(width: int, text_at: int, id_at: int):
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at))):
+                ws = words(b)
+                rows.append((row_key(d, b), d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint(shingle_hashes(ws, width))))
+            keys, ids, nodes, fps = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64))], ["key", "doc_id", "node", "fp"])
+
+    return run
+
+
+def _first_texts(batches):
+    seen = set()  # of this task
+    for batch in batches:
+        for part in slices(batch, "text"):
+            out = {}
+            for b in as_bytes(part.column("text")):
+                plain = b" ".join(words(b))
+                node = xxhash.xxh3_128_digest(plain)
+                if node not in seen:
+                    seen.add(node)
+                    out[node] = plain
+            yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.binary()), pa.array(out.values(), pa.binary())], ["node", "plain"])
+
+
+def _shingle_sets(width: int):
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "plain"):
+                sets = [np.unique(shingle_hashes(b.split(), width)).view(np.int64) for b in as_bytes(part.column("plain"))]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return run
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs less its near copies: of each group, the row with the smallest doc_id stays.
+
+    Texts with the same words are one. Others are candidates if their fingerprints over shingles of
+    width words differ in at most radius bits, and linked if their shingle sets have a Jaccard
+    similarity of at least similarity; texts of one fingerprint are compared with the first of them.
+    Groups are what links connect. Null counts as empty, null ids come after all others, and rows
+    that repeat whole are one document. All columns pass through, whatever their names.
+    """
+    names = docs.columns
+    text_at, id_at = names.index(text_col), names.index(id_col)
+    marks = cut(docs.mapInArrow(_row_marks(width, text_at, id_at), "key binary, doc_id bigint, node binary, fp bigint"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
+    nodes = cut(marks.groupBy("node").agg(F.min("fp").alias("fp"), F.min(order).alias("least")))
+    heads = cut(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    groups, bits = plan_grid(heads.count(), radius)
+    near = links(heads.select("fp"), radius, groups, bits)
+    a, b = heads.select(F.col("fp").alias("u"), F.col("head").alias("a")), heads.select(F.col("fp").alias("v"), F.col("head").alias("b"))
+    same = nodes.join(heads, "fp").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    pairs = cut(near.join(a, "u").join(b, "v").select("a", "b").unionByName(same))
+    wanted = cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(_first_texts, "node binary, plain binary").join(broadcast_if_small(wanted, 40), "node", "left_semi")
+    sets = cut(texts.mapInArrow(_shingle_sets(width), "node binary, shingles array<bigint>").dropDuplicates(["node"]))
+    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    alike = pairs.join(x, "a").join(y, "b").where(common >= similarity * (F.size("x") + F.size("y") - common))
+    roots = components(alike.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    homes = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    stays = homes.groupBy("root").agg(F.min("least").alias("stays"))
+    gone = cut(marks.join(homes.join(stays, "root").select("node", "stays.key").withColumnRenamed("key", "stays"), "node").where("key <> stays").select(F.col("key").alias("__row_key")).distinct())
+    schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
+    keyed = docs.mapInArrow(with_row_keys(names, text_at, id_at), schema)
+    left = keyed.join(broadcast_if_small(gone, 40), "__row_key", "left_anti")
+    if not marks.groupBy("key").count().where("count > 1").isEmpty():
+        left = left.dropDuplicates(["__row_key"])
+    return left.select(*[F.col(f"`{c}`") for c in names])
