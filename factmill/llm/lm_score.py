@@ -13,7 +13,8 @@ common start, the results are averaged by weight, and this is repeated.
 
 from __future__ import annotations
 
-import zlib
+import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from .common import as_bytes, crc_of_id, cut, slices
 
 #: Words with a class of their own, and words whose counts travel with the tasks; all others are looked up by a join.
 OWN_CLASSES, FREQUENT = 1000, 200_000
-DIM, NOISE, BATCH = 16, 48, 4096
+DIM, NOISE, BATCH = 16, 64, 1024
 END = b"\n"  # no word holds white space
 LETTERS, ENDINGS, LENGTHS = 4, 4, 3
 SHAPES = LETTERS * ENDINGS * LENGTHS + 1
@@ -62,18 +63,17 @@ def held_out(doc_id) -> bool:
 
 
 def _count(batches):
-    held: dict[bytes, int] = {}
+    held: Counter[bytes] = Counter()
     texts = 0
     for batch in batches:
         for part in slices(batch, "text"):
             for d, b in zip(part.column("doc_id").to_pylist(), as_bytes(part.column("text"))):
                 if not held_out(d):
                     texts += 1
-                    for w in words(b):
-                        held[w] = held.get(w, 0) + 1
+                    held.update(words(b))
             if len(held) > 400_000:
                 yield _counted(held, 0)
-                held = {}
+                held = Counter()
     yield _counted(held, texts)
 
 
@@ -99,28 +99,55 @@ class Vocabulary:
         self.mass = np.array([mass.get(s, 0.0) + 0.5 for s in range(SHAPES)])  # with an unseen word each
         weights = np.concatenate([[c + 0.5 for _, c in own], self.mass])
         self.unigram = (weights / weights.sum()).astype(np.float64)
-        self.classes: dict[bytes, int] = {}
-
-    def class_of(self, word: bytes) -> int:
-        c = self.classes.get(word)
-        if c is None:
-            c = self.own.get(name(word))
-            if c is None:
-                c = self.n_own + shape(word)
-            if len(self.classes) > 300_000:
-                self.classes.clear()
-            self.classes[word] = c
-        return c
+        self.classes = _Classes(self)
+        self.notes = _Notes(self)
 
     def sequence(self, text: bytes) -> tuple[list[bytes], list[int]]:
+        """Words and classes of a text, the end included in the latter."""
         ws = words(text)
-        known = self.classes
-        ids = [known[w] if w in known else self.class_of(w) for w in ws]
-        ids.append(self.class_of(END))
+        ids = list(map(self.classes.__getitem__, ws))
+        ids.append(self.own[END])
         return ws, ids
 
     def __getstate__(self):
-        return self.__dict__ | {"classes": {}}
+        return self.__dict__ | {"classes": None, "notes": None}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state
+        self.classes, self.notes = _Classes(self), _Notes(self)
+
+
+class _Classes(dict):
+    """The class of each word that a worker has met; emptied when full."""
+
+    def __init__(self, v: Vocabulary):
+        self.v = v
+
+    def __missing__(self, word: bytes) -> int:
+        c = self.v.own.get(word if len(word) <= 16 else name(word))
+        if c is None:
+            c = self.v.n_own + shape(word)
+        if len(self) > 400_000:
+            self.clear()
+        self[word] = c
+        return c
+
+
+class _Notes(dict):
+    """For a frequent word (log10 of its base probability, log10 of its share of its class); None for a rare one."""
+
+    def __init__(self, v: Vocabulary):
+        self.v = v
+
+    def __missing__(self, word: bytes):
+        v = self.v
+        key = word if len(word) <= 16 else name(word)
+        c = v.frequent.get(key)
+        note = None
+        if c is not None:
+            note = (math.log10((c + 0.5) / v.base), 0.0 if key in v.own else math.log10((c + 0.5) / v.mass[v.classes[word] - v.n_own]))
+            self[word] = note  # at most as many as there are frequent words
+        return note
 
 
 class LogBilinear:
@@ -228,7 +255,7 @@ def _training(vocabulary, start: np.ndarray, rate: float):
                     _, ids = v.sequence(b)
                     held.append(ids)
                     n += len(ids)
-                    if n >= 16 * BATCH:
+                    if n >= 64 * BATCH:
                         total += _steps(trainer, held, v.size)
                         held, n = [], 0
         total += _steps(trainer, held, v.size)
@@ -264,7 +291,7 @@ def _train(docs: DataFrame, vocabulary, rounds: int) -> np.ndarray:
     v = vocabulary.value
     params = LogBilinear(v.size, v.unigram).vector()
     for k in range(rounds):
-        each = docs.mapInArrow(_training(vocabulary, params, 0.1 / (k + 1)), "n bigint, v binary")
+        each = docs.mapInArrow(_training(vocabulary, params, 0.05 / (k + 1)), "n bigint, v binary")
         width = max(1, round(each.rdd.getNumPartitions() ** 0.5))  # averages of averages: no task takes all
         mean = each.repartition(width).mapInArrow(_average, "n bigint, v binary").repartition(1).mapInArrow(_average, "n bigint, v binary").collect()
         if mean:
@@ -287,7 +314,7 @@ def learn(docs: DataFrame, own_classes: int = OWN_CLASSES, frequent: int = FREQU
     rows.sort(key=lambda r: (-r[2], r[0]))
     own = [(w, c) for w, _, c in rows[:own_classes]]
     if all(w != END for w, _ in own):
-        own.append((END, next((c for w, _, c in rows if w == END), 0)))
+        own.append((END, next((c for w, _, c in rows if w == END), 0)))  # always has a class of its own
     mine = {w for w, _ in own}
     mass = {r["shape"]: r.m for r in counts.groupBy("shape").agg((F.sum("c") + 0.5 * F.count("*")).alias("m")).collect()}
     for w, s, c in rows:
@@ -296,52 +323,50 @@ def learn(docs: DataFrame, own_classes: int = OWN_CLASSES, frequent: int = FREQU
     return counts, Vocabulary(own, {w: c for w, _, c in rows}, mass, total, distinct)
 
 
+_SCORED = ["uid", "doc_id", "w", "shape", "k", "known", "base", "model"]
+
+
 def _scoring(vocabulary, params: np.ndarray):
     """For each document one row of what the task knows and a row for each rare word."""
 
     def run(batches):
         v = vocabulary.value
         model = LogBilinear(v.size, v.unigram).load(params)
-        own, frequent, base = v.own, v.frequent, v.base
+        notes = v.notes
+        end = notes[END] or (math.log10(0.5 / v.base), 0.0)
         index = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 ids = part.column("doc_id").to_pylist()
                 read = [v.sequence(b) for b in as_bytes(part.column("text"))]
                 if not read:
                     continue
-                one, two, target = _contexts([s for _, s in read], v.size)
-                logs = model.log_probabilities(one, two, target).astype(np.float64)
-                ends = np.cumsum([len(s) for _, s in read])
-                model_sum = np.diff(np.concatenate([[0.0], np.cumsum(logs)])[np.concatenate([[0], ends])]) / np.log(10)
-                out: list[tuple] = []
-                for d, (ws, _), extra in zip(ids, read, model_sum):
-                    count: dict[bytes, int] = {}
-                    for w in ws:
-                        count[w] = count.get(w, 0) + 1
-                    count[END] = 1
-                    known, mass, within, shares, rare = 0, [], [], [], []
-                    for w, k in count.items():
-                        key = w if len(w) <= 16 else name(w)
-                        c = frequent.get(key)
-                        if c is None:
-                            rare.append((key, shape(w), k))
-                            continue
-                        known += k
-                        mass.append(c + 0.5)
-                        within.append(k)
-                        if key not in own:
-                            shares.append((k, (c + 0.5) / v.mass[v.class_of(w) - v.n_own]))
-                    base_sum = float(np.log10(np.array(mass) / base) @ np.array(within)) if mass else 0.0
-                    if shares:
-                        s = np.array(shares)
-                        extra += float(np.log10(s[:, 1]) @ s[:, 0])
-                    out.append((index, d, b" %d" % index, None, len(ws) + 1, known, base_sum, float(extra)))
-                    out.extend((index, d, key, s, k, None, None, None) for key, s, k in rare)
-                    index += 1
-                cols = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["uid", "doc_id", "w", "shape", "k", "known", "base", "model"])
+                logs = model.log_probabilities(*_contexts([s for _, s in read], v.size)).astype(np.float64)
+                ends = np.cumsum([0, *(len(s) for _, s in read)])
+                sums = (np.diff(np.concatenate([[0.0], np.cumsum(logs)])[ends]) / math.log(10)).tolist()
+                tokens = np.diff(ends)
+                known, base, rare, times, owner = [], [], [], [], []
+                for i, (ws, _) in enumerate(read):
+                    n, low = 1 if END in v.frequent else 0, end[0]
+                    for w, k in Counter(ws).items():
+                        note = notes[w]
+                        if note is None:
+                            rare.append(w)
+                            times.append(k)
+                            owner.append(i)
+                        else:
+                            n += k
+                            low += k * note[0]
+                            sums[i] += k * note[1]
+                    known.append(n)
+                    base.append(low)
+                uid = np.arange(index, index + len(read))
+                index += len(read)
+                main = [pa.array(uid), part.column("doc_id"), pa.array([b" %d" % u for u in uid.tolist()], pa.binary()), pa.nulls(len(uid), pa.int32()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(sums, pa.float64())]
+                yield pa.RecordBatch.from_arrays(main, _SCORED)
+                at, n = pa.array(owner, pa.int64()), len(rare)
+                less = [main[0].take(at), main[1].take(at), pa.array([w if len(w) <= 16 else name(w) for w in rare], pa.binary()), pa.array(map(shape, rare), pa.int32()), pa.array(times, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())]
+                yield pa.RecordBatch.from_arrays(less, _SCORED)
 
     return run
 
