@@ -32,7 +32,9 @@ END = b"\n"  # no word holds white space
 LETTERS, ENDINGS, LENGTHS = 4, 4, 3
 SHAPES = LETTERS * ENDINGS * LENGTHS + 1
 
-_KINDS = [frozenset("áíñóú"), frozenset("àâçèéêëîïôùûœ"), frozenset("äöüß")]
+#: By the second byte of a word's first accented Latin letter; everything else that isn't ASCII is of kind 1.
+_KIND = {c.encode()[1]: kind for kind, letters in ((1, "àâçèéêëîïôù"), (2, "áíñóú"), (3, "äöüß")) for c in letters}
+_ENDING = {ord("."): 1, ord(","): 2}
 
 
 def words(text: bytes) -> list[bytes]:
@@ -46,16 +48,14 @@ def name(word: bytes) -> bytes:
 
 def shape(word: bytes) -> int:
     """The shared class of a word, from 0 to SHAPES - 1."""
-    if len(word) > 16:
+    n = len(word)
+    if n > 16:
         return SHAPES - 1
-    kind = 0
-    if not word.isascii():
-        letters = word.decode("utf-8", "replace")
-        kind = 1 + max(range(len(_KINDS)), key=lambda k: sum(c in _KINDS[k] for c in letters))
-    last = word[-1:]
-    ending = 0 if last.isalpha() or last >= b"\x80" else 1 if last == b"." else 2 if last == b"," else 3
-    length = 0 if len(word) <= 4 else 1 if len(word) <= 8 else 2
-    return (kind * ENDINGS + ending) * LENGTHS + length
+    accent = word.find(b"\xc3") + 1
+    kind = 0 if word.isascii() else _KIND.get(word[accent], 1) if accent and accent < n else 1
+    last = word[-1]
+    ending = _ENDING.get(last, 3 if last < 128 and not word[-1:].isalpha() else 0)
+    return (kind * ENDINGS + ending) * LENGTHS + (0 if n <= 4 else 1 if n <= 8 else 2)
 
 
 def held_out(doc_id) -> bool:
@@ -332,7 +332,7 @@ def _scoring(vocabulary, params: np.ndarray):
     def run(batches):
         v = vocabulary.value
         model = LogBilinear(v.size, v.unigram).load(params)
-        notes = v.notes
+        notes, classes = v.notes, v.classes
         end = notes[END] or (math.log10(0.5 / v.base), 0.0)
         index = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -365,7 +365,7 @@ def _scoring(vocabulary, params: np.ndarray):
                 main = [pa.array(uid), part.column("doc_id"), pa.array([b" %d" % u for u in uid.tolist()], pa.binary()), pa.nulls(len(uid), pa.int32()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(sums, pa.float64())]
                 yield pa.RecordBatch.from_arrays(main, _SCORED)
                 at, n = pa.array(owner, pa.int64()), len(rare)
-                less = [main[0].take(at), main[1].take(at), pa.array([w if len(w) <= 16 else name(w) for w in rare], pa.binary()), pa.array(map(shape, rare), pa.int32()), pa.array(times, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())]
+                less = [main[0].take(at), main[1].take(at), pa.array([w if len(w) <= 16 else name(w) for w in rare], pa.binary()), pa.array([classes[w] - v.n_own for w in rare], pa.int32()), pa.array(times, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())]
                 yield pa.RecordBatch.from_arrays(less, _SCORED)
 
     return run
