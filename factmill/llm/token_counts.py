@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices
+from .common import as_bytes, cut, slices
 
 _loaded: dict = {}
 
@@ -123,5 +123,5 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048, id_c
     if stored is not None:
         contents = contents.join(stored.select("digest"), "digest", "left_anti")
     contents.repartition("digest").mapInArrow(_encoded(path, version), CACHE_SCHEMA).write.mode("append").parquet(cache)
-    counts = _cached(spark, cache, version)
+    counts = cut(_cached(spark, cache, version))  # by itself, so that a hot text's partition of the join can be split
     return wanted.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
