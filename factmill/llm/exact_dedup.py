@@ -143,7 +143,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         identity = identity.unionByName(d)
     named = cut(rows.select("uid", "doc_id", "text_sha256").join(identity, "uid"))
     best = F.max(F.struct(F.col("doc_id"), F.col("uid"))).alias("best")
-    groups = named.groupBy("level", "name").agg(best, F.count("*").alias("group_size")).where("group_size > 1")
+    # by itself, so that a hot group's partition of the join can be split
+    groups = cut(named.groupBy("level", "name").agg(best, F.count("*").alias("group_size")).where("group_size > 1"))
     return named.join(groups, ["level", "name"], "left").select(
         "doc_id",
         F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
