@@ -11,6 +11,7 @@ import hashlib
 import json
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import as_text, slices
 
 #: Entries of a worker's caches; a full cache is emptied, which costs time only.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 
 _loaded: dict = {}
 
@@ -158,20 +159,21 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     def run(batches):
         c = codec(path)
         for batch in batches:
-            for part in slices(batch, "text"):
-                counts, a, b, all_ids, texts = [], [], [], [], []
+            for part in slices(batch, "text", 1 << 20):
+                counts, a, b, all_ids, texts = [], [], [], [np.zeros(0, np.int32)], []
                 for text in as_text(part.column("text")):
                     ids, form = c.encode(text)
                     counts.append(ids.count(" ") + 1 if ids else 0)
                     a.append(hashlib.sha256(ids.encode()).hexdigest())
                     b.append(hashlib.sha256(form.encode()).hexdigest())
                     if keep_ids:
-                        all_ids.append(list(map(int, ids.split())))
+                        all_ids.append(np.fromstring(ids, np.int32, sep=" ") if ids else np.zeros(0, np.int32))
                         texts.append(form)
                 cols = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
+                    offsets = pa.array(np.cumsum([len(i) for i in all_ids]), pa.int32())
+                    cols += [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(all_ids))), pa.array(texts, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
