@@ -28,11 +28,11 @@ def postings(chunks: DataFrame, chunk: str, text: str = "text") -> DataFrame:
 
 def bm25(index: DataFrame, queries: DataFrame, chunk: str, query: str) -> DataFrame:
     """(query, chunk, score) from queries (query, term); rows only where a term is shared."""
-    stats = index.select(chunk, "size").distinct().agg(F.count("*").alias("n"), F.avg("size").alias("mean"))  # one row
+    n, mean = index.select(chunk, "size").distinct().agg(F.count("*"), F.avg("size")).first()
     frequency = index.groupBy("term").agg(F.count("*").alias("df"))
-    hits = index.join(queries.select(query, "term").distinct(), "term").join(frequency, "term").join(F.broadcast(stats))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
+    hits = index.join(queries.select(query, "term").distinct(), "term").join(frequency, "term")
+    idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.lit(float(mean or 1.0))))
     return hits.groupBy(query, chunk).agg(F.sum(idf * weight).alias("score"))
 
 
