@@ -50,11 +50,11 @@ def merge(target: DataFrame, source: DataFrame, key: str, version: str = "versio
     wanted = fresh(source).select(columns)
     pack = lambda df, name: df.select(F.col(key).alias("k"), F.struct(*columns).alias(name))
     both = pack(live(target), "l").join(pack(wanted, "s"), "k", "full_outer")
-    kind = both.schema["l"].dataType
+    kind = both.schema["l"].dataType.simpleString()  # all of it nullable
     closed = F.struct(*[(F.lit(False) if c == "is_current" else F.col("s.valid_from") if c == "valid_to" else F.col(f"l.{c}")).alias(c) for c in columns]).cast(kind)
     kept = F.col("s") if refresh is None else F.struct(*[F.col(f"{'s' if c in (*refresh, 'doc_deleted') else 'l'}.{c}").alias(c) for c in columns])
     rows = (
-        F.when(F.col("s").isNull(), F.array(F.col("l")))
+        F.when(F.col("s").isNull(), F.array(F.col("l").cast(kind)))
         .when(F.col("l").isNull(), F.array(F.col("s").cast(kind)))
         .when(F.col(f"l.{version}") == F.col(f"s.{version}"), F.array(kept.cast(kind)))
         .otherwise(F.array(closed, F.col("s").cast(kind)))
