@@ -17,10 +17,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, slices
+from .common import as_text, bound_batches, slices
 
 #: Entries of a worker's caches; a full cache is emptied, which costs time only.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 100_000
 
 _loaded: dict = {}
 
@@ -59,7 +59,7 @@ class Codec:
         self.inside, self.closing = self._pairs()
         self.ids: dict[str, str] = {}
         self.forms: dict[str, str] = {}
-        self.fragments: dict[tuple[str, bool], list] = {}
+        self.fragments: dict[tuple[str, bool], tuple[str, str]] = {}
 
     def _pairs(self) -> tuple[set[str], set[str]]:
         """Letter pairs inside tokens; pairs that end a token with the word-end mark."""
@@ -86,18 +86,24 @@ class Codec:
     def _word(self, word: str) -> None:
         letters = "".join(map(self.letters.__getitem__, word.encode()))
         parts = self.cut(letters)
-        tokens: list = []
+        self.ids[word], self.forms[word] = self._pieces(parts)
+
+    def _pieces(self, parts: list[str]) -> tuple[str, str]:
+        """Ids and tokens of a word's fragments, each encoded by itself; only what is part of a longer word is kept."""
+        ids, forms = [], []
         for i, part in enumerate(parts):
             closes = i == len(parts) - 1
             known = self.fragments.get((part, closes))
             if known is None:
-                known = [(t.id, t.value) for t in (self.last if closes else self.inner).tokenize(part)]
-                if len(self.fragments) >= CACHE_ENTRIES:
-                    self.fragments.clear()
-                self.fragments[(part, closes)] = known
-            tokens += known
-        self.ids[word] = " ".join([str(i) for i, _ in tokens])
-        self.forms[word] = " ".join([v for _, v in tokens])
+                tokens = (self.last if closes else self.inner).tokenize(part)
+                known = (" ".join([str(t.id) for t in tokens]), " ".join([t.value for t in tokens]))
+                if len(parts) > 1:
+                    if len(self.fragments) >= CACHE_ENTRIES:
+                        self.fragments.clear()
+                    self.fragments[(part, closes)] = known
+            ids.append(known[0])
+            forms.append(known[1])
+        return " ".join(ids), " ".join(forms)
 
     def encode(self, text: str) -> tuple[str, str]:
         """(decimal ids joined by spaces, their decoded text). Without a decoder, decoding joins the tokens by spaces."""
@@ -153,6 +159,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     the library's default has it. Repeated rows are kept; an empty table gives an empty result;
     other columns are ignored. path must be readable where the work runs.
     """
+    bound_batches(docs.sparkSession)
     path = path or word_vocabulary()
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if keep_ids else "")
 

@@ -88,5 +88,16 @@ def crc_of_id(doc_id) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Hold the batches that go to Python to a few megabytes; by default Spark lets them grow to 64 MB.
+
+    Set for the session, as plans run after the operator has returned. Settings that were changed
+    from the default are kept.
+    """
+    for key, default, most in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", default) == default:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", most)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, slices
+from .common import as_text, bound_batches, slices
 from .myers import best_end, masks
 
 #: Edits allowed for each character of a normalised item.
@@ -119,6 +119,7 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, id_col:
     reported; match_end counts characters of the normalised document. An item is reported once for
     a document, at the first place that was verified. Very large item sets take several passes.
     """
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     schema = "doc_id bigint, item_id bigint, distance int, budget int, match_end int"
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -141,6 +142,7 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, id_col:
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs, all columns, that match no item; the same rules as matches()."""
+    bound_batches(docs.sparkSession)
     spark, at = docs.sparkSession, docs.columns.index(text_col)
     for block in item_blocks(items, item_id_col, item_text_col, block_chars):
         shared = spark.sparkContext.broadcast(block)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, broadcast_if_small, cut, slices
+from .common import as_bytes, bound_batches, broadcast_if_small, cut, slices
 
 BLOCK_BYTES = 16384
 
@@ -117,6 +117,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The row with the largest doc_id stays (a null id is below every other); of rows that repeat
     whole, one stays. An empty table gives an empty result; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     digests = docs.mapInArrow(_digests(block_bytes), "doc_id bigint, text_sha256 string, hs array<bigint>")
     rows = cut(digests.withColumn("uid", F.monotonically_increasing_id())).withColumn("row_key", F.col("text_sha256"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, broadcast_if_small, cut, slices
+from .common import as_text, bound_batches, broadcast_if_small, cut, slices
 
 #: Pages of one host that are differenced by one task at a time.
 RUN_PAGES = 256
@@ -267,6 +267,7 @@ def extract(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     repeat whole are not each other's template; an empty table gives an empty result; other columns
     are ignored.
     """
+    bound_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")
     gone = cut(template_lines(pages, run_pages))
     read = pages.mapInArrow(_texts, "page_id bigint, url string, key binary, lines array<string>, numbers array<int>")

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, broadcast_if_small, cut, row_key, slices, with_row_keys
+from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, with_row_keys
 
 LINES = 3
 
@@ -57,6 +57,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text are one document: they are treated alike, not as copies of each other. All other columns
     pass through, whatever their names (the added ones replace columns of the same name).
     """
+    bound_batches(docs.sparkSession)
     starts = cut(later_lines(docs, id_col, text_col, lines))
     names = docs.columns
     schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, crc_of_id, cut, slices
+from .common import as_bytes, bound_batches, crc_of_id, cut, slices
 
 #: Words with a class of their own, and words whose counts travel with the tasks; all others are looked up by a join.
 OWN_CLASSES, FREQUENT = 1000, 200_000
@@ -381,6 +381,7 @@ def score(docs: DataFrame, rounds: int = 1, id_col: str = "doc_id", text_col: st
     often as they occur; an empty table gives an empty result; other columns are ignored. With no
     training text, both scores come from the added halves alone.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     counts, v = learn(docs, own_classes, frequent)
     shared = docs.sparkSession.sparkContext.broadcast(v)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices
+from .common import as_bytes, bound_batches, slices
 
 #: Documents that the scorer learns from, and labelled documents that the lexicon is taken from (expected numbers).
 TRAIN_ROWS, LEXICON_ROWS = 6000, 20000
@@ -201,6 +201,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame | None, train_rows: int = TRAIN_ROWS, lexicon_rows: int = LEXICON_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from docs (all rows vote) and labels (doc_id, quality, toxic), which may be empty or None."""
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     if labels is None:
@@ -254,6 +255,7 @@ def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     Null and empty texts give no evidence beyond the prior and are scored like any other. Other
     columns pass through, whatever their names (the added ones replace columns of the same name).
     """
+    bound_batches(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("junk_score", "toxic_score", "kept")]
     docs = docs.select(*[F.col(f"`{c}`") for c in names])
     at = names.index(text_col)

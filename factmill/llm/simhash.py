@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, broadcast_if_small, cut, row_key, slices, with_row_keys
+from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, with_row_keys
 from .components import components
 
 SEED = 42
@@ -135,6 +135,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     have fingerprint zero and are linked like any others; repeated rows are kept; an empty table
     gives an empty result; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     marked = cut(fingerprints(docs, id_col, text_col, width))
     nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
     groups, bits = grid or plan_grid(nodes.count(), radius)
@@ -191,6 +192,7 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarit
     Groups are what links connect. Null counts as empty, null ids come after all others, and rows
     that repeat whole are one document. All columns pass through, whatever their names.
     """
+    bound_batches(docs.sparkSession)
     names = docs.columns
     text_at, id_at = names.index(text_col), names.index(id_col)
     marks = cut(docs.mapInArrow(_row_marks(width, text_at, id_at), "key binary, doc_id bigint, node binary, fp bigint"))

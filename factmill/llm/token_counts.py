@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, slices
+from .common import as_bytes, bound_batches, cut, slices
 
 _loaded: dict = {}
 
@@ -115,6 +115,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048, id_c
     the distinct texts that it lacks. Repeated rows are kept; an empty table gives an empty result;
     other columns are ignored. Losing an executor repeats tasks; a cache file appears only whole.
     """
+    bound_batches(docs.sparkSession)
     spark, version = docs.sparkSession, tokenizer_digest(path)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     wanted = docs.mapInArrow(_digests, "doc_id bigint, digest binary, n_bytes bigint")
