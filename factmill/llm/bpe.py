@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, bound_batches, slices
+from .common import as_text, bound_batches, slices, tidy
 
 #: Entries of a worker's caches; a full cache is emptied, which costs time only.
 CACHE_ENTRIES = 100_000
@@ -184,4 +184,4 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)

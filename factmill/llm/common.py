@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zlib
 
@@ -11,6 +13,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _LIBC = None
+
 #: Largest table, in estimated bytes, that an operator broadcasts; beyond it the same join shuffles.
 BROADCAST_BYTES = 16 << 20
 
@@ -88,6 +95,21 @@ def crc_of_id(doc_id) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
 
 
+def tidy(run):
+    """run, for mapInArrow, giving back the memory that it held once it ends: a worker lives on for other stages."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if _LIBC is not None:
+                _LIBC.malloc_trim(0)
+
+    return whole
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Hold the batches that go to Python to a few megabytes; by default Spark lets them grow to 64 MB.
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, bound_batches, slices
+from .common import as_text, bound_batches, slices, tidy
 from .myers import best_end, masks
 
 #: Edits allowed for each character of a normalised item.
@@ -135,7 +135,7 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, id_col:
                     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "item_id", "distance", "budget", "match_end"])
 
-        found = narrow.mapInArrow(run, schema)
+        found = narrow.mapInArrow(tidy(run), schema)
         out = found if n == 0 else out.unionByName(found)
     return out
 
@@ -152,5 +152,5 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, text_col:
                 keep = [not _matcher(shared, rate).find(normalise(t)) for t in as_text(batch.column(at))]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, cut, slices
+from .common import as_bytes, bound_batches, broadcast_if_small, cut, slices, tidy
 
 BLOCK_BYTES = 16384
 
@@ -72,7 +72,7 @@ def sorted_names(keys: DataFrame, columns: list[str]) -> DataFrame:
 def _first_names(docs: DataFrame, blocks: DataFrame, block_bytes: int) -> DataFrame:
     """(h, content or null, name): a name for each distinct block; content is set only where different blocks share a digest."""
     repeated = cut(blocks.groupBy("h").count().where("count > 1").select("h"))
-    contents = docs.select("text").mapInArrow(_blocks(block_bytes), "h bigint, content binary").join(broadcast_if_small(repeated, 24), "h", "left_semi")
+    contents = docs.select("text").mapInArrow(tidy(_blocks(block_bytes)), "h bigint, content binary").join(broadcast_if_small(repeated, 24), "h", "left_semi")
     clashing = cut(contents.distinct().withColumn("ways", F.count("*").over(Window.partitionBy("h"))).where("ways > 1").select("h", "content"))
     if clashing.isEmpty():
         return sorted_names(blocks, ["h"]).withColumn("content", F.lit(None).cast("binary"))
@@ -107,7 +107,7 @@ def _keyed_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
                         hs.append(xxhash.xxh3_64_intdigest(b[i : i + block_bytes]) - (1 << 63))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(pos, pa.int32()), pa.array(hs, pa.int64()), pa.array(content, pa.binary())], ["row_key", "pos", "h", "content"])
 
-    return docs.select("text").distinct().mapInArrow(run, "row_key string, pos int, h bigint, content binary").dropDuplicates(["row_key", "pos"])
+    return docs.select("text").distinct().mapInArrow(tidy(run), "row_key string, pos int, h bigint, content binary").dropDuplicates(["row_key", "pos"])
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -119,7 +119,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    digests = docs.mapInArrow(_digests(block_bytes), "doc_id bigint, text_sha256 string, hs array<bigint>")
+    digests = docs.mapInArrow(tidy(_digests(block_bytes)), "doc_id bigint, text_sha256 string, hs array<bigint>")
     rows = cut(digests.withColumn("uid", F.monotonically_increasing_id())).withColumn("row_key", F.col("text_sha256"))
     most = rows.agg(F.max(F.size("hs"))).first()[0] or 0
     level, done = 0, []

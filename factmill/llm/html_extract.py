@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_text, bound_batches, broadcast_if_small, cut, slices
+from .common import as_text, bound_batches, broadcast_if_small, cut, slices, tidy
 
 #: Pages of one host that are differenced by one task at a time.
 RUN_PAGES = 256
@@ -217,7 +217,7 @@ def _deletions(rows):
 
 def template_lines(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     """(key, gone): for each page the undecided lines, by number, that it shares with the page beside it in URL order."""
-    lines = pages.select("url", "html").mapInArrow(_open_lines, "key binary, host string, path string, lines binary").distinct()
+    lines = pages.select("url", "html").mapInArrow(tidy(_open_lines), "key binary, host string, path string, lines binary").distinct()
     order = ["host", "path", "key"]
     ranged = lines.repartitionByRange(*order).withColumn("rid", F.spark_partition_id())
     placed = cut(ranged.withColumn("rn", F.row_number().over(Window.partitionBy("rid").orderBy(*order))))
@@ -235,7 +235,7 @@ def template_lines(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     at = F.col("g") % run_pages
     dealt = numbered.withColumn("home", F.explode(homes)).where(F.col("home.own") | ((at == 0) & (F.col("home.run") == run - 1)) | ((at == run_pages - 1) & (F.col("home.run") == run + 1)))
     dealt = dealt.select("home.run", "g", "host", "key", "lines", "home.own").repartition("run").sortWithinPartitions("run", "g")
-    return dealt.mapInArrow(_difference, "key binary, gone array<int>")
+    return dealt.mapInArrow(tidy(_difference), "key binary, gone array<int>")
 
 
 def _texts(batches):
@@ -270,7 +270,7 @@ def extract(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     bound_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")
     gone = cut(template_lines(pages, run_pages))
-    read = pages.mapInArrow(_texts, "page_id bigint, url string, key binary, lines array<string>, numbers array<int>")
+    read = pages.mapInArrow(tidy(_texts), "page_id bigint, url string, key binary, lines array<string>, numbers array<int>")
     joined = read.join(broadcast_if_small(gone, 200), "key", "left")
     rows = F.arrays_zip("lines", "numbers")
     left = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(F.filter(rows, lambda r: ~F.array_contains("gone", r["numbers"])), lambda r: r["lines"]))

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, with_row_keys
+from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, tidy, with_row_keys
 
 LINES = 3
 
@@ -38,7 +38,7 @@ def _windows(lines: int):
 def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES) -> DataFrame:
     """(key, starts): for each document the first lines of the windows that occurred before, in (doc_id, line) order."""
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    seen = narrow.mapInArrow(_windows(lines), "doc_id bigint, key binary, ws array<binary>")
+    seen = narrow.mapInArrow(tidy(_windows(lines)), "doc_id bigint, key binary, ws array<binary>")
     windows = seen.select("doc_id", "key", F.posexplode("ws").alias("pos", "w")).where(F.length("w") > 0)
     at = F.struct(F.col("doc_id"), F.col("key"), F.col("pos"))
     repeated = cut(windows.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(F.col("first") != F.col("last")).select("w", "first"))
@@ -61,7 +61,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     starts = cut(later_lines(docs, id_col, text_col, lines))
     names = docs.columns
     schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
-    keyed = docs.mapInArrow(with_row_keys(names, names.index(text_col), names.index(id_col)), schema)
+    keyed = docs.mapInArrow(tidy(with_row_keys(names, names.index(text_col), names.index(id_col))), schema)
     found = broadcast_if_small(starts.select(F.col("key").alias("__row_key"), F.col("starts").alias("__starts")), 120)
     rows = F.split(F.col(text_col), "\n", -1)
     numbered = F.transform(rows, lambda x, i: F.struct(i.alias("i"), x.alias("x")))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, slices
+from .common import as_bytes, bound_batches, slices, tidy
 
 #: Documents that the scorer learns from, and labelled documents that the lexicon is taken from (expected numbers).
 TRAIN_ROWS, LEXICON_ROWS = 6000, 20000
@@ -85,7 +85,7 @@ class Reading:
 
 class _Buckets(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = b = zlib.crc32(word) % BUCKETS
         return b
@@ -169,13 +169,13 @@ def _learned_lexicon(docs: DataFrame, labels: DataFrame, rows: int) -> list[byte
                         for w in set(words):
                             if 2 < len(w) < 40:
                                 clean[w] = clean.get(w, 0) + 1
-            if len(clean) + len(pairs) > 300_000:
+            if len(clean) + len(pairs) > 120_000:
                 yield _counts(clean, pairs)
                 clean, pairs = {}, set()
         yield _counts(clean, pairs)
 
     some = _draw(labels, rows, "doc_id", labels.count(), 7).where("toxic is not null")
-    counts = docs.join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(run, "word binary, clean bigint, before bigint")
+    counts = docs.join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(tidy(run), "word binary, clean bigint, before bigint")
     found = counts.groupBy("word", "before").agg(F.sum("clean").alias("clean")).groupBy("word").agg(F.sum("clean").alias("clean"), F.count("before").alias("toxic"))
     return [bytes(r.word) for r in found.where("toxic >= 6 and toxic >= 20 * clean").orderBy(F.desc("toxic"), "word").limit(200).collect()]
 
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, train_rows: int = TRAIN_ROWS,
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([_code(r.junk_votes()) for r in read], pa.int32()), pa.array([_code(r.abuse_votes(fixed)) for r in read], pa.int32())], ["doc_id", "junk", "abuse"])
 
     human = lambda c, bad: F.when(F.col(c).isNull(), ABSTAIN).when(F.col(c) == bad, BAD).otherwise(GOOD)
-    voted = docs.mapInArrow(votes, "doc_id bigint, junk int, abuse int").join(labels, "doc_id", "left").select("junk", "abuse", human("quality", 0).alias("q"), human("toxic", 1).alias("t"))
+    voted = docs.mapInArrow(tidy(votes), "doc_id bigint, junk int, abuse int").join(labels, "doc_id", "left").select("junk", "abuse", human("quality", 0).alias("q"), human("toxic", 1).alias("t"))
     counted = voted.groupBy("junk", "abuse", "q", "t").count().collect()  # at most 3**10 patterns, whatever the corpus
     junk: dict = {}
     abuse: dict = {}
@@ -241,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, train_rows: int = TRAIN_ROWS,
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "junk", "abuse", "idx", "val"])
 
-    drawn = _draw(docs, train_rows, "doc_id", n, 11).mapInArrow(sample, "doc_id bigint, junk int, abuse int, idx array<int>, val array<float>")
+    drawn = _draw(docs, train_rows, "doc_id", n, 11).mapInArrow(tidy(sample), "doc_id bigint, junk int, abuse int, idx array<int>, val array<float>")
     rows = drawn.join(labels, "doc_id", "left").withColumns({"q": human("quality", 0), "t": human("toxic", 1)}).limit(2 * train_rows).toArrow()
     features = [(i, v) for i, v in zip(rows["idx"].to_pylist(), rows["val"].to_pylist())]
     y_junk = np.array([junk_posterior.get((*_decode(a, 5), q), 0.0) for a, q in zip(rows["junk"].to_pylist(), rows["q"].to_pylist())])
@@ -270,4 +270,4 @@ def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(junk, pa.float64()), pa.array(toxic, pa.float64()), pa.array(kept, pa.bool_())], [*names, "junk_score", "toxic_score", "kept"])
 
     schema = docs.withColumns({"junk_score": F.lit(0.0), "toxic_score": F.lit(0.0), "kept": F.lit(True)}).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, with_row_keys
+from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, tidy, with_row_keys
 from .components import components
 
 SEED = 42
@@ -69,7 +69,7 @@ def _fingerprints(width: int):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """(doc_id, fp) with fp a signed 64-bit integer; null and empty texts have fingerprint zero."""
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints(width), "doc_id bigint, fp bigint")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(_fingerprints(width)), "doc_id bigint, fp bigint")
 
 
 def _ball(dims: int, radius: int) -> list[tuple[int, ...]]:
@@ -195,7 +195,7 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarit
     bound_batches(docs.sparkSession)
     names = docs.columns
     text_at, id_at = names.index(text_col), names.index(id_col)
-    marks = cut(docs.mapInArrow(_row_marks(width, text_at, id_at), "key binary, doc_id bigint, node binary, fp bigint"))
+    marks = cut(docs.mapInArrow(tidy(_row_marks(width, text_at, id_at)), "key binary, doc_id bigint, node binary, fp bigint"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
     nodes = cut(marks.groupBy("node").agg(F.min("fp").alias("fp"), F.min(order).alias("least")))
     heads = cut(nodes.groupBy("fp").agg(F.min("node").alias("head")))
@@ -205,8 +205,9 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarit
     same = nodes.join(heads, "fp").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     pairs = cut(near.join(a, "u").join(b, "v").select("a", "b").unionByName(same))
     wanted = cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(_first_texts, "node binary, plain binary").join(broadcast_if_small(wanted, 40), "node", "left_semi")
-    sets = cut(texts.mapInArrow(_shingle_sets(width), "node binary, shingles array<bigint>").dropDuplicates(["node"]))
+    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(_first_texts), "node binary, plain binary").join(broadcast_if_small(wanted, 40), "node", "left_semi")
+    once = texts.groupBy("node").agg(F.min("plain").alias("plain"))  # tasks have met the same text
+    sets = cut(once.mapInArrow(tidy(_shingle_sets(width)), "node binary, shingles array<bigint>"))
     x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     alike = pairs.join(x, "a").join(y, "b").where(common >= similarity * (F.size("x") + F.size("y") - common))
@@ -215,7 +216,7 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarit
     stays = homes.groupBy("root").agg(F.min("least").alias("stays"))
     gone = cut(marks.join(homes.join(stays, "root").select("node", "stays.key").withColumnRenamed("key", "stays"), "node").where("key <> stays").select(F.col("key").alias("__row_key")).distinct())
     schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
-    keyed = docs.mapInArrow(with_row_keys(names, text_at, id_at), schema)
+    keyed = docs.mapInArrow(tidy(with_row_keys(names, text_at, id_at)), schema)
     left = keyed.join(broadcast_if_small(gone, 40), "__row_key", "left_anti")
     if not marks.groupBy("key").count().where("count > 1").isEmpty():
         left = left.dropDuplicates(["__row_key"])

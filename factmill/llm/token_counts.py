@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, cut, slices
+from .common import as_bytes, bound_batches, cut, slices, tidy
 
 _loaded: dict = {}
 
@@ -118,11 +118,11 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048, id_c
     bound_batches(docs.sparkSession)
     spark, version = docs.sparkSession, tokenizer_digest(path)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = docs.mapInArrow(_digests, "doc_id bigint, digest binary, n_bytes bigint")
-    contents = docs.mapInArrow(_contents, "digest binary, text string")
+    wanted = docs.mapInArrow(tidy(_digests), "doc_id bigint, digest binary, n_bytes bigint")
+    contents = docs.mapInArrow(tidy(_contents), "digest binary, text string")
     stored = _cached(spark, cache, version)
     if stored is not None:
         contents = contents.join(stored.select("digest"), "digest", "left_anti")
-    contents.repartition("digest").mapInArrow(_encoded(path, version), CACHE_SCHEMA).write.mode("append").parquet(cache)
+    contents.repartition("digest").mapInArrow(tidy(_encoded(path, version)), CACHE_SCHEMA).write.mode("append").parquet(cache)
     counts = cut(_cached(spark, cache, version))  # by itself, so that a hot text's partition of the join can be split
     return wanted.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
