@@ -95,6 +95,14 @@ def crc_of_id(doc_id) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
 
 
+def give_back() -> None:
+    """Return what this process doesn't use any more to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def tidy(run):
     """run, for mapInArrow, giving back the memory that it held once it ends: a worker lives on for other stages."""
 
@@ -102,10 +110,7 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if _LIBC is not None:
-                _LIBC.malloc_trim(0)
+            give_back()
 
     return whole
 
