@@ -38,7 +38,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and the decoded text of what is left."""
+    """Token ids of what is left, with digests of the ids and of the decoded text."""
     return bpe.encode(docs)
 
 

@@ -36,16 +36,16 @@ class Codec:
     """Encodes and decodes as the vocabulary file says: NFC, lower case, words, bytes as letters, merges, a word-end mark."""
 
     def __init__(self, path: str):
-        from tokenizers import models
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model = spec["model"]
-        self.end = model["end_of_word_suffix"] or ""
-        self.vocab: dict[str, int] = dict(model["vocab"])
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.last = models.BPE(vocab=self.vocab, merges=merges, end_of_word_suffix=self.end or None)
-        self.inner = models.BPE(vocab=self.vocab, merges=merges) if self.end else self.last
+        self.end = spec["model"]["end_of_word_suffix"] or ""
+        self.vocab: dict[str, int] = spec["model"]["vocab"]
+        self.last = Tokenizer.from_file(path).model
+        inner = {"version": spec["version"], "added_tokens": [], "model": spec["model"] | {"end_of_word_suffix": None}}
+        self.inner = Tokenizer.from_str(json.dumps(inner)).model if self.end else self.last
+        del inner, spec["model"]
         kinds = {n["type"] for n in spec["normalizer"]["normalizers"]}
         if kinds != {"NFC", "Replace", "Lowercase"}:
             raise ValueError(f"not a word vocabulary: {sorted(kinds)}")
@@ -57,6 +57,8 @@ class Codec:
         self.mark = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.letters = byte_letters()
         self.inside, self.closing = self._pairs()
+        self.names = {str(i): t for t, i in self.vocab.items()} | {i: s for i, s in self.special.values()}
+        del self.vocab
         self.ids: dict[str, str] = {}
         self.forms: dict[str, str] = {}
         self.fragments: dict[tuple[str, bool], tuple[str, str]] = {}
@@ -133,8 +135,6 @@ class Codec:
 
     def decode(self, ids: str) -> str:
         """The decoded text of decimal ids joined by spaces."""
-        if not hasattr(self, "names"):
-            self.names = {str(i): t for t, i in self.vocab.items()} | {i: s for i, s in self.special.values()}
         return " ".join([self.names[i] for i in ids.split()])
 
 
@@ -145,14 +145,19 @@ def codec(path: str) -> Codec:
     return _loaded[path]
 
 
+def forget() -> None:
+    """Drop the codecs: a worker lives on for other stages."""
+    _loaded.clear()
+
+
 def word_vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, with keep_ids, ids (array<int>) and decoded.
+def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, keep_decoded: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and if kept ids (array<int>) and decoded.
 
     The digests are of the decimal ids joined by single spaces and of the decoded text. Null counts
     as empty: no ids, empty text. Strings of special tokens inside a text become their tokens, as
@@ -161,27 +166,34 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     """
     bound_batches(docs.sparkSession)
     path = path or word_vocabulary()
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if keep_ids else "")
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "") + (", decoded string" if keep_decoded else "")
 
     def run(batches):
         c = codec(path)
-        for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                counts, a, b, all_ids, texts = [], [], [], [np.zeros(0, np.int32)], []
-                for text in as_text(part.column("text")):
-                    ids, form = c.encode(text)
-                    counts.append(ids.count(" ") + 1 if ids else 0)
-                    a.append(hashlib.sha256(ids.encode()).hexdigest())
-                    b.append(hashlib.sha256(form.encode()).hexdigest())
+        try:
+            for batch in batches:
+                for part in slices(batch, "text", 1 << 20):
+                    counts, a, b, all_ids, texts = [], [], [], [np.zeros(0, np.int32)], []
+                    for text in as_text(part.column("text")):
+                        ids, form = c.encode(text)
+                        counts.append(ids.count(" ") + 1 if ids else 0)
+                        a.append(hashlib.sha256(ids.encode()).hexdigest())
+                        b.append(hashlib.sha256(form.encode()).hexdigest())
+                        if keep_ids:
+                            all_ids.append(np.fromstring(ids, np.int32, sep=" ") if ids else np.zeros(0, np.int32))
+                        if keep_decoded:
+                            texts.append(form)
+                    cols = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+                    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                     if keep_ids:
-                        all_ids.append(np.fromstring(ids, np.int32, sep=" ") if ids else np.zeros(0, np.int32))
-                        texts.append(form)
-                cols = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if keep_ids:
-                    offsets = pa.array(np.cumsum([len(i) for i in all_ids]), pa.int32())
-                    cols += [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(all_ids))), pa.array(texts, pa.string())]
-                    names += ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(cols, names)
+                        offsets = pa.array(np.cumsum([len(i) for i in all_ids]), pa.int32())
+                        cols += [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(all_ids)))]
+                        names.append("ids")
+                    if keep_decoded:
+                        cols.append(pa.array(texts, pa.string()))
+                        names.append("decoded")
+                    yield pa.RecordBatch.from_arrays(cols, names)
+        finally:
+            forget()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)

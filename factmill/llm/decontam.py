@@ -96,6 +96,11 @@ def _matcher(shared, rate: float) -> Matcher:
     return _built[key]
 
 
+def forget() -> None:
+    """Drop the automata: a worker lives on for other stages."""
+    _built.clear()
+
+
 def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", chars: int = BLOCK_CHARS):
     """Normalised items in lists of bounded size, read partition by partition; the whole set never lies on the driver at once."""
     block, held = [], 0
@@ -151,6 +156,7 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, text_col:
             for batch in batches:
                 keep = [not _matcher(shared, rate).find(normalise(t)) for t in as_text(batch.column(at))]
                 yield batch.filter(pa.array(keep, pa.bool_()))
+            forget()
 
         docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs
