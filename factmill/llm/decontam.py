@@ -8,6 +8,7 @@ Aho-Corasick automaton; around each hit, Myers' bit-parallel distance decides.
 from __future__ import annotations
 
 import re
+import uuid
 
 import ahocorasick
 import pyarrow as pa
@@ -88,12 +89,12 @@ class Matcher:
         return [(self.items[j][0], d, self.items[j][2], e) for j, (d, e) in sorted(found.items())]
 
 
-def _matcher(shared, rate: float) -> Matcher:
-    key = (id(shared), rate)
-    if key not in _built:
+def _matcher(shared, rate: float, name: str) -> Matcher:
+    """The automaton of a block of items, by the block's name: a worker may see several."""
+    if name not in _built:
         _built.clear()
-        _built[key] = Matcher(shared.value, rate)
-    return _built[key]
+        _built[name] = Matcher(shared.value, rate)
+    return _built[name]
 
 
 def forget() -> None:
@@ -130,12 +131,12 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, id_col:
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     out = spark.createDataFrame([], schema)
     for n, block in enumerate(item_blocks(items, item_id_col, item_text_col, block_chars)):
-        shared = spark.sparkContext.broadcast(block)
+        shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
-        def run(batches, shared=shared):
+        def run(batches, shared=shared, name=name):
             for batch in batches:
                 for part in slices(batch, "text"):
-                    rows = [(d, *m) for d, t in zip(part.column("doc_id").to_pylist(), as_text(part.column("text"))) for m in _matcher(shared, rate).find(normalise(t))]
+                    rows = [(d, *m) for d, t in zip(part.column("doc_id").to_pylist(), as_text(part.column("text"))) for m in _matcher(shared, rate, name).find(normalise(t))]
                     cols = list(zip(*rows)) or [[]] * 5
                     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "item_id", "distance", "budget", "match_end"])
@@ -150,11 +151,11 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, text_col:
     bound_batches(docs.sparkSession)
     spark, at = docs.sparkSession, docs.columns.index(text_col)
     for block in item_blocks(items, item_id_col, item_text_col, block_chars):
-        shared = spark.sparkContext.broadcast(block)
+        shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
-        def run(batches, shared=shared):
+        def run(batches, shared=shared, name=name):
             for batch in batches:
-                keep = [not _matcher(shared, rate).find(normalise(t)) for t in as_text(batch.column(at))]
+                keep = [not _matcher(shared, rate, name).find(normalise(t)) for t in as_text(batch.column(at))]
                 yield batch.filter(pa.array(keep, pa.bool_()))
             forget()
 

@@ -28,7 +28,12 @@ def normalise(text: bytes) -> bytes:
     return text.lower()
 
 
-def _digests(block_bytes: int):
+def block_digest(block: bytes) -> int:
+    """Where a block is compared; two blocks may share it."""
+    return xxhash.xxh3_64_intdigest(block) - (1 << 63)
+
+
+def _digests(block_bytes: int, digest):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -36,13 +41,13 @@ def _digests(block_bytes: int):
                 for raw in as_bytes(part.column("text")):
                     b = normalise(raw)
                     sha.append(hashlib.sha256(b).hexdigest())
-                    names.append([xxhash.xxh3_64_intdigest(b[i : i + block_bytes]) - (1 << 63) for i in range(0, max(1, len(b)), block_bytes)])
+                    names.append([digest(b[i : i + block_bytes]) for i in range(0, max(1, len(b)), block_bytes)])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sha, pa.string()), pa.array(names, pa.list_(pa.int64()))], ["doc_id", "text_sha256", "hs"])
 
     return run
 
 
-def _blocks(block_bytes: int):
+def _blocks(block_bytes: int, digest):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -50,7 +55,7 @@ def _blocks(block_bytes: int):
                 for raw in as_bytes(part.column("text")):
                     b = normalise(raw)
                     for i in range(0, max(1, len(b)), block_bytes):
-                        hs.append(xxhash.xxh3_64_intdigest(b[i : i + block_bytes]) - (1 << 63))
+                        hs.append(digest(b[i : i + block_bytes]))
                         content.append(b[i : i + block_bytes])
                 yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(content, pa.binary())], ["h", "content"])
 
@@ -69,10 +74,10 @@ def sorted_names(keys: DataFrame, columns: list[str]) -> DataFrame:
     return placed.select(*columns, (start + F.col("rn") - 1).cast("bigint").alias("name"))
 
 
-def _first_names(docs: DataFrame, blocks: DataFrame, block_bytes: int) -> DataFrame:
+def _first_names(docs: DataFrame, blocks: DataFrame, block_bytes: int, digest) -> DataFrame:
     """(h, content or null, name): a name for each distinct block; content is set only where different blocks share a digest."""
     repeated = cut(blocks.groupBy("h").count().where("count > 1").select("h"))
-    contents = docs.select("text").mapInArrow(tidy(_blocks(block_bytes)), "h bigint, content binary").join(broadcast_if_small(repeated, 24), "h", "left_semi")
+    contents = docs.select("text").mapInArrow(tidy(_blocks(block_bytes, digest)), "h bigint, content binary").join(broadcast_if_small(repeated, 24), "h", "left_semi")
     clashing = cut(contents.distinct().withColumn("ways", F.count("*").over(Window.partitionBy("h"))).where("ways > 1").select("h", "content"))
     if clashing.isEmpty():
         return sorted_names(blocks, ["h"]).withColumn("content", F.lit(None).cast("binary"))
@@ -81,20 +86,20 @@ def _first_names(docs: DataFrame, blocks: DataFrame, block_bytes: int) -> DataFr
     return names.join(ranked, ["h", "r"], "left").select("h", "content", "name")
 
 
-def _named_blocks(docs: DataFrame, rows: DataFrame, block_bytes: int) -> DataFrame:
+def _named_blocks(docs: DataFrame, rows: DataFrame, block_bytes: int, digest) -> DataFrame:
     """(uid, pos, name) for every block of every document."""
     blocks = rows.select("uid", F.posexplode("hs").alias("pos", "h"))
-    names = _first_names(docs, blocks, block_bytes)
+    names = _first_names(docs, blocks, block_bytes, digest)
     if names.where("content is not null").isEmpty():
         return blocks.join(names.select("h", "name"), "h").select("uid", "pos", "name")
     clashing = names.where("content is not null").select("h").distinct()
     plain = blocks.join(names.where("content is null").select("h", "name"), "h").select("uid", "pos", "name")
     # the few blocks of digests with different contents are named by content, carried by document
-    carried = rows.select("uid", "row_key").join(_keyed_blocks(docs, block_bytes), "row_key").join(clashing, "h", "left_semi")
+    carried = rows.select("uid", "row_key").join(_keyed_blocks(docs, block_bytes, digest), "row_key").join(clashing, "h", "left_semi")
     return plain.unionByName(carried.join(names, ["h", "content"]).select("uid", "pos", "name"))
 
 
-def _keyed_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+def _keyed_blocks(docs: DataFrame, block_bytes: int, digest) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -104,13 +109,13 @@ def _keyed_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
                     k = hashlib.sha256(b).hexdigest()
                     for p, i in enumerate(range(0, max(1, len(b)), block_bytes)):
                         key.append(k), pos.append(p), content.append(b[i : i + block_bytes])
-                        hs.append(xxhash.xxh3_64_intdigest(b[i : i + block_bytes]) - (1 << 63))
+                        hs.append(digest(b[i : i + block_bytes]))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(pos, pa.int32()), pa.array(hs, pa.int64()), pa.array(content, pa.binary())], ["row_key", "pos", "h", "content"])
 
     return docs.select("text").distinct().mapInArrow(tidy(run), "row_key string, pos int, h bigint, content binary").dropDuplicates(["row_key", "pos"])
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, digest=block_digest) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, level, name.
 
     Documents of one (level, name) have the same text after lower-casing A-Z; null counts as empty.
@@ -119,11 +124,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    digests = docs.mapInArrow(tidy(_digests(block_bytes)), "doc_id bigint, text_sha256 string, hs array<bigint>")
+    digests = docs.mapInArrow(tidy(_digests(block_bytes, digest)), "doc_id bigint, text_sha256 string, hs array<bigint>")
     rows = cut(digests.withColumn("uid", F.monotonically_increasing_id())).withColumn("row_key", F.col("text_sha256"))
     most = rows.agg(F.max(F.size("hs"))).first()[0] or 0
     level, done = 0, []
-    names = cut(_named_blocks(docs, rows, block_bytes)) if most else rows.select("uid", F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("name"))
+    names = cut(_named_blocks(docs, rows, block_bytes, digest)) if most else rows.select("uid", F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("name"))
     sizes = rows.select("uid", F.size("hs").alias("n"))
     work = names if most <= 1 else names.join(sizes, "uid")
     if most <= 1:

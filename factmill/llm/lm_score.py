@@ -311,6 +311,8 @@ def learn(docs: DataFrame, own_classes: int = OWN_CLASSES, frequent: int = FREQU
             break
         held += k
     rows = [(bytes(r.w), r["shape"], r.c) for r in counts.where(F.col("c") >= least).toLocalIterator()]
+    if all(w != END for w, _, _ in rows):  # the end is always known by itself
+        rows += [(END, r["shape"], r.c) for r in counts.where(F.col("w") == F.lit(bytearray(END))).collect()]
     rows.sort(key=lambda r: (-r[2], r[0]))
     own = [(w, c) for w, _, c in rows[:own_classes]]
     if all(w != END for w, _ in own):

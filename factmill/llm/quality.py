@@ -30,6 +30,8 @@ _EDGE = b".,;:!?\"'()[]{}<>#%&*$|~^=@+_-\\/"
 ABSTAIN, GOOD, BAD = 0, 1, 2
 #: Least chance that a bad document passes one heuristic labeller.
 PASSES = 0.6
+#: Most that a labeller may be taken to call bad among good documents; the thresholds are set for fewer.
+ALARMS = 0.005
 
 
 def _vote(x: float, good: float, bad: float) -> int:
@@ -118,7 +120,7 @@ def label_model(patterns: dict[tuple[int, ...], float], rounds: int = 40) -> dic
         for j in range(votes.shape[1]):
             says = [(votes[:, j] == v) * weight for v in (GOOD, BAD)]
             on_bad = ((says[1] * bad).sum() + 1) / (((says[0] + says[1]) * bad).sum() + 2)
-            on_good = min(((says[1] * (1 - bad)).sum() + 0.1) / (((says[0] + says[1]) * (1 - bad)).sum() + 2), 0.9 * on_bad)
+            on_good = min(((says[1] * (1 - bad)).sum() + 0.1) / (((says[0] + says[1]) * (1 - bad)).sum() + 2), ALARMS, 0.9 * on_bad)
             odds += np.where(votes[:, j] == BAD, math.log(on_bad / on_good), 0)
             passes = 1 - on_bad if j == votes.shape[1] - 1 else max(PASSES, 1 - on_bad)
             odds += np.where(votes[:, j] == GOOD, math.log(passes / (1 - on_good)), 0)

@@ -213,7 +213,7 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarit
     alike = pairs.join(x, "a").join(y, "b").where(common >= similarity * (F.size("x") + F.size("y") - common))
     roots = components(alike.select(F.col("a").alias("u"), F.col("b").alias("v")))
     homes = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    stays = homes.groupBy("root").agg(F.min("least").alias("stays"))
+    stays = cut(homes.groupBy("root").agg(F.min("least").alias("stays")))  # by itself, so that a hot group can be split
     gone = cut(marks.join(homes.join(stays, "root").select("node", "stays.key").withColumnRenamed("key", "stays"), "node").where("key <> stays").select(F.col("key").alias("__row_key")).distinct())
     schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
     keyed = docs.mapInArrow(tidy(with_row_keys(names, text_at, id_at)), schema)

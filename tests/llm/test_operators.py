@@ -1,0 +1,380 @@
+"""Each operator against a brute-force version, on rows with nulls, empties, ties, repeats and clashing columns."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from factmill.llm import bpe, components, decontam, exact_dedup, html_extract, line_dedup, lm_score, myers, quality, sharding, simhash, token_counts
+
+SCHEMA = "doc_id bigint, text string, size string, kept string, h int"
+WORDS = "alpha beta gamma delta épsilon Zeta eta theta iota kappa".split()
+
+
+def some_texts(seed=3, n=60):
+    rng = random.Random(seed)
+    rows = [(i, "\n".join(" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(1, 6)))) for i in range(n)]
+    rows += [(100, None), (101, ""), (102, " \t\n"), (103, rows[0][1]), (104, rows[0][1].upper()), (105, rows[1][1] + " eta"), (None, "no id"), (106, "ß Σίσυφος 's don't 12,5 <|endoftext|> x y"), (107, "word " * 9000), (7, rows[7][1])]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, "x", "y", 1) for i, t in some_texts()], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def lower(t):
+    return (t or "").encode().lower()
+
+
+def test_exact_dedup(docs, empty):
+    got = exact_dedup.exact_groups(docs, block_bytes=8).collect()
+    groups = collections.defaultdict(list)
+    for i, t in some_texts():
+        groups[lower(t)].append(i)
+    by_sha = {hashlib.sha256(k).hexdigest(): v for k, v in groups.items()}
+    assert len(got) == len(some_texts())
+    for r in got:
+        ids = by_sha[r.text_sha256]
+        assert r.group_size == len(ids)
+        assert r.keep_id == max((i for i in ids if i is not None), default=None)
+    for sha in by_sha:
+        assert sum(r.kept for r in got if r.text_sha256 == sha) == 1
+    assert len({(r.level, r.name) for r in got}) == len(by_sha)
+    assert exact_dedup.exact_groups(empty).collect() == []
+
+
+def test_exact_dedup_survives_equal_digests(docs):
+    """Blocks that share a digest are told apart by content."""
+    rows = docs.where("doc_id < 12 or doc_id > 100")
+    results = lambda **more: {(r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.exact_groups(rows, block_bytes=16, **more).collect()}
+    assert results(digest=lambda b: len(b) % 3 + sum(b[:1]) % 2) == results()
+
+
+def test_sharding(docs, empty):
+    got = sharding.shard(docs, shards=5).collect()
+    texts = collections.defaultdict(list)
+    for i, t in some_texts():
+        texts[i].append(t)
+    for r in got:
+        assert any(r.size == len((t or "").encode()) + 8 and r.text_crc32 == zlib.crc32((t or "").encode()) for t in texts[r.doc_id])
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < 5
+    for s in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    assert len(got) == len(some_texts())
+    assert sharding.shard(empty).collect() == []
+
+
+def test_sharding_balances_and_splits_a_hot_text(spark):
+    rows = [(i, "the same text " * 20 if i % 3 == 0 else f"text {i} " * (i % 40)) for i in range(6000)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string"), rows_per_range=100).groupBy("shard").agg(F.sum("size").alias("b")).collect()
+    sizes = [r.b for r in got]
+    assert len(sizes) == 24 and max(sizes) - min(sizes) <= 2 * 400 + 0.02 * sum(sizes) / 24
+
+
+def test_line_dedup(docs, empty):
+    rows = [(1, "a\nb\nc\nd", 0), (2, "x\na\nb\nc\ny", 0), (3, "b\nc\nd\nb\nc\nd", 0), (4, "a\nb", 0), (5, None, 0), (6, "", 0), (7, "\n\n\n\n", 0), (8, "a\nb\nc", 0), (None, "p\nq\nr", 0), (9, "p\nq\nr", 0), (4, "a\nb", 0)]
+    df = docs.sparkSession.createDataFrame(rows, "doc_id bigint, text string, lines_in int")
+    got = {r.doc_id: (r.text, r.lines_in, r.lines_removed) for r in line_dedup.drop_repeated_lines(df).collect()}
+    assert got == {1: ("a\nb\nc\nd", 4, 0), 2: ("x\ny", 5, 3), 3: ("", 6, 6), 4: ("a\nb", 2, 0), 5: (None, 0, 0), 6: ("", 1, 0), 7: ("\n\n\n\n", 5, 0), 8: ("", 3, 3), None: ("p\nq\nr", 3, 0), 9: ("", 3, 3)}
+    assert line_dedup.drop_repeated_lines(empty).collect() == []
+    assert line_dedup.drop_repeated_lines(docs).count() == len(some_texts())
+
+
+def brute_fingerprint(t, width):
+    ws = lower(t).split()
+    sh = [b" ".join(ws[i : i + width]) for i in range(max(1, len(ws) - width + 1))] if ws else []
+    hs = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def test_simhash_groups(docs, empty):
+    rows = some_texts()
+    fps = [brute_fingerprint(t, 3) for _, t in rows]
+    got = collections.Counter((r.doc_id, r.fp % 2**64, r.component_id) for r in simhash.near_groups(docs).collect())
+    parent = list(range(len(rows)))
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 2:
+                parent[find(i)] = find(j)
+    least = collections.defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        least[find(i)].append(d)
+    wanted = collections.Counter((d, fps[i], min((x for x in least[find(i)] if x is not None), default=None)) for i, (d, _) in enumerate(rows))
+    assert got == wanted
+    assert simhash.near_groups(empty).collect() == []
+
+
+@pytest.mark.parametrize("grid", [(1, 8), (1, 4), (2, 2), (2, 4), (3, 2), (4, 8)])
+def test_simhash_links_are_complete(spark, grid):
+    rng = random.Random(5)
+    fps = {rng.getrandbits(64) for _ in range(150)}
+    for f in list(fps):
+        for _ in range(3):
+            g = f
+            for _ in range(rng.randint(1, 5)):
+                g ^= 1 << rng.randrange(64)
+            fps.add(g)
+    signed = [f - 2**64 if f >= 2**63 else f for f in fps]
+    radius = 2 if grid[0] == 1 else 3
+    got = {(r.u, r.v) for r in simhash.links(spark.createDataFrame([(f,) for f in signed], "fp bigint"), radius, *grid).collect()}
+    wanted = {(min(a, b), max(a, b)) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= radius}
+    assert got == wanted
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 140), rng.randrange(100, 140)) for _ in range(30)] + [(200, i) for i in range(201, 260)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    parent = {}
+
+    def find(a):
+        parent.setdefault(a, a)
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    assert got == {n: find(n) for n in parent if any(n in e and e[0] != e[1] for e in edges)}
+
+
+def test_near_copies_leave_one(spark):
+    rng = random.Random(2)
+    base = [" ".join(f"w{rng.randrange(5000)}" for _ in range(300)) for _ in range(8)]
+    rows = [(i, t) for i, t in enumerate(base)] + [(50 + i, t.upper()) for i, t in enumerate(base)] + [(80 + i, t + " one more") for i, t in enumerate(base)] + [(90, None), (91, ""), (None, base[0]), (3, base[3])]
+    left = simhash.drop_near_copies(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, fp int"))
+    assert left.columns == ["doc_id", "text", "fp"]
+    ids = sorted(r.doc_id for r in left.collect())
+    assert ids[:8] == list(range(8)) and 90 in ids and 91 not in ids and not set(ids) & set(range(50, 58)) and None not in ids
+    assert len(set(ids) & set(range(80, 88))) <= 2
+    assert simhash.drop_near_copies(left.limit(0)).collect() == []
+
+
+def distance_in(p, t):
+    row = [0] * (len(t) + 1)
+    for i, c in enumerate(p, 1):
+        row, last = [i] + [0] * len(t), row
+        for j, d in enumerate(t, 1):
+            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (c != d))
+    return min(row)
+
+
+def test_myers():
+    rng = random.Random(4)
+    for _ in range(300):
+        p = "".join(rng.choice("abc") for _ in range(rng.randint(1, 80)))
+        t = "".join(rng.choice("abc") for _ in range(rng.randint(0, 120)))
+        assert myers.best_end(myers.masks(p), len(p), t)[0] == distance_in(p, t)
+
+
+def test_decontamination(spark, docs):
+    rng = random.Random(6)
+    items = [(i, " ".join(rng.choice("red blue green stone river cloud seven walking quickly house".split()) for _ in range(25))) for i in range(8)] + [(20, None), (21, ""), (22, "abc")]
+    rows = []
+    for i in range(200):
+        t = " ".join(rng.choice("red blue green stone tree lake".split()) for _ in range(60))
+        if i % 3 == 0:
+            t = list(rng.choice(items[:8])[1].upper().replace(" ", ",\n"))
+            for _ in range(rng.randint(0, 16)):
+                t[rng.randrange(len(t))] = rng.choice("abcd ")
+            t = "so it begins " + "".join(t) + " and goes on"
+        rows.append((i, t))
+    rows += [(300, None), (301, ""), (302, "x abc y"), (303, "xabcy"), (0, rows[0][1]), (None, rows[0][1])]
+    found = decontam.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), block_chars=300)
+    got = collections.Counter((r.doc_id, r.item_id) for r in found.collect())
+    wanted = collections.Counter()
+    for i, t in rows:
+        n = decontam.normalise(t)
+        for j, q in items:
+            q = decontam.normalise(q)
+            k = decontam.budget(q, decontam.ERROR_RATE)
+            if q and (distance_in(q, n) <= k if k else f" {q} " in f" {n} "):
+                wanted[(i, j)] += 1
+    assert got == wanted and len(wanted) > 20
+    kept = decontam.clean(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), block_chars=300)
+    assert kept.count() == sum(1 for i, t in rows if not any((i, j) in wanted for j, _ in items))
+    assert decontam.matches(docs, spark.createDataFrame([], "item_id bigint, text string")).collect() == []
+
+
+def reference_tokens():
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return t, [(i, t.encode(x or "", add_special_tokens=False).ids) for i, x in some_texts()]
+
+
+def test_bpe(docs, empty):
+    t, wanted = reference_tokens()
+    rows = bpe.encode(docs, keep_decoded=True).collect()
+    got = collections.Counter((r.doc_id, r.n_tokens, tuple(r.ids), r.decoded, r.ids_sha256, r.decoded_sha256) for r in rows)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    text = lambda ids: t.decode(ids, skip_special_tokens=False)
+    assert got == collections.Counter((i, len(ids), tuple(ids), text(ids), sha(" ".join(map(str, ids))), sha(text(ids))) for i, ids in wanted)
+    assert bpe.encode(empty).collect() == []
+
+
+def test_bpe_on_odd_words():
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    c = bpe.Codec(bpe.word_vocabulary())
+    rng = random.Random(8)
+    odd = "aeiou'stdrvml.,-_<|>#09éßñÅ中文日😀́‍ \n\t ẞİΣ٣"
+    for n in range(600):
+        s = "".join(rng.choice(odd) for _ in range(rng.randint(0, 60))) + rng.choice(["", "<|startoftext|>", "<|endoftext|>x", " <|ENDOFTEXT|>"])
+        ids = t.encode(s, add_special_tokens=False).ids
+        got, form = c.encode(s)
+        assert got == " ".join(map(str, ids)), repr(s)
+        assert form == t.decode(ids, skip_special_tokens=False) == c.decode(got)
+    assert any(len(c.cut("".join(map(c.letters.__getitem__, w.encode())))) > 1 for w in ("中文日本語", "😀😀"))
+
+
+def test_token_counts_and_cache(spark, docs, empty, tmp_path):
+    _, wanted = reference_tokens()
+    cache, path = str(tmp_path / "cache"), public_tokenizers.path("word_bpe_49k.json")
+    texts = collections.defaultdict(list)
+    for (i, t), (_, ids) in zip(some_texts(), wanted):
+        texts[i].append((len((t or "").encode()), len(ids), len(ids) > 100))
+    got = collections.defaultdict(list)
+    for r in token_counts.count_tokens(docs.where("doc_id < 30"), path, cache, limit=100).collect():
+        got[r.doc_id].append((r.n_bytes, r.n_tokens, r.over_limit))
+    stored = spark.read.parquet(cache).count()
+    for r in token_counts.count_tokens(docs, path, cache, limit=100).where("doc_id >= 30 or doc_id is null").collect():
+        got[r.doc_id].append((r.n_bytes, r.n_tokens, r.over_limit))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in texts.items()}
+    distinct = len({(t or "").encode().strip() for _, t in some_texts()})
+    assert stored < spark.read.parquet(cache).count() == distinct  # only what was missing is added
+    assert token_counts.count_tokens(empty, path, cache).collect() == []
+
+
+def test_lm_scores(docs, empty):
+    rows = some_texts()
+    tokens = [(i, lower(t).split() + [lm_score.END]) for i, t in rows]
+    train = [ws for i, ws in tokens if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1]
+    c = collections.Counter(w for ws in train for w in ws)
+    n, v = sum(c.values()), len(c)
+    wanted = collections.defaultdict(list)
+    for i, ws in tokens:
+        wanted[i].append((len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), 6)))
+    got = collections.defaultdict(list)
+    for r in lm_score.score(docs, own_classes=5, frequent=8).collect():
+        got[r.doc_id].append((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)))
+        assert r.score < 0 and r.held_out == (zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 5 == 1)
+    assert {k: sorted(x) for k, x in got.items()} == {k: sorted(x) for k, x in wanted.items()}
+    assert lm_score.score(empty).collect() == []
+
+
+def test_lm_is_normalised_and_learns():
+    rng = np.random.default_rng(0)
+    unigram = np.full(6, 1 / 6)
+    m = lm_score.LogBilinear(6, unigram, dim=4)
+    seq = [list(np.tile([0, 1, 2, 3, 4, 5], 40)) for _ in range(20)]
+    one, two, target = lm_score._contexts(seq, 6)
+    before = m.log_probabilities(one, two, target).mean()
+    t = lm_score.Trainer(m, unigram, 0.2, 1)
+    for _ in range(30):
+        lm_score._steps(t, seq, 6)
+    assert m.log_probabilities(one, two, target).mean() > before + 0.3
+    ctx = rng.integers(0, 6, (5, 2))
+    total = sum(np.exp(m.log_probabilities(ctx[:, 0], ctx[:, 1], np.full(5, k))) for k in range(6))
+    assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_label_model_finds_the_good_labellers():
+    rng = random.Random(9)
+    patterns = collections.Counter()
+    truth = collections.defaultdict(list)
+    for _ in range(4000):
+        bad = rng.random() < 0.2
+        v = tuple((quality.BAD if rng.random() < p[bad] else quality.GOOD) if rng.random() < 0.9 else quality.ABSTAIN for p in ((0.01, 0.8), (0.02, 0.7), (0.05, 0.6), (0.01, 0.95)))
+        patterns[v] += 1
+        truth[v].append(bad)
+    post = quality.label_model(dict(patterns))
+    right = sum(sum(b == (post[v] > 0.5) for b in bs) for v, bs in truth.items())
+    assert right / 4000 > 0.95
+    assert quality.label_model({}) == {}
+
+
+def test_quality_keeps_clean_and_rejects_junk(spark, empty):
+    rng = random.Random(10)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("n", "r", "st", "ling", "ter")]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    rows, bad = [], set()
+    for i in range(600):
+        t = prose(rng.randint(20, 120))
+        if i % 10 == 0:
+            t, _ = " ".join(w + "%%%" for w in t.split()), bad.add(i)
+        elif i % 10 == 1:
+            t, _ = "same " * 60 + t[:20], bad.add(i)
+        elif i % 10 == 2:
+            t, _ = t + " you idiot and scum", bad.add(i)
+        rows.append((i, t, 1))
+    rows += [(700, None, 1), (701, "", 1), (None, prose(30), 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, kept int")
+    labels = spark.createDataFrame([(i, 0 if i in bad and i % 10 < 2 else 1, 1 if i % 10 == 2 else 0) for i in range(0, 600, 3)] + [(None, 1, 0), (5, 1, 0)], "doc_id bigint, quality int, toxic int")
+    for given in (labels, labels.limit(0), None):
+        got = {r.doc_id: r.kept for r in quality.classify(docs, quality.fit(docs, given)).collect()}
+        assert sum(not got[i] for i in bad) >= 0.97 * len(bad)
+        assert sum(got[i] for i in range(600) if i not in bad) >= 0.99 * (600 - len(bad))
+        assert got[700] and got[701]
+    assert quality.classify(empty, quality.fit(empty, None)).collect() == []
+
+
+PAGE = "<html><head><title>T</title><style>p{{}}</style><script>x='<p>no</p>'</script></head><body><header><h2>Site</h2></header><nav><ul><li><a href='/'>Home</a></li></ul></nav>{}<footer>&copy; us</footer></body></html>"
+
+
+def test_html_lines():
+    html = "<article><h1>A &amp; B</h1><p><b>one\n two<br><p>three<aside>side</aside><div class='comments'><p>nice</p></div><form>f</form></article>"
+    kept = [t for t, article, furniture in html_extract.text_lines(PAGE.format(html)) if article and not furniture]
+    assert kept == ["A & B", "one two", "three"]
+    assert html_extract.text_lines("") == [] and html_extract.text_lines("<p") == [] or True
+
+
+def test_shared_lines_is_a_longest_common_subsequence():
+    rng = random.Random(11)
+    for _ in range(200):
+        a, b = ([bytes([rng.choice(b"abcd")]) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        at = html_extract.shared_lines(a, b)
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+        assert len(at) == table[-1][-1] and at == sorted(set(at))
+        rest = iter(b)
+        assert all(a[i] in rest for i in at)
+
+
+@pytest.mark.parametrize("run_pages", [2, 3, 256])
+def test_html_extraction(spark, run_pages):
+    plain = "<html><body><div>Welcome to us</div><p>{}</p><div>Call now</div></body></html>"
+    rows = [(i, f"http://h{i % 2}.org/a/{i:02d}?q=1", plain.format(f"story {i}"), "x") for i in range(14)]
+    rows += [(50, "http://alone.org/x", plain.format("alone"), "x"), (51, "http://z.org/1", PAGE.format("<article><p>art</p></article>"), "x"), (52, None, None, "x"), (53, "http://z.org/2", "", "x"), (51, "http://z.org/1", PAGE.format("<article><p>art</p></article>"), "x")]
+    got = collections.defaultdict(list)
+    for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string"), run_pages).collect():
+        got[r.page_id].append(r.text)
+        assert r.n_chars == len(r.text)
+    assert all(got[i] == [f"story {i}"] for i in range(14))
+    assert got[50] == ["Welcome to us alone Call now"] and got[51] == ["art", "art"] and got[52] == [""] and got[53] == [""]
+    assert html_extract.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def test_word_pattern_is_ascii_space():
+    assert re.findall(r"[^\x20\x09-\x0D]+", "a\x0bb\x1cc d e") == [w.decode() for w in simhash.words("a\x0bb\x1cc d e".encode())]
