@@ -304,7 +304,7 @@ def test_label_model_finds_the_good_labellers():
     truth = collections.defaultdict(list)
     for _ in range(4000):
         bad = rng.random() < 0.2
-        v = tuple((quality.BAD if rng.random() < p[bad] else quality.GOOD) if rng.random() < 0.9 else quality.ABSTAIN for p in ((0.01, 0.8), (0.02, 0.7), (0.05, 0.6), (0.01, 0.95)))
+        v = tuple((quality.BAD if rng.random() < p[bad] else quality.GOOD) if rng.random() < 0.9 else quality.ABSTAIN for p in ((0.003, 0.8), (0.004, 0.7), (0.005, 0.6), (0.001, 0.95)))
         patterns[v] += 1
         truth[v].append(bad)
     post = quality.label_model(dict(patterns))
