@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse, is_blank, token_length
+from ..functions.text import collapse, is_blank, strip, token_length
 
 
 def window_starts(length: Column, size: int, overlap: int) -> Column:
@@ -16,10 +16,23 @@ def window_starts(length: Column, size: int, overlap: int) -> Column:
 
 
 def char_windows(text: Column, size: int, overlap: int) -> Column:
-    """Windows of so many tokens, at four characters each, over collapsed text; outer white space goes from each."""
-    plain = collapse(text)
-    cut = F.transform(window_starts(F.length(plain), size * 4, overlap * 4), lambda s: collapse(F.substr(plain, s + 1, F.lit(size * 4))))
-    return F.filter(cut, lambda w: F.length(w) > 0)
+    """Windows of so many tokens, at four characters each, over collapsed text; outer white space goes from each.
+
+    The text is cut once into pieces of a step each, and a window is put together from the pieces it
+    spans: looking for every window's start from the beginning would take quadratic time.
+    """
+    width, step = size * 4, max(1, size * 4 - overlap * 4)
+    span = -(-width // step)
+
+    def cut(plain: Column, pieces: Column) -> Column:
+        count = F.size(window_starts(F.length(plain), width, overlap * 4))
+        at = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: strip(F.substring(F.array_join(F.slice(pieces, i, F.lit(span)), ""), 1, width)))
+
+    # each is bound once by a transform over one element; inside the lambda it would be made anew for every window
+    once = F.transform(F.array(collapse(text)), lambda p: F.struct(p.alias("plain"), F.regexp_extract_all(p, F.lit(f"(?s).{{1,{step}}}"), F.lit(0)).alias("pieces")))
+    windows = F.flatten(F.transform(once, lambda o: cut(o["plain"], o["pieces"])))
+    return F.filter(windows, lambda w: F.length(w) > 0)
 
 
 def token_windows(tokens: Column, size: int, overlap: int) -> Column:
