@@ -103,13 +103,19 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
-def tidy(run):
-    """run, for mapInArrow, giving back the memory that it held once it ends: a worker lives on for other stages."""
+def tidy(run, pause_gc: bool = False):
+    """run, for mapInArrow, giving back the memory that it held once it ends: a worker lives on for other stages.
+
+    With pause_gc the search for cycles rests meanwhile, for steps that make many objects and no cycles.
+    """
 
     def whole(batches):
+        if pause_gc:
+            gc.disable()
         try:
             yield from run(batches)
         finally:
+            gc.enable()
             give_back()
 
     return whole

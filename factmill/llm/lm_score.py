@@ -291,7 +291,7 @@ def _train(docs: DataFrame, vocabulary, rounds: int) -> np.ndarray:
     v = vocabulary.value
     params = LogBilinear(v.size, v.unigram).vector()
     for k in range(rounds):
-        each = docs.mapInArrow(tidy(_training(vocabulary, params, 0.05 / (k + 1))), "n bigint, v binary")
+        each = docs.mapInArrow(tidy(_training(vocabulary, params, 0.05 / (k + 1)), pause_gc=True), "n bigint, v binary")
         width = max(1, round(each.rdd.getNumPartitions() ** 0.5))  # averages of averages: no task takes all
         mean = each.repartition(width).mapInArrow(tidy(_average), "n bigint, v binary").repartition(1).mapInArrow(tidy(_average), "n bigint, v binary").collect()
         if mean:
@@ -301,7 +301,7 @@ def _train(docs: DataFrame, vocabulary, rounds: int) -> np.ndarray:
 
 def learn(docs: DataFrame, own_classes: int = OWN_CLASSES, frequent: int = FREQUENT) -> tuple[DataFrame, Vocabulary]:
     """(counts of all training words, vocabulary). docs has doc_id and text."""
-    counts = cut(docs.mapInArrow(tidy(_count), "w binary, shape int, c bigint").groupBy("w").agg(F.min("shape").alias("shape"), F.sum("c").alias("c")))
+    counts = cut(docs.mapInArrow(tidy(_count, pause_gc=True), "w binary, shape int, c bigint").groupBy("w").agg(F.min("shape").alias("shape"), F.sum("c").alias("c")))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     # how often a word must occur to be among the frequent ones: from the counts of counts above a floor
     least, held = 1, 0
@@ -388,7 +388,7 @@ def score(docs: DataFrame, rounds: int = 1, id_col: str = "doc_id", text_col: st
     counts, v = learn(docs, own_classes, frequent)
     shared = docs.sparkSession.sparkContext.broadcast(v)
     params = _train(docs, shared, rounds)
-    seen = docs.mapInArrow(tidy(_scoring(shared, params)), "uid bigint, doc_id bigint, w binary, shape int, k bigint, known bigint, base double, model double")
+    seen = docs.mapInArrow(tidy(_scoring(shared, params), pause_gc=True), "uid bigint, doc_id bigint, w binary, shape int, k bigint, known bigint, base double, model double")
     rare = seen.join(counts.where(~F.col("w").isin([bytearray(END)])).select("w", "c"), "w", "left")
     log_mass = F.element_at(F.array(*[F.lit(float(x)) for x in np.log10(v.mass)]), F.col("shape") + 1)
     each = F.log10(F.coalesce("c", F.lit(0)) + 0.5)
