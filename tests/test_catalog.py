@@ -22,7 +22,10 @@ def con():
 def plain(v):
     if v is None or v is pd.NA or v is pd.NaT or v != v:
         return None
-    return round(float(v), 6) if isinstance(v, (int, float)) or getattr(getattr(v, "dtype", None), "kind", "") in "iuf" and hasattr(v, "dtype") else str(v)
+    kind = getattr(getattr(v, "dtype", None), "kind", "")
+    if isinstance(v, bool) or kind == "b":
+        return str(bool(v))
+    return round(float(v), 6) if isinstance(v, (int, float)) or kind in ("i", "u", "f") else str(v)
 
 
 def rows(df):
