@@ -107,8 +107,8 @@ def _around(group: int, cell: Column, offsets: list[int]) -> Column:
     return F.transform(each, lambda o: F.struct(F.lit(group).alias("g"), (cell + o).alias("cell")))
 
 
-def links(nodes: DataFrame, radius: int, groups: int, bits: int) -> DataFrame:
-    """(u, v) with u < v for the distinct fingerprints of nodes (fp) that differ in at most radius bits."""
+def _cells(radius: int, groups: int, bits: int) -> tuple[Column, Column]:
+    """Arrays of (g, cell) for a column fp: the cell of each group, and the half of the cells about it that it probes."""
     total = 64 // bits
     cuts = [total * g // groups for g in range(groups + 1)]
     width = max(3, bits.bit_length())  # of a packed count
@@ -121,8 +121,14 @@ def links(nodes: DataFrame, radius: int, groups: int, bits: int) -> DataFrame:
         offsets = [sum(d << lane for d, lane in zip(v, lanes)) for v in _ball(len(segments), radius // groups)]
         own.append(F.struct(F.lit(g).alias("g"), cell.alias("cell")))
         probes.append(_around(g, cell, offsets))
-    left = nodes.select(F.col("fp").alias("a"), F.explode(F.flatten(F.array(*probes))).alias("at")).select("a", "at.g", "at.cell")
-    right = nodes.select(F.col("fp").alias("b"), F.explode(F.array(*own)).alias("at")).select("b", "at.g", "at.cell")
+    return F.array(*own), F.flatten(F.array(*probes))
+
+
+def links(nodes: DataFrame, radius: int, groups: int, bits: int) -> DataFrame:
+    """(u, v) with u < v for the distinct fingerprints of nodes (fp) that differ in at most radius bits."""
+    own, probes = _cells(radius, groups, bits)
+    left = nodes.select(F.col("fp").alias("a"), F.explode(probes).alias("at")).select("a", "at.g", "at.cell")
+    right = nodes.select(F.col("fp").alias("b"), F.explode(own).alias("at")).select("b", "at.g", "at.cell")
     near = left.join(right, (left.g == right.g) & (left.cell == right.cell) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius) & (F.col("a") != F.col("b")))
     return near.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
@@ -146,15 +152,46 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return marked.join(homes, "fp").select("doc_id", "fp", "component_id", "component_size")
 
 
-def _row_marks(width: int, text_at: int, id_at: int):
+def fingerprint_family(hashes: np.ndarray, members: int) -> list[int]:
+    """Independent fingerprints of the same shingles: the first as fingerprint() has it, the others of the hashes mixed anew."""
+    n = len(hashes)
+    if not n:
+        return [0] * members
+    out = []
+    for i in range(members):
+        h = hashes
+        if i:
+            h = hashes * np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64)
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+        count = np.empty((8, 8), np.int64)  # by place in the byte, by byte
+        for place in range(8):
+            lanes = h >> np.uint64(place) & np.uint64(0x0101010101010101)
+            sums = np.add.reduceat(lanes, np.arange(0, n, 255))  # a byte holds the sum of 255
+            count[place] = sums.view(np.uint8).reshape(-1, 8).sum(0, dtype=np.int64)
+        out.append(int(np.packbits((count.T * 2 > n).ravel(), bitorder="little").view("<u8")[0]))
+    return out
+
+
+def parities(shingles: np.ndarray) -> tuple[int, int]:
+    """Of a set of shingle hashes, how many end in each of 128 values, modulo 2: two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((shingles & np.uint64(127)).astype(np.int64), minlength=128) & 1
+    return tuple(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist())
+
+
+def _row_marks(width: int, print_width: int, members: int, text_at: int, id_at: int):
     def run(batches):
         for batch in batches:
             rows = []
             for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at))):
                 ws = words(b)
-                rows.append((row_key(d, b), d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint(shingle_hashes(ws, width))))
-            keys, ids, nodes, fps = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64))], ["key", "doc_id", "node", "fp"])
+                shingles = np.unique(shingle_hashes(ws, width))
+                rows.append((row_key(d, b), d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint_family(shingle_hashes(ws, print_width), members), *parities(shingles), len(shingles)))
+            keys, ids, nodes, fps, low, high, sizes = zip(*rows) if rows else ((),) * 7
+            flat = pa.array(np.array(fps, np.uint64).reshape(-1).view(np.int64))
+            family = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * members, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), family, pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(sizes, pa.int32())], ["key", "doc_id", "node", "fps", "low", "high", "size"])
 
     return run
 
@@ -183,38 +220,89 @@ def _shingle_sets(width: int):
     return run
 
 
-def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _alike(docs: DataFrame, text_col: str, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets of shingles have at least that Jaccard similarity."""
+    wanted = cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(_first_texts), "node binary, plain binary").join(broadcast_if_small(wanted, 40), "node", "left_semi")
+    once = texts.groupBy("node").agg(F.min("plain").alias("plain"))  # tasks have met the same text
+    sets = cut(once.mapInArrow(tidy(_shingle_sets(width)), "node binary, shingles array<bigint>"))
+    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    return cut(pairs.join(x, "a").join(y, "b").where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
+
+
+#: What a side of a candidate pair is judged by: a fingerprint, the parities of its shingles and their number.
+_JUDGED = ("fp", "low", "high", "size")
+
+
+def _may_be_alike(radius: int, similarity: float) -> Column:
+    """For columns u_* and v_*: fingerprints within radius, and no more shingles surely apart than the similarity allows."""
+    apart = lambda c: F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}")))
+    return (apart("fp") <= radius) & ((apart("low") + apart("high")) * (1 + similarity) <= (F.col("u_size") + F.col("v_size")) * (1 - similarity) + 1e-6)
+
+
+def _half_pairs(nodes: DataFrame, radius: int, similarity: float, heads: int = 4) -> DataFrame:
+    """(a, b): nodes and heads that may be alike, heads being a few of the nodes that share a half of a fingerprint, chosen by digest."""
+    each = nodes.select("node", "low", "high", "size", F.posexplode("fps").alias("k", "fp"))
+    half = F.explode(F.array(*[F.struct(F.lit(i).alias("h"), F.shiftrightunsigned("fp", 32 * i).bitwiseAND(0xFFFFFFFF).alias("bits")) for i in range(2)]))
+    halves = each.select("node", *_JUDGED, "k", half.alias("at")).select("node", *_JUDGED, "k", "at.h", "at.bits")
+    picks = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("order"), "node", *_JUDGED)) for i in range(heads)]
+    picked = halves.groupBy("k", "h", "bits").agg(F.array_distinct(F.transform(F.array(*picks), lambda x: x.dropFields("order"))).alias("heads"), F.count("*").alias("rows"))
+    picked = cut(picked.where("rows > 1").select("k", "h", "bits", F.explode("heads").alias("head")))
+    u = picked.select("k", "h", "bits", F.col("head.node").alias("a"), *[F.col(f"head.{c}").alias(f"u_{c}") for c in _JUDGED])
+    v = halves.select("k", "h", "bits", F.col("node").alias("b"), *[F.col(c).alias(f"v_{c}") for c in _JUDGED])
+    return v.join(u, ["k", "h", "bits"]).where(_may_be_alike(radius, similarity) & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _grid_pairs(nodes: DataFrame, radius: int, similarity: float, groups: int, bits: int) -> DataFrame:
+    """(a, b): nodes of different parts that may be alike, by a range-join of each fingerprint's grid; equal ones of a part go by the least node."""
+    each = nodes.select("node", "part", "low", "high", "size", F.posexplode("fps").alias("k", "fp"))
+    each = cut(each.groupBy("k", "part", *_JUDGED).agg(F.min("node").alias("node")))
+    own, probes = _cells(radius, groups, bits)
+
+    def side(at: Column, n: str) -> DataFrame:
+        return each.select("k", F.col("part").alias(f"{n}_part"), *[F.col(c).alias(f"{n}_{c}") for c in _JUDGED], F.explode(at).alias("at")).select("k", "at.g", "at.cell", f"{n}_part", *[f"{n}_{c}" for c in _JUDGED])
+
+    key = lambda n: [f"{n}_{c}" for c in ("part", *_JUDGED)]
+    named = lambda n, alias: each.select("k", F.col("part").alias(f"{n}_part"), *[F.col(c).alias(f"{n}_{c}") for c in _JUDGED], F.col("node").alias(alias))
+    near = side(probes, "u").join(side(own, "v"), ["k", "g", "cell"]).where(_may_be_alike(radius, similarity) & (F.col("u_part") != F.col("v_part")))
+    near = cut(near.select("k", *key("u"), *key("v")).distinct())
+    met = near.join(named("u", "a"), ["k", *key("u")]).join(named("v", "b"), ["k", *key("v")])
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def drop_near_copies(
+    docs: DataFrame, width: int = 5, radius: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", members: int = 4, print_width: int = 2
+) -> DataFrame:
     """docs less its near copies: of each group, the row with the smallest doc_id stays.
 
-    Texts with the same words are one. Others are candidates if their fingerprints over shingles of
-    width words differ in at most radius bits, and linked if their shingle sets have a Jaccard
-    similarity of at least similarity; texts of one fingerprint are compared with the first of them.
+    Texts with the same words are one. Others are linked if their sets of shingles of width words
+    have a Jaccard similarity of at least similarity, and are compared if one of their fingerprints
+    over shingles of print_width words, members in number, differs in at most radius bits. (An edit
+    changes fewer short shingles than long ones, so that copies at the limit of similarity still lie
+    within the radius; a single fingerprint over five words finds few of them.) Texts that share
+    half a fingerprint are compared with a few of them first; the grid then compares only texts that
+    these links have not put into one part, and whose shingles are not surely too far apart, so that
+    a large group doesn't meet itself whole.
     Groups are what links connect. Null counts as empty, null ids come after all others, and rows
     that repeat whole are one document. All columns pass through, whatever their names.
     """
     bound_batches(docs.sparkSession)
     names = docs.columns
     text_at, id_at = names.index(text_col), names.index(id_col)
-    marks = cut(docs.mapInArrow(tidy(_row_marks(width, text_at, id_at)), "key binary, doc_id bigint, node binary, fp bigint"))
+    marks = cut(docs.mapInArrow(tidy(_row_marks(width, print_width, members, text_at, id_at)), "key binary, doc_id bigint, node binary, fps array<bigint>, low bigint, high bigint, size int"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
-    nodes = cut(marks.groupBy("node").agg(F.min("fp").alias("fp"), F.min(order).alias("least")))
-    heads = cut(nodes.groupBy("fp").agg(F.min("node").alias("head")))
-    groups, bits = plan_grid(heads.count(), radius)
-    near = links(heads.select("fp"), radius, groups, bits)
-    a, b = heads.select(F.col("fp").alias("u"), F.col("head").alias("a")), heads.select(F.col("fp").alias("v"), F.col("head").alias("b"))
-    same = nodes.join(heads, "fp").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    pairs = cut(near.join(a, "u").join(b, "v").select("a", "b").unionByName(same))
-    wanted = cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(_first_texts), "node binary, plain binary").join(broadcast_if_small(wanted, 40), "node", "left_semi")
-    once = texts.groupBy("node").agg(F.min("plain").alias("plain"))  # tasks have met the same text
-    sets = cut(once.mapInArrow(tidy(_shingle_sets(width)), "node binary, shingles array<bigint>"))
-    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    alike = pairs.join(x, "a").join(y, "b").where(common >= similarity * (F.size("x") + F.size("y") - common))
+    nodes = cut(marks.groupBy("node").agg(F.min(F.struct("fps", "low", "high", "size")).alias("marks"), F.min(order).alias("least")).select("node", "least", "marks.*"))
+    first = _alike(docs, text_col, cut(_half_pairs(nodes, radius, similarity)), width, similarity)
+    parts = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    parted = nodes.join(parts, "node", "left").select("node", "fps", "low", "high", "size", F.xxhash64(F.coalesce("root", "node")).alias("part"))
+    groups, bits = plan_grid(nodes.count(), radius)
+    second = _alike(docs, text_col, cut(_grid_pairs(parted, radius, similarity, groups, bits)), width, similarity)
+    alike = first.unionByName(second)
     roots = components(alike.select(F.col("a").alias("u"), F.col("b").alias("v")))
     homes = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     stays = cut(homes.groupBy("root").agg(F.min("least").alias("stays")))  # by itself, so that a hot group can be split
-    gone = cut(marks.join(homes.join(stays, "root").select("node", "stays.key").withColumnRenamed("key", "stays"), "node").where("key <> stays").select(F.col("key").alias("__row_key")).distinct())
+    gone = cut(marks.select("key", "node").join(homes.join(stays, "root").select("node", "stays.key").withColumnRenamed("key", "stays"), "node").where("key <> stays").select(F.col("key").alias("__row_key")).distinct())
     schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
     keyed = docs.mapInArrow(tidy(with_row_keys(names, text_at, id_at)), schema)
     left = keyed.join(broadcast_if_small(gone, 40), "__row_key", "left_anti")
