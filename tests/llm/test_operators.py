@@ -378,3 +378,22 @@ def test_html_extraction(spark, run_pages):
 
 def test_word_pattern_is_ascii_space():
     assert re.findall(r"[^\x20\x09-\x0D]+", "a\x0bb\x1cc d e") == [w.decode() for w in simhash.words("a\x0bb\x1cc d e".encode())]
+
+
+def test_parities_never_exceed_the_difference_of_sets():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 50, 400):
+        base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        for extra in (0, 1, 20, 300):
+            other = np.unique(np.concatenate([base[extra // 2 :], rng.integers(0, 2**64, extra, dtype=np.uint64)]))
+            bits = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(simhash.parities(base), simhash.parities(other)))
+            assert bits <= len(np.setxor1d(base, other))
+
+
+def test_the_first_of_a_family_is_the_fingerprint():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 254, 255, 256, 3000):
+        hashes = rng.integers(0, 2**64, n, dtype=np.uint64)
+        family = simhash.fingerprint_family(hashes, 4)
+        assert family[0] == simhash.fingerprint(hashes)
+        assert len(family) == 4 and (not n or len(set(family)) > 1)
