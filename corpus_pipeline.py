@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factmill.llm import bpe, decontam, line_dedup, quality, simhash
-from factmill.llm.common import read, shared_dir
+from factmill.llm.common import cut, read, shared_dir
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line passages are cut out of the texts; no row goes."""
-    cleaned = line_dedup.drop_repeated_lines(docs)
+    """Later occurrences of three-line passages, and then of passages of fifty words however they lie on lines, are cut out of the texts; no row goes."""
+    cleaned = line_dedup.drop_repeated_passages(cut(line_dedup.drop_repeated_lines(docs).select(docs.columns)))
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -1,7 +1,8 @@
-"""Line deduplication over overlapping windows of three lines."""
+"""Line deduplication over overlapping windows of three lines, and of passages over windows of fifty words."""
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, tidy, with_row_keys
 
 LINES = 3
+#: Words of a passage's window, and of the runs by which windows that may be repeated are found.
+PASSAGE, ANCHOR = 50, 26
 
 
 def window_digests(text: bytes, lines: int = LINES) -> list[bytes]:
@@ -75,6 +78,136 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end, in bytes; what parts them is 0x20 and 0x09-0x0D."""
+    b = np.frombuffer(text, np.uint8)
+    inside = np.zeros(len(b) + 2, np.int8)
+    inside[1:-1] = (b != 32) & ((b < 9) | (b > 13))
+    steps = np.diff(inside)
+    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+
+
+_FACTOR = 0x9E3779B97F4A7C15  # odd, so it has an inverse
+
+
+def anchors(text: bytes, passage: int = PASSAGE, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first words) of runs of so many words: one at least of each run of passage words, chosen by its content alone (winnowing).
+
+    Equal passages therefore hold anchors of equal hashes, wherever they stand.
+    """
+    ws = text.split()
+    n = len(ws) - anchor + 1
+    if len(ws) < passage:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    digest = xxhash.xxh3_64_intdigest
+    hashes = np.fromiter(map(digest, ws), np.uint64, len(ws))
+    powers = np.cumprod(np.full(len(ws), _FACTOR, np.uint64))
+    back = np.cumprod(np.full(n, pow(_FACTOR, -1, 2**64), np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers)])
+    runs = (sums[anchor:] - sums[:n]) * back
+    runs ^= runs >> np.uint64(31)
+    runs *= np.uint64(0xBF58476D1CE4E5B9)
+    runs ^= runs >> np.uint64(29)
+    each, least = passage - anchor + 1, []
+    for at in range(0, n - each + 1, 1 << 14):
+        part = np.lib.stride_tricks.sliding_window_view(runs[at : at + (1 << 14) + each - 1], each)
+        least.append(part.argmin(1) + np.arange(at, at + len(part)))
+    places = np.unique(np.concatenate(least))
+    return runs[places].view(np.int64), places
+
+
+def _anchors(batches):
+    for batch in batches:
+        for part in slices(batch, "text"):
+            ids, keys, hs, at = part.column("doc_id").to_pylist(), [], [], []
+            for d, b in zip(ids, as_bytes(part.column("text"))):
+                found, places = anchors(b)
+                keys.append(row_key(d, b))
+                hs.append(found)
+                at.append(places)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(hs, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int64()))], ["key", "hs", "at"])
+
+
+def _passages(batches):
+    """For rows (doc_id, text, at): digests of the windows of PASSAGE words that hold one of the anchors at these words."""
+    for batch in batches:
+        for part in slices(batch, "text", 1 << 20):
+            ids, keys, starts, ws = part.column("doc_id"), [], [], []
+            for d, b, at in zip(ids.to_pylist(), as_bytes(part.column("text")), part.column("at").to_pylist()):
+                words = b.split()
+                joined = b" ".join(words)
+                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+                first = np.asarray(at, np.int64)[:, None] - np.arange(PASSAGE - ANCHOR + 1)
+                first = np.unique(first[(first >= 0) & (first <= len(words) - PASSAGE)])
+                bounds = zip(np.where(first > 0, ends[first - 1] + 1, 0).tolist(), ends[first + PASSAGE - 1].tolist())
+                keys.append(row_key(d, b))
+                starts.append(first)
+                ws.append([xxhash.xxh3_128_digest(joined[x:y]) for x, y in bounds])
+            arrays = [ids, pa.array(keys, pa.binary()), pa.array(starts, pa.list_(pa.int64())), pa.array(ws, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "starts", "ws"])
+
+
+def without_words(text: bytes, starts: list[int], words: int = PASSAGE) -> bytes:
+    """text less the runs of so many words that start at these; where a run goes, the longer break of its two sides stays."""
+    a, z = word_places(text)
+    steps = np.zeros(len(a) + 1, np.int64)
+    np.add.at(steps, np.asarray(starts, np.int64), 1)
+    np.add.at(steps, np.minimum(np.asarray(starts, np.int64) + words, len(a)), -1)
+    edges = np.diff(np.concatenate([[0], np.cumsum(steps[:-1]) > 0, [0]]).astype(np.int8))
+    out, at = [], 0  # at: a byte
+    for i, j in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()):  # words i to j - 1 go
+        before = z[i - 1] if i else 0
+        after = a[j] if j < len(a) else len(text)
+        out.append(text[at:before])
+        if i and j < len(a):
+            out.append(max(text[before : a[i]], text[z[j - 1] : after], key=lambda s: s.count(b"\n")))
+        at = after
+    return b"".join([*out, text[at:]])
+
+
+def _without_passages(names: list[str], text_at: int):
+    def run(batches):
+        for batch in batches:
+            starts = batch.column("__starts").to_pylist()
+            texts = batch.column(text_at).to_pylist()
+            texts = [t if s is None else without_words(t.encode(), s).decode() for t, s in zip(texts, starts)]
+            columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
+
+
+def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with its text less the repeated passages of PASSAGE words or more, wherever lines end.
+
+    A passage is a run of PASSAGE consecutive words, white space apart. Of equal passages across the
+    whole table the one that comes first by (doc_id, word) stays, and every word that a later one
+    covers goes. None is missed: every passage holds an anchor that its equals hold too, and all
+    windows about repeated anchors are compared by 128-bit digests. Shorter repeats stay. Rows that
+    agree in id and text are one document; null texts stay null, and all columns pass through.
+    """
+    bound_batches(docs.sparkSession)
+    names = docs.columns
+    text_at = names.index(text_col)
+    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    found = narrow.mapInArrow(tidy(_anchors), "key binary, hs array<bigint>, at array<bigint>").where(F.size("hs") > 0)
+    found = cut(found.select("key", F.explode(F.arrays_zip("hs", "at")).alias("x")).select("key", "x.hs", "x.at").distinct())
+    again = cut(found.groupBy("hs").agg(F.count("*").alias("n")).where("n > 1").select("hs"))
+    places = cut(found.join(broadcast_if_small(again, 16), "hs").groupBy("key").agg(F.collect_set("at").alias("at")))
+    keyed = narrow.mapInArrow(tidy(with_row_keys(["doc_id", "text"], 1, 0)), "doc_id bigint, text string, __row_key binary")
+    held = keyed.join(broadcast_if_small(places.withColumnRenamed("key", "__row_key"), 400), "__row_key").dropDuplicates(["__row_key"]).select("doc_id", "text", "at")
+    seen = held.mapInArrow(tidy(_passages), "doc_id bigint, key binary, starts array<bigint>, ws array<binary>")
+    windows = cut(seen.select("doc_id", "key", F.explode(F.arrays_zip("starts", "ws")).alias("x")).select("doc_id", "key", F.col("x.starts").alias("pos"), F.col("x.ws").alias("w")))
+    at = F.struct(F.col("doc_id"), F.col("key"), F.col("pos"))
+    repeated = cut(windows.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(F.col("first") != F.col("last")).select("w", "first"))
+    later = windows.join(broadcast_if_small(repeated, 120), "w").where(at != F.col("first"))
+    starts = cut(later.groupBy(F.col("key").alias("__row_key")).agg(F.collect_set("pos").alias("__starts")))
+    schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
+    whole = docs.mapInArrow(tidy(with_row_keys(names, text_at, names.index(id_col))), schema)
+    joined = whole.join(broadcast_if_small(starts, 400), "__row_key", "left").select(*[F.col(f"`{c}`") for c in names], "__starts")
+    return joined.mapInArrow(tidy(_without_passages(names, text_at)), docs.schema)
+
+
 SQL = """
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 e AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM l),

@@ -95,6 +95,30 @@ def test_line_dedup(docs, empty):
     assert line_dedup.drop_repeated_lines(docs).count() == len(some_texts())
 
 
+def test_repeated_passages_go_whole_however_they_lie_on_lines(spark):
+    rng = random.Random(12)
+    prose = lambda n: [f"w{rng.randrange(10**6)}é" for _ in range(n)]
+    passages = [prose(n) for n in (50, 51, 60, 75, 120, 49)]
+    rows = [(i, " ".join(p), 1) for i, p in enumerate(passages)]
+    for i in range(10, 40):
+        p = rng.choice(passages)
+        rows.append((i, " ".join([*prose(rng.randint(0, 80)), ""]) + "".join(w + rng.choice(["  ", " ", "\n"] if i % 2 else [" "]) for w in p) + " ".join(prose(rng.randint(0, 80))), 1))
+    rows += [(50, "same " * 300, 1), (51, None, 1), (52, "", 1), (None, " ".join(passages[4][10:80]), 1), (3, rows[3][1], 1), (53, "x\n" + " ".join(passages[2]) + "\ny z", 1)]
+    seen, wanted = set(), collections.Counter()
+    for i, t in sorted({r[:2] for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ws = (t or "").split()
+        gone = set()
+        for k in range(len(ws) - 49):
+            run = tuple(ws[k : k + 50])
+            gone |= set(range(k, k + 50)) if run in seen else set()
+            seen.add(run)
+        wanted[i, None if t is None else tuple(w for k, w in enumerate(ws) if k not in gone)] += sum(r[:2] == (i, t) for r in rows)
+    left = line_dedup.drop_repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string, size int").repartition(3)).collect()
+    assert collections.Counter((r.doc_id, None if r.text is None else tuple(r.text.split())) for r in left) == wanted
+    assert {r.text for r in left if r.doc_id == 53} == {"x\ny z"}
+    assert line_dedup.drop_repeated_passages(spark.createDataFrame(rows[:0], "doc_id bigint, text string, size int")).collect() == []
+
+
 def brute_fingerprint(t, width):
     ws = lower(t).split()
     sh = [b" ".join(ws[i : i + width]) for i in range(max(1, len(ws) - width + 1))] if ws else []

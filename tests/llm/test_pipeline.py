@@ -28,3 +28,9 @@ def test_stages_take_odd_rows_and_none(spark):
 def test_one_query_for_each_operator():
     names = list(queries.queries())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+
+
+def test_passages_on_one_line_are_cut(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, passage, "en", "s", 0), (2, "before " + passage + " after", "en", "s", 0)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_deduplication(spark, docs, SF).collect()} == {1: (passage, len(passage)), 2: ("before after", 12)}
