@@ -180,6 +180,22 @@ def parities(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist())
 
 
+#: Bands of minima: sets of similarity s meet in one with probability 1 - (1 - s ** ROWS) ** BANDS, whatever their edits look like (0.8: all but 3 in a million).
+BANDS, ROWS = 32, 5
+_MULTIPLIERS = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def bands(shingles: np.ndarray) -> list[int]:
+    """A key for each band: the least of the shingle hashes under ROWS orders, digested with the band's number; none of an empty set."""
+    if not len(shingles):
+        return []
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(shingles), 1 << 10):
+        np.minimum(least, np.multiply.outer(_MULTIPLIERS, shingles[at : at + (1 << 10)]).min(1), out=least)
+    rows = least.tobytes()
+    return [xxhash.xxh64_intdigest(rows[8 * ROWS * i : 8 * ROWS * (i + 1)], i) for i in range(BANDS)]
+
+
 def _row_marks(width: int, print_width: int, members: int, text_at: int, id_at: int):
     def run(batches):
         for batch in batches:
@@ -187,11 +203,12 @@ def _row_marks(width: int, print_width: int, members: int, text_at: int, id_at:
             for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at))):
                 ws = words(b)
                 shingles = np.unique(shingle_hashes(ws, width))
-                rows.append((row_key(d, b), d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint_family(shingle_hashes(ws, print_width), members), *parities(shingles), len(shingles)))
-            keys, ids, nodes, fps, low, high, sizes = zip(*rows) if rows else ((),) * 7
+                keys = np.array(bands(shingles), np.uint64).view(np.int64)
+                rows.append((row_key(d, b), d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint_family(shingle_hashes(ws, print_width), members), keys, *parities(shingles), len(shingles)))
+            keys, ids, nodes, fps, met, low, high, sizes = zip(*rows) if rows else ((),) * 8
             flat = pa.array(np.array(fps, np.uint64).reshape(-1).view(np.int64))
             family = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * members, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), family, pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(sizes, pa.int32())], ["key", "doc_id", "node", "fps", "low", "high", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), family, pa.array(met, pa.list_(pa.int64())), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(sizes, pa.int32())], ["key", "doc_id", "node", "fps", "bands", "low", "high", "size"])
 
     return run
 
@@ -235,10 +252,18 @@ def _alike(docs: DataFrame, text_col: str, pairs: DataFrame, width: int, similar
 _JUDGED = ("fp", "low", "high", "size")
 
 
+def _apart(c: str) -> Column:
+    return F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}")))
+
+
+def _not_apart(similarity: float) -> Column:
+    """For columns u_* and v_*: no more shingles surely apart than the similarity allows."""
+    return (_apart("low") + _apart("high")) * (1 + similarity) <= (F.col("u_size") + F.col("v_size")) * (1 - similarity) + 1e-6
+
+
 def _may_be_alike(radius: int, similarity: float) -> Column:
-    """For columns u_* and v_*: fingerprints within radius, and no more shingles surely apart than the similarity allows."""
-    apart = lambda c: F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}")))
-    return (apart("fp") <= radius) & ((apart("low") + apart("high")) * (1 + similarity) <= (F.col("u_size") + F.col("v_size")) * (1 - similarity) + 1e-6)
+    """For columns u_* and v_*: fingerprints within radius, and not surely too far apart."""
+    return (_apart("fp") <= radius) & _not_apart(similarity)
 
 
 def _half_pairs(nodes: DataFrame, radius: int, similarity: float, heads: int = 4) -> DataFrame:
@@ -271,6 +296,35 @@ def _grid_pairs(nodes: DataFrame, radius: int, similarity: float, groups: int, b
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _judged(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingles are not surely too far apart."""
+    marks = lambda n, alias: nodes.select(F.col("node").alias(alias), *[F.col(c).alias(f"{n}_{c}") for c in _JUDGED[1:]])
+    return pairs.join(marks("u", "a"), "a").join(marks("v", "b"), "b").where(_not_apart(similarity)).select("a", "b")
+
+
+def _shared_bands(nodes: DataFrame) -> DataFrame:
+    """(band, node) for the bands that several nodes have."""
+    each = nodes.select("node", F.explode("bands").alias("band"))
+    again = cut(each.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"))
+    return cut(each.join(broadcast_if_small(again, 16), "band"))
+
+
+def _band_stars(met: DataFrame, heads: int = 2) -> DataFrame:
+    """(a, b): nodes and heads that share a band, heads being a few of its nodes, chosen by digest."""
+    picks = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("order"), "node"))["node"] for i in range(heads)]
+    picked = cut(met.groupBy("band").agg(F.array_distinct(F.array(*picks)).alias("heads")).select("band", F.explode("heads").alias("head")))
+    return met.join(picked, "band").where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
+def _band_pairs(met: DataFrame, parts: DataFrame) -> DataFrame:
+    """(a, b): nodes of different parts that share a band; parts meet first, so that a large part doesn't meet itself."""
+    placed = met.join(parts, "node", "left").select("band", "node", F.coalesce("root", "node").alias("part"))
+    sides = placed.select("band", "part").distinct()
+    met_parts = cut(sides.withColumnRenamed("part", "p").join(sides.withColumnRenamed("part", "q"), "band").where("p < q"))
+    u, v = placed.select("band", F.col("part").alias("p"), F.col("node").alias("x")), placed.select("band", F.col("part").alias("q"), F.col("node").alias("y"))
+    return met_parts.join(u, ["band", "p"]).join(v, ["band", "q"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def drop_near_copies(
     docs: DataFrame, width: int = 5, radius: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", members: int = 4, print_width: int = 2
 ) -> DataFrame:
@@ -278,26 +332,30 @@ def drop_near_copies(
 
     Texts with the same words are one. Others are linked if their sets of shingles of width words
     have a Jaccard similarity of at least similarity, and are compared if one of their fingerprints
-    over shingles of print_width words, members in number, differs in at most radius bits. (An edit
-    changes fewer short shingles than long ones, so that copies at the limit of similarity still lie
-    within the radius; a single fingerprint over five words finds few of them.) Texts that share
-    half a fingerprint are compared with a few of them first; the grid then compares only texts that
-    these links have not put into one part, and whose shingles are not surely too far apart, so that
-    a large group doesn't meet itself whole.
+    over shingles of print_width words, members in number, differs in at most radius bits, or if
+    they share a band of minima of their shingles (BANDS). The fingerprints alone lose many pairs at
+    the limit of similarity, most of all where a copy has a block added or cut; to the bands only
+    the similarity matters. Texts that share half a fingerprint or a band are compared with a few of
+    them first; the grid and the bands then compare only texts that these links have not put into one
+    part, and whose shingles are not surely too far apart, so that a large group doesn't meet itself
+    whole.
     Groups are what links connect. Null counts as empty, null ids come after all others, and rows
     that repeat whole are one document. All columns pass through, whatever their names.
     """
     bound_batches(docs.sparkSession)
     names = docs.columns
     text_at, id_at = names.index(text_col), names.index(id_col)
-    marks = cut(docs.mapInArrow(tidy(_row_marks(width, print_width, members, text_at, id_at)), "key binary, doc_id bigint, node binary, fps array<bigint>, low bigint, high bigint, size int"))
+    marks = cut(docs.mapInArrow(tidy(_row_marks(width, print_width, members, text_at, id_at)), "key binary, doc_id bigint, node binary, fps array<bigint>, bands array<bigint>, low bigint, high bigint, size int"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
-    nodes = cut(marks.groupBy("node").agg(F.min(F.struct("fps", "low", "high", "size")).alias("marks"), F.min(order).alias("least")).select("node", "least", "marks.*"))
-    first = _alike(docs, text_col, cut(_half_pairs(nodes, radius, similarity)), width, similarity)
-    parts = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    nodes = cut(marks.groupBy("node").agg(F.min(F.struct("fps", "bands", "low", "high", "size")).alias("marks"), F.min(order).alias("least")).select("node", "least", "marks.*"))
+    met = _shared_bands(nodes)
+    near = _half_pairs(nodes, radius, similarity).unionByName(_judged(_band_stars(met), nodes, similarity))
+    first = _alike(docs, text_col, cut(near.distinct()), width, similarity)
+    parts = cut(components(first.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     parted = nodes.join(parts, "node", "left").select("node", "fps", "low", "high", "size", F.xxhash64(F.coalesce("root", "node")).alias("part"))
     groups, bits = plan_grid(nodes.count(), radius)
-    second = _alike(docs, text_col, cut(_grid_pairs(parted, radius, similarity, groups, bits)), width, similarity)
+    near = _grid_pairs(parted, radius, similarity, groups, bits).unionByName(_judged(_band_pairs(met, parts), nodes, similarity))
+    second = _alike(docs, text_col, cut(near.distinct()), width, similarity)
     alike = first.unionByName(second)
     roots = components(alike.select(F.col("a").alias("u"), F.col("b").alias("v")))
     homes = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))

@@ -421,3 +421,44 @@ def test_the_first_of_a_family_is_the_fingerprint():
         family = simhash.fingerprint_family(hashes, 4)
         assert family[0] == simhash.fingerprint(hashes)
         assert len(family) == 4 and (not n or len(set(family)) > 1)
+
+
+def edited(rng, ws, kind, share):
+    """A copy of ws with edits that leave about 0.8 to 0.9 of its five-word shingles."""
+    out = list(ws)
+    if kind == "block":
+        at = rng.randrange(len(out))
+        out[at:at] = [f"n{rng.randrange(10**6)}" for _ in range(int(share * len(ws)))]
+    else:
+        for at in range(3, len(out), int(10 / share)):
+            out[at] = f"n{rng.randrange(10**6)}"
+    return out
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_by_blocks_and_by_scattered_edits_are_found(spark):
+    rng = random.Random(13)
+    rows, wanted = [], set()
+    for i in range(0, 400, 2):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        copy = edited(rng, base, "block" if i % 4 else "scattered", rng.choice([0.12, 0.18, 0.22, 0.3]))
+        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+        wanted |= {i} | ({i + 1} if jaccard(base, copy) < 0.8 else set())
+    assert 20 < len(wanted) - 200 < 180
+    assert {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == wanted
+
+
+def test_bands_meet_as_their_law_says():
+    rng = np.random.default_rng(14)
+    for common, least in ((0.8, 0.999), (0.9, 1)):
+        met = 0
+        for _ in range(400):
+            x = rng.integers(0, 2**64, 200, dtype=np.uint64)
+            n = round(200 * common)
+            met += bool(set(simhash.bands(x)) & set(simhash.bands(x[:n])))
+        assert met >= 400 * least
+    assert simhash.bands(x[:0]) == []
