@@ -244,12 +244,11 @@ def _texts(batches):
             keys, kept, flags = [], [], []
             for url, source in zip(as_text(part.column("url")), as_text(part.column("html"))):
                 lines = text_lines(source)
-                marked = any(a for _, a, _ in lines)
                 keys.append(page_key(url, source))
                 use, number = [], 0
                 for t, article, furniture in lines:
                     undecided = not article and not furniture
-                    if (article and not furniture) or (undecided and not marked):
+                    if not furniture:
                         use.append((t, number if undecided else -1))
                     number += undecided
                 kept.append([t for t, _ in use])
@@ -260,9 +259,8 @@ def _texts(batches):
 def extract(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
-    The text is the article's: where a page has an article or main element, its blocks less the
-    furniture in them; elsewhere the blocks outside furniture that the page doesn't share with the
-    page beside it in its host's URL order. Blocks are joined by one space in page order. A null
+    The text is the page's blocks outside furniture, less those outside article and main elements
+    that the page shares with the page beside it in its host's URL order. Blocks are joined by one space in page order. A null
     html counts as empty and gives an empty text; null URLs are one host of their own; pages that
     repeat whole are not each other's template; an empty table gives an empty result; other columns
     are ignored.

@@ -400,6 +400,16 @@ def test_html_extraction(spark, run_pages):
     assert html_extract.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
 
 
+def test_differencing_decides_open_lines_of_pages_with_articles(spark):
+    site = "<html><body><div>Welcome to us</div>{}<div>Call now</div></body></html>"
+    teaser = "<article><h3>More</h3></article>"
+    rows = [(i, f"http://h.org/{i}", site.format(f"<p>lead {i}</p><article><p>story {i}</p></article>")) for i in range(4)]
+    rows += [(10 + i, f"http://side.org/{i}", site.format(f"<p>story {i}</p><aside>{teaser}</aside>")) for i in range(4)]
+    rows += [(20 + i, f"http://card.org/{i}", site.format(f"<p>story {i}</p><div>{teaser}</div>")) for i in range(4)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[i] == f"lead {i} story {i}" and got[10 + i] == f"story {i}" and got[20 + i] == f"story {i} More" for i in range(4))
+
+
 def test_word_pattern_is_ascii_space():
     assert re.findall(r"[^\x20\x09-\x0D]+", "a\x0bb\x1cc d e") == [w.decode() for w in simhash.words("a\x0bb\x1cc d e".encode())]
 
