@@ -121,18 +121,18 @@ def token_budget_waves(spark, sf_dir):
 
 def _quotes(spark, sf_dir):
     """A quote of each document: exact, with other case and spaces, with edits after the anchor, foreign, or none."""
-    d = read(spark, sf_dir, "documents").where("n_chars >= 200").select("doc_id", "text")
+    d = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     part = F.substr("text", F.lit(21), F.lit(120))
     kind = F.col("doc_id") % 6
     edited = F.concat(F.substr(part, F.lit(1), F.lit(60)), F.lit("XX"), F.substr(part, F.lit(63), F.lit(58)))
     quote = F.when(kind == 0, part).when(kind == 1, F.replace(F.replace(part, F.lit(" "), F.lit("  ")), F.lit("e"), F.lit("E"))).when(kind == 2, edited).when(kind == 3, F.lit("no such words are in here 0123456789 at all")).when(kind == 4, F.lit(" "))
-    return d.select("doc_id", "text", F.when(kind < 5, F.lit("v")).alias("value"), quote.alias("quote"))
+    return d.select("doc_id", "text", "n_chars", F.when(kind < 5, F.lit("v")).alias("value"), quote.alias("quote"))
 
 
 @query(f"""WITH q AS (SELECT doc_id, text, CASE doc_id % 6 WHEN 0 THEN substr(text, 21, 120) WHEN 1 THEN replace(replace(substr(text, 21, 120), ' ', '  '), 'e', 'E') WHEN 3 THEN 'no such words are in here 0123456789 at all' END AS quote FROM documents WHERE n_chars >= 200 AND doc_id % 6 IN (0, 1, 3))
 SELECT doc_id, CASE WHEN contains(text, quote) THEN 'exact' WHEN contains({_NORM.format('text')}, {_NORM.format('quote')}) THEN 'normalized' ELSE 'not_found' END AS match_type FROM q""")
 def locate_quotes(spark, sf_dir):
-    return evidence.locate(_quotes(spark, sf_dir).where((F.col("doc_id") % 6).isin(0, 1, 3))).select("doc_id", "match_type")
+    return evidence.locate(_quotes(spark, sf_dir).where((F.col("n_chars") >= 200) & (F.col("doc_id") % 6).isin(0, 1, 3))).select("doc_id", "match_type")
 
 
 @query()
@@ -143,7 +143,7 @@ def locate_fuzzy(spark, sf_dir):
 
 @query()
 def fuzzy_ratios(spark, sf_dir):
-    q = _quotes(spark, sf_dir).where("doc_id % 6 = 2")
+    q = _quotes(spark, sf_dir)
     nq, nt = T.normalize(F.col("quote")), T.normalize(F.col("text"))
     return q.select("doc_id", F.round(ratio(nq, T.fuzzy_window(nq, nt)), 9).alias("ratio"))
 
