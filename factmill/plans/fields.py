@@ -81,6 +81,13 @@ def prompts(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", extract.prompt(F.array(q("lang", "Which language?"), q("source", "From where?")), F.col("text"), 200).alias("prompt"))
 
 
+@query("""SELECT doc_id, 'Fields:' || chr(10) || '- lang: Which language?' || chr(10) || '- source: From where?' || chr(10) || chr(10) || 'Text:' || chr(10) || text AS prompt FROM documents""")
+def prompts_whole(spark, sf_dir):
+    """As prompts, with whole documents."""
+    q = lambda n, t: F.struct(F.lit(n).alias("field_name"), F.lit(t).alias("question"))
+    return read(spark, sf_dir, "documents").select("doc_id", extract.prompt(F.array(q("lang", "Which language?"), q("source", "From where?")), F.col("text"), 2**31 - 1).alias("prompt"))
+
+
 @query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type ELSE user_id::VARCHAR END AS value, CASE WHEN event_id % 2 = 0 AND event_id % 4 <> 0 THEN event_type || '!' END AS quote FROM events""")
 def parse_responses(spark, sf_dir):
     i = F.col("event_id")
