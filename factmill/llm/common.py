@@ -23,11 +23,13 @@ BROADCAST_BYTES = 16 << 20
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; make one only where none is set (tests)."""
+    """Use the cluster's spark.checkpoint.dir; where none is set a local session makes one for itself, and any other fails."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="factmill-checkpoint-"))
 
 
@@ -43,10 +45,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int, rows: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """df (already materialised) with a broadcast hint if its rows fit the limit, else df itself."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n * row_bytes <= limit else df
+def broadcast_if_small(df: DataFrame, row_bytes: int, *arrays: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df (already materialised) with a broadcast hint if its rows, and the items of its array columns, fit the limit; else df itself."""
+    return F.broadcast(df) if real_bytes(df, *arrays, row_bytes=row_bytes) <= limit else df
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -75,19 +76,32 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
 
 
 def row_key(doc_id, text: bytes) -> bytes:
-    """Names a row: rows that agree in id and text are one document."""
-    return xxhash.xxh3_128_digest(b"%d\n" % doc_id + text if doc_id is not None else b"-\n" + text)
+    """Names a row: rows that agree in id (of any type) and text are one document."""
+    return xxhash.xxh3_128_digest(b"-\n" + text if doc_id is None else str(doc_id).encode() + b"\n" + text)
 
 
-def with_row_keys(names: list[str], text_at: int, id_at: int):
-    """For mapInArrow: the batch with a last column __row_key."""
+def by_place(df: DataFrame) -> DataFrame:
+    """df with its columns named c0, c1 ...: no name of an operator's own can clash with them, nor two that differ in case only."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def keyed(placed: DataFrame, text_at: int, id_at: int) -> DataFrame:
+    """by_place() rows with a last column key that names the row."""
+    names = [*placed.columns, "key"]
 
     def run(batches):
         for batch in batches:
             keys = [row_key(d, b) for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*names, "__row_key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names)
+
+    return placed.mapInArrow(tidy(run), placed.withColumn("key", F.lit(None).cast("binary")).schema)
+
 
-    return run
+def real_bytes(df: DataFrame, *arrays: str, row_bytes: int = 60, item_bytes: int = 24) -> int:
+    """Bytes that df (already materialised) takes when broadcast: so many a row and an item of its array columns."""
+    items = sum((F.coalesce(F.size(a), F.lit(0)).cast("bigint") for a in arrays), F.lit(0).cast("bigint"))
+    n, held = df.agg(F.count("*"), F.coalesce(F.sum(items), F.lit(0))).first()
+    return n * row_bytes + held * item_bytes
 
 
 def crc_of_id(doc_id) -> int:

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, tidy, with_row_keys
+from .common import as_bytes, bound_batches, broadcast_if_small, by_place, cut, keyed, slices, tidy
 
 LINES = 3
 #: Words of a passage's window, and of the runs by which windows that may be repeated are found.
@@ -29,24 +29,52 @@ def _windows(lines: int):
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, keys, ws = part.column("doc_id").to_pylist(), [], []
-                for d, b in zip(ids, as_bytes(part.column("text"))):
-                    keys.append(row_key(d, b))
-                    ws.append(window_digests(b, lines))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(ws, pa.list_(pa.binary()))], ["doc_id", "key", "ws"])
+                ws = [window_digests(b, lines) for b in as_bytes(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(ws, pa.list_(pa.binary()))], ["doc_id", "key", "ws"])
 
     return run
 
 
-def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES) -> DataFrame:
-    """(key, starts): for each document the first lines of the windows that occurred before, in (doc_id, line) order."""
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    seen = narrow.mapInArrow(tidy(_windows(lines)), "doc_id bigint, key binary, ws array<binary>")
-    windows = seen.select("doc_id", "key", F.posexplode("ws").alias("pos", "w")).where(F.length("w") > 0)
+def _later(windows: DataFrame) -> DataFrame:
+    """(key, starts): for rows (doc_id, key, pos, w), where the windows of each document start that occurred before, in (doc_id, key, pos) order."""
     at = F.struct(F.col("doc_id"), F.col("key"), F.col("pos"))
     repeated = cut(windows.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(F.col("first") != F.col("last")).select("w", "first"))
     later = windows.join(broadcast_if_small(repeated, 120), "w").where(at != F.col("first"))
-    return later.groupBy("key").agg(F.collect_set("pos").alias("starts"))
+    return cut(later.groupBy("key").agg(F.collect_set("pos").alias("starts")))
+
+
+def later_lines(rows: DataFrame, lines: int = LINES) -> DataFrame:
+    """(key, starts) for rows (doc_id, key, text): the first lines of the windows that occurred before, in (doc_id, line) order."""
+    seen = rows.mapInArrow(tidy(_windows(lines)), "doc_id bigint, key binary, ws array<binary>")
+    return _later(seen.select("doc_id", "key", F.posexplode("ws").alias("pos", "w")).where(F.length("w") > 0))
+
+
+def without_lines(text: bytes, starts: list[int], lines: int = LINES) -> tuple[bytes, int]:
+    """(text less the runs of so many lines that start at these, number of lines that went), in one pass whatever the number of runs."""
+    rows = text.split(b"\n")
+    gone = bytearray(len(rows) + lines)
+    for s in starts:
+        gone[s : s + lines] = b"\1" * lines
+    left = [r for r, g in zip(rows, gone) if not g]
+    return b"\n".join(left), len(rows) - len(left)
+
+
+def _without_lines(names: list[str], text_at: int, lines: int):
+    def run(batches):
+        for batch in batches:
+            texts, total, removed = [], [], []
+            for t, starts in zip(batch.column(text_at).to_pylist(), batch.column("starts").to_pylist()):
+                n = 0
+                total.append(0 if t is None else t.count("\n") + 1)
+                if starts is not None:
+                    left, n = without_lines(t.encode(), starts, lines)
+                    t = left.decode()
+                texts.append(t)
+                removed.append(n)
+            columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int32()), pa.array(removed, pa.int32())], [*names, "lines_in", "lines_removed"])
+
+    return run
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES) -> DataFrame:
@@ -56,26 +84,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     across the whole table; the occurrence that comes first by (doc_id, line) stays, and every line
     that a later occurrence covers goes, overlapping windows merged. Windows of blank lines don't
     count; a text of fewer lines has no window and stays as it is; a null text stays null, and a
-    text that loses all its lines becomes empty. Null ids come first. Rows that agree in id and
-    text are one document: they are treated alike, not as copies of each other. All other columns
-    pass through, whatever their names (the added ones replace columns of the same name).
+    text that loses all its lines becomes empty. Ids that are null or no integers come first. Rows
+    that agree in id and text are one document: they are treated alike, not as copies of each other.
+    An empty table gives an empty result; the time for a text is linear in its lines and windows.
+    All other columns pass through, whatever their names (the added ones replace columns of the same
+    name).
     """
     bound_batches(docs.sparkSession)
-    starts = cut(later_lines(docs, id_col, text_col, lines))
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lines_in", "lines_removed")])
     names = docs.columns
-    schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
-    keyed = docs.mapInArrow(tidy(with_row_keys(names, names.index(text_col), names.index(id_col))), schema)
-    found = broadcast_if_small(starts.select(F.col("key").alias("__row_key"), F.col("starts").alias("__starts")), 120)
-    rows = F.split(F.col(text_col), "\n", -1)
-    numbered = F.transform(rows, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    hit = lambda r: F.exists(F.col("__starts"), lambda s: r["i"].between(s, s + lines - 1))
-    left = F.transform(F.filter(numbered, lambda r: ~hit(r)), lambda r: r["x"])
-    joined = keyed.join(found, "__row_key", "left").withColumn("__left", F.when(F.col("__starts").isNotNull(), left))
-    return joined.select(
-        *[F.when(F.col("__left").isNull(), F.col(text_col)).otherwise(F.array_join("__left", "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in names if c not in ("lines_in", "lines_removed")],
-        F.coalesce(F.size(rows), F.lit(0)).alias("lines_in"),
-        F.when(F.col("__left").isNull(), 0).otherwise(F.size(rows) - F.size("__left")).alias("lines_removed"),
-    )
+    text_at, id_at = names.index(text_col), names.index(id_col)
+    rows = keyed(by_place(docs), text_at, id_at)
+    starts = later_lines(rows.select(F.expr(f"try_cast(c{id_at} AS bigint)").alias("doc_id"), "key", F.col(f"c{text_at}").alias("text")), lines)
+    joined = rows.join(broadcast_if_small(starts, 60, "starts"), "key", "left").drop("key")
+    placed = joined.columns[:-1]
+    schema = joined.drop("starts").withColumns({"lines_in": F.lit(0), "lines_removed": F.lit(0)}).schema
+    return joined.mapInArrow(tidy(_without_lines(placed, text_at, lines)), schema).toDF(*names, "lines_in", "lines_removed")
 
 
 def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -119,31 +143,26 @@ def anchors(text: bytes, passage: int = PASSAGE, anchor: int = ANCHOR) -> tuple[
 def _anchors(batches):
     for batch in batches:
         for part in slices(batch, "text"):
-            ids, keys, hs, at = part.column("doc_id").to_pylist(), [], [], []
-            for d, b in zip(ids, as_bytes(part.column("text"))):
-                found, places = anchors(b)
-                keys.append(row_key(d, b))
-                hs.append(found)
-                at.append(places)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(hs, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int64()))], ["key", "hs", "at"])
+            found = [anchors(b) for b in as_bytes(part.column("text"))]
+            hs, at = [h for h, _ in found], [p for _, p in found]
+            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(hs, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int64()))], ["key", "hs", "at"])
 
 
 def _passages(batches):
-    """For rows (doc_id, text, at): digests of the windows of PASSAGE words that hold one of the anchors at these words."""
+    """For rows (doc_id, key, text, at): digests of the windows of PASSAGE words that hold one of the anchors at these words."""
     for batch in batches:
         for part in slices(batch, "text", 1 << 20):
-            ids, keys, starts, ws = part.column("doc_id"), [], [], []
-            for d, b, at in zip(ids.to_pylist(), as_bytes(part.column("text")), part.column("at").to_pylist()):
+            starts, ws = [], []
+            for b, at in zip(as_bytes(part.column("text")), part.column("at").to_pylist()):
                 words = b.split()
                 joined = b" ".join(words)
                 ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
                 first = np.asarray(at, np.int64)[:, None] - np.arange(PASSAGE - ANCHOR + 1)
                 first = np.unique(first[(first >= 0) & (first <= len(words) - PASSAGE)])
                 bounds = zip(np.where(first > 0, ends[first - 1] + 1, 0).tolist(), ends[first + PASSAGE - 1].tolist())
-                keys.append(row_key(d, b))
                 starts.append(first)
                 ws.append([xxhash.xxh3_128_digest(joined[x:y]) for x, y in bounds])
-            arrays = [ids, pa.array(keys, pa.binary()), pa.array(starts, pa.list_(pa.int64())), pa.array(ws, pa.list_(pa.binary()))]
+            arrays = [part.column("doc_id"), part.column("key"), pa.array(starts, pa.list_(pa.int64())), pa.array(ws, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "starts", "ws"])
 
 
@@ -168,7 +187,7 @@ def without_words(text: bytes, starts: list[int], words: int = PASSAGE) -> bytes
 def _without_passages(names: list[str], text_at: int):
     def run(batches):
         for batch in batches:
-            starts = batch.column("__starts").to_pylist()
+            starts = batch.column("starts").to_pylist()
             texts = batch.column(text_at).to_pylist()
             texts = [t if s is None else without_words(t.encode(), s).decode() for t, s in zip(texts, starts)]
             columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
@@ -184,28 +203,25 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     whole table the one that comes first by (doc_id, word) stays, and every word that a later one
     covers goes. None is missed: every passage holds an anchor that its equals hold too, and all
     windows about repeated anchors are compared by 128-bit digests. Shorter repeats stay. Rows that
-    agree in id and text are one document; null texts stay null, and all columns pass through.
+    agree in id and text are one document; ids that are null or no integers come first; null texts
+    stay null, an empty table gives an empty result, and all columns pass through, whatever their
+    names.
     """
     bound_batches(docs.sparkSession)
     names = docs.columns
-    text_at = names.index(text_col)
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    found = narrow.mapInArrow(tidy(_anchors), "key binary, hs array<bigint>, at array<bigint>").where(F.size("hs") > 0)
+    text_at, id_at = names.index(text_col), names.index(id_col)
+    rows = keyed(by_place(docs), text_at, id_at)
+    narrow = rows.select(F.expr(f"try_cast(c{id_at} AS bigint)").alias("doc_id"), "key", F.col(f"c{text_at}").alias("text"))
+    found = narrow.select("key", "text").mapInArrow(tidy(_anchors), "key binary, hs array<bigint>, at array<bigint>").where(F.size("hs") > 0)
     found = cut(found.select("key", F.explode(F.arrays_zip("hs", "at")).alias("x")).select("key", "x.hs", "x.at").distinct())
     again = cut(found.groupBy("hs").agg(F.count("*").alias("n")).where("n > 1").select("hs"))
     places = cut(found.join(broadcast_if_small(again, 16), "hs").groupBy("key").agg(F.collect_set("at").alias("at")))
-    keyed = narrow.mapInArrow(tidy(with_row_keys(["doc_id", "text"], 1, 0)), "doc_id bigint, text string, __row_key binary")
-    held = keyed.join(broadcast_if_small(places.withColumnRenamed("key", "__row_key"), 400), "__row_key").dropDuplicates(["__row_key"]).select("doc_id", "text", "at")
+    held = narrow.join(broadcast_if_small(places, 60, "at"), "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "at")
     seen = held.mapInArrow(tidy(_passages), "doc_id bigint, key binary, starts array<bigint>, ws array<binary>")
     windows = cut(seen.select("doc_id", "key", F.explode(F.arrays_zip("starts", "ws")).alias("x")).select("doc_id", "key", F.col("x.starts").alias("pos"), F.col("x.ws").alias("w")))
-    at = F.struct(F.col("doc_id"), F.col("key"), F.col("pos"))
-    repeated = cut(windows.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(F.col("first") != F.col("last")).select("w", "first"))
-    later = windows.join(broadcast_if_small(repeated, 120), "w").where(at != F.col("first"))
-    starts = cut(later.groupBy(F.col("key").alias("__row_key")).agg(F.collect_set("pos").alias("__starts")))
-    schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
-    whole = docs.mapInArrow(tidy(with_row_keys(names, text_at, names.index(id_col))), schema)
-    joined = whole.join(broadcast_if_small(starts, 400), "__row_key", "left").select(*[F.col(f"`{c}`") for c in names], "__starts")
-    return joined.mapInArrow(tidy(_without_passages(names, text_at)), docs.schema)
+    joined = rows.join(broadcast_if_small(_later(windows), 60, "starts"), "key", "left").drop("key")
+    placed = joined.columns[:-1]
+    return joined.mapInArrow(tidy(_without_passages(placed, text_at)), joined.drop("starts").schema).toDF(*names)
 
 
 SQL = """

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, cut, row_key, slices, tidy, with_row_keys
+from .common import as_bytes, bound_batches, broadcast_if_small, by_place, cut, keyed, slices, tidy
 from .components import components
 
 SEED = 42
@@ -152,32 +152,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return marked.join(homes, "fp").select("doc_id", "fp", "component_id", "component_size")
 
 
-def fingerprint_family(hashes: np.ndarray, members: int) -> list[int]:
-    """Independent fingerprints of the same shingles: the first as fingerprint() has it, the others of the hashes mixed anew."""
-    n = len(hashes)
-    if not n:
-        return [0] * members
-    out = []
-    for i in range(members):
-        h = hashes
-        if i:
-            h = hashes * np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64)
-            h ^= h >> np.uint64(29)
-            h *= np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(32)
-        count = np.empty((8, 8), np.int64)  # by place in the byte, by byte
-        for place in range(8):
-            lanes = h >> np.uint64(place) & np.uint64(0x0101010101010101)
-            sums = np.add.reduceat(lanes, np.arange(0, n, 255))  # a byte holds the sum of 255
-            count[place] = sums.view(np.uint8).reshape(-1, 8).sum(0, dtype=np.int64)
-        out.append(int(np.packbits((count.T * 2 > n).ravel(), bitorder="little").view("<u8")[0]))
-    return out
-
-
-def parities(shingles: np.ndarray) -> tuple[int, int]:
-    """Of a set of shingle hashes, how many end in each of 128 values, modulo 2: two sets differ in at least as many shingles as bits."""
-    odd = np.bincount((shingles & np.uint64(127)).astype(np.int64), minlength=128) & 1
-    return tuple(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist())
+#: Residues whose parities a set of shingles is judged by, as 64-bit words.
+PARITY_WORDS = 8
+
+
+def parities(shingles: np.ndarray) -> list[int]:
+    """Of a set of shingle hashes, how many end in each of 512 values, modulo 2: two sets differ in at least as many shingles as bits."""
+    size = 64 * PARITY_WORDS
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
 #: Bands of minima: sets of similarity s meet in one with probability 1 - (1 - s ** ROWS) ** BANDS, whatever their edits look like (0.8: all but 3 in a million).
@@ -196,19 +179,23 @@ def bands(shingles: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(rows[8 * ROWS * i : 8 * ROWS * (i + 1)], i) for i in range(BANDS)]
 
 
-def _row_marks(width: int, print_width: int, members: int, text_at: int, id_at: int):
+_MARKED = "key binary, doc_id bigint, node binary, fp bigint, bands array<bigint>, parity array<bigint>, size int"
+
+
+def _row_marks(width: int):
     def run(batches):
         for batch in batches:
             rows = []
-            for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at))):
-                ws = words(b)
-                shingles = np.unique(shingle_hashes(ws, width))
-                keys = np.array(bands(shingles), np.uint64).view(np.int64)
-                rows.append((row_key(d, b), d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint_family(shingle_hashes(ws, print_width), members), keys, *parities(shingles), len(shingles)))
-            keys, ids, nodes, fps, met, low, high, sizes = zip(*rows) if rows else ((),) * 8
-            flat = pa.array(np.array(fps, np.uint64).reshape(-1).view(np.int64))
-            family = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * members, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), family, pa.array(met, pa.list_(pa.int64())), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(sizes, pa.int32())], ["key", "doc_id", "node", "fps", "bands", "low", "high", "size"])
+            for part in slices(batch, "text"):
+                for key, d, b in zip(part.column("key").to_pylist(), part.column("doc_id").to_pylist(), as_bytes(part.column("text"))):
+                    ws = words(b)
+                    hashes = shingle_hashes(ws, width)
+                    shingles = np.unique(hashes)
+                    met = np.array(bands(shingles), np.uint64).view(np.int64)
+                    rows.append((key, d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint(hashes), met, parities(shingles), len(shingles)))
+            keys, ids, nodes, fps, met, odd, sizes = zip(*rows) if rows else ((),) * 7
+            arrays = [pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(met, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64())), pa.array(sizes, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "doc_id", "node", "fp", "bands", "parity", "size"])
 
     return run
 
@@ -237,133 +224,177 @@ def _shingle_sets(width: int):
     return run
 
 
-def _alike(docs: DataFrame, text_col: str, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets of shingles have at least that Jaccard similarity."""
-    wanted = cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(_first_texts), "node binary, plain binary").join(broadcast_if_small(wanted, 40), "node", "left_semi")
-    once = texts.groupBy("node").agg(F.min("plain").alias("plain"))  # tasks have met the same text
-    sets = cut(once.mapInArrow(tidy(_shingle_sets(width)), "node binary, shingles array<bigint>"))
-    x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return cut(pairs.join(x, "a").join(y, "b").where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
-
+def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) for the wanted nodes (materialised), by one more pass over the texts."""
+    read = texts.mapInArrow(tidy(_first_texts), "node binary, plain binary").join(broadcast_if_small(wanted, 40), "node", "left_semi")
+    once = read.groupBy("node").agg(F.min("plain").alias("plain"))  # tasks have met the same text
+    return cut(once.mapInArrow(tidy(_shingle_sets(width)), "node binary, shingles array<bigint>"))
 
-#: What a side of a candidate pair is judged by: a fingerprint, the parities of its shingles and their number.
-_JUDGED = ("fp", "low", "high", "size")
 
+#: Most texts on a side of a block of comparisons, and most bytes of their shingles.
+BLOCK_TEXTS, BLOCK_BYTES = 128, 8 << 20
 
-def _apart(c: str) -> Column:
-    return F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}")))
 
+def _compared(similarity: float):
+    """For rows (cell, kind, a, b, shingles), sorted: the sets of a cell (kind 0) come before its pairs (kind 1)."""
 
-def _not_apart(similarity: float) -> Column:
-    """For columns u_* and v_*: no more shingles surely apart than the similarity allows."""
-    return (_apart("low") + _apart("high")) * (1 + similarity) <= (F.col("u_size") + F.col("v_size")) * (1 - similarity) + 1e-6
+    def run(batches):
+        cell, held = None, {}
+        for batch in batches:
+            found: list[tuple[bytes, bytes]] = []
+            column = batch.column("shingles")
+            bounds, values = column.offsets.to_numpy(), column.values.to_numpy()
+            for i, (c, kind, a, b) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("cell", "kind", "a", "b")))):
+                if c != cell:
+                    cell, held = c, {}
+                if not kind:
+                    held[a] = np.sort(values[bounds[i] : bounds[i + 1]])
+                    continue
+                x, y = sorted((held[a], held[b]), key=len)
+                common = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x) if len(x) else 0
+                if common >= similarity * (len(x) + len(y) - common):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], ["a", "b"])
 
+    return run
 
-def _may_be_alike(radius: int, similarity: float) -> Column:
-    """For columns u_* and v_*: fingerprints within radius, and not surely too far apart."""
-    return (_apart("fp") <= radius) & _not_apart(similarity)
 
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets of shingles have at least that Jaccard similarity.
 
-def _half_pairs(nodes: DataFrame, radius: int, similarity: float, heads: int = 4) -> DataFrame:
-    """(a, b): nodes and heads that may be alike, heads being a few of the nodes that share a half of a fingerprint, chosen by digest."""
-    each = nodes.select("node", "low", "high", "size", F.posexplode("fps").alias("k", "fp"))
-    half = F.explode(F.array(*[F.struct(F.lit(i).alias("h"), F.shiftrightunsigned("fp", 32 * i).bitwiseAND(0xFFFFFFFF).alias("bits")) for i in range(2)]))
-    halves = each.select("node", *_JUDGED, "k", half.alias("at")).select("node", *_JUDGED, "k", "at.h", "at.bits")
-    picks = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("order"), "node", *_JUDGED)) for i in range(heads)]
-    picked = halves.groupBy("k", "h", "bits").agg(F.array_distinct(F.transform(F.array(*picks), lambda x: x.dropFields("order"))).alias("heads"), F.count("*").alias("rows"))
-    picked = cut(picked.where("rows > 1").select("k", "h", "bits", F.explode("heads").alias("head")))
-    u = picked.select("k", "h", "bits", F.col("head.node").alias("a"), *[F.col(f"head.{c}").alias(f"u_{c}") for c in _JUDGED])
-    v = halves.select("k", "h", "bits", F.col("node").alias("b"), *[F.col(c).alias(f"v_{c}") for c in _JUDGED])
-    return v.join(u, ["k", "h", "bits"]).where(_may_be_alike(radius, similarity) & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    Pairs come with the key of what they met in. The nodes of a key are dealt into blocks of bounded
+    size, and two blocks are one unit of work, to which each of their sets goes once, not with every pair.
+    """
+    pairs = cut(pairs.groupBy("a", "b").agg(F.min("key").alias("key")))
+    both = F.explode(F.array("a", "b")).alias("node")
+    ends = pairs.select("key", both).distinct().join(sets.select("node", F.size("shingles").alias("n")), "node")
+    need = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")
+    blocks = cut(ends.groupBy("key").agg(need).where("blocks > 1"))
+    at = lambda c: F.pmod(F.xxhash64(c), F.coalesce("blocks", F.lit(1)))
+    dealt = cut(pairs.join(broadcast_if_small(blocks, 24), "key", "left").select(F.xxhash64("key", at("a"), at("b")).alias("cell"), "a", "b"))
+    needed = dealt.select("cell", both).distinct().join(sets, "node")
+    rows = needed.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("binary").alias("b"), "shingles")
+    rows = rows.unionByName(dealt.select("cell", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("array<bigint>").alias("shingles")))
+    units = rows.repartition("cell").sortWithinPartitions("cell", "kind")
+    return cut(units.mapInArrow(tidy(_compared(similarity)), "a binary, b binary"))
 
 
-def _grid_pairs(nodes: DataFrame, radius: int, similarity: float, groups: int, bits: int) -> DataFrame:
-    """(a, b): nodes of different parts that may be alike, by a range-join of each fingerprint's grid; equal ones of a part go by the least node."""
-    each = nodes.select("node", "part", "low", "high", "size", F.posexplode("fps").alias("k", "fp"))
-    each = cut(each.groupBy("k", "part", *_JUDGED).agg(F.min("node").alias("node")))
-    own, probes = _cells(radius, groups, bits)
+#: What a side of a candidate pair is judged by before its shingles are looked at.
+_JUDGED = ("size", *(f"p{i}" for i in range(PARITY_WORDS)))
 
-    def side(at: Column, n: str) -> DataFrame:
-        return each.select("k", F.col("part").alias(f"{n}_part"), *[F.col(c).alias(f"{n}_{c}") for c in _JUDGED], F.explode(at).alias("at")).select("k", "at.g", "at.cell", f"{n}_part", *[f"{n}_{c}" for c in _JUDGED])
 
-    key = lambda n: [f"{n}_{c}" for c in ("part", *_JUDGED)]
-    named = lambda n, alias: each.select("k", F.col("part").alias(f"{n}_part"), *[F.col(c).alias(f"{n}_{c}") for c in _JUDGED], F.col("node").alias(alias))
-    near = side(probes, "u").join(side(own, "v"), ["k", "g", "cell"]).where(_may_be_alike(radius, similarity) & (F.col("u_part") != F.col("v_part")))
-    near = cut(near.select("k", *key("u"), *key("v")).distinct())
-    met = near.join(named("u", "a"), ["k", *key("u")]).join(named("v", "b"), ["k", *key("v")])
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _not_apart(u: str, v: str, similarity: float) -> Column:
+    """For columns of _JUDGED with two prefixes: no more shingles surely apart than the similarity allows."""
+    apart = sum((F.bit_count(F.col(f"{u}{p}").bitwiseXOR(F.col(f"{v}{p}"))) for p in _JUDGED[1:]), F.lit(0))
+    apart = F.greatest(apart, F.abs(F.col(f"{u}size") - F.col(f"{v}size")))
+    return apart * (1 + similarity) <= (F.col(f"{u}size") + F.col(f"{v}size")) * (1 - similarity) + 1e-6
 
 
-def _judged(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingles are not surely too far apart."""
-    marks = lambda n, alias: nodes.select(F.col("node").alias(alias), *[F.col(c).alias(f"{n}_{c}") for c in _JUDGED[1:]])
-    return pairs.join(marks("u", "a"), "a").join(marks("v", "b"), "b").where(_not_apart(similarity)).select("a", "b")
+def _side(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """df with the columns of a pair's side renamed by a prefix."""
+    return df.select(*keep, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in keep])
 
 
-def _shared_bands(nodes: DataFrame) -> DataFrame:
-    """(band, node) for the bands that several nodes have."""
-    each = nodes.select("node", F.explode("bands").alias("band"))
+def _met_in_bands(nodes: DataFrame) -> DataFrame:
+    """(band, node, size, p0 ...) for the bands, and the fingerprints as one band more, that several nodes have."""
+    every = F.array_append("bands", F.xxhash64("fp"))
+    each = nodes.where("size > 0").select("node", F.explode(every).alias("band"))
     again = cut(each.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"))
-    return cut(each.join(broadcast_if_small(again, 16), "band"))
+    met = each.join(broadcast_if_small(again, 16), "band")
+    return cut(met.join(nodes.select("node", *_JUDGED), "node").select("band", "node", *_JUDGED))
 
 
-def _band_stars(met: DataFrame, heads: int = 2) -> DataFrame:
-    """(a, b): nodes and heads that share a band, heads being a few of its nodes, chosen by digest."""
-    picks = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("order"), "node"))["node"] for i in range(heads)]
-    picked = cut(met.groupBy("band").agg(F.array_distinct(F.array(*picks)).alias("heads")).select("band", F.explode("heads").alias("head")))
-    return met.join(picked, "band").where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+def _star_pairs(met: DataFrame, similarity: float, heads: int = 3) -> DataFrame:
+    """(key, a, b): nodes and heads that share a band and may be alike, heads being a few of the band's nodes, chosen by digest."""
+    picks = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("order"), "node", *_JUDGED)) for i in range(heads)]
+    picked = cut(met.groupBy("band").agg(F.array_distinct(F.transform(F.array(*picks), lambda x: x.dropFields("order"))).alias("heads")).select("band", F.explode("heads").alias("h")))
+    v = picked.select("band", *[F.col(f"h.{c}").alias(f"v_{c}") for c in ("node", *_JUDGED)])
+    near = _side(met, "u_", ("band",)).join(v, "band").where(_not_apart("u_", "v_", similarity) & (F.col("u_node") != F.col("v_node")))
+    return near.select(F.xxhash64("v_node").alias("key"), F.least("u_node", "v_node").alias("a"), F.greatest("u_node", "v_node").alias("b")).distinct()
+
+
+def _parted(df: DataFrame, parts: DataFrame) -> DataFrame:
+    """df (node ...) with the part that the links so far have put each node into."""
+    return df.join(parts.select("node", "root"), "node", "left").withColumn("part", F.xxhash64(F.coalesce("root", "node"))).drop("root")
+
 
+def _band_pairs(met: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
+    """(key, a, b): nodes of different parts that share a band and may be alike. The largest part of a band never meets itself."""
+    placed = cut(_parted(met, parts))
+    counted = placed.groupBy("band", "part").agg(F.count("*").alias("n"))
+    largest = counted.groupBy("band").agg(F.max_by("part", F.struct("n", "part")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("band", "largest")
+    placed = cut(placed.join(largest, "band").withColumn("loose", F.col("part") != F.col("largest")).drop("largest"))
+    u, v = _side(placed.where("loose").drop("loose"), "u_", ("band",)), _side(placed, "v_", ("band",))
+    once = ~F.col("v_loose") | (F.col("u_node") < F.col("v_node"))
+    near = u.join(v, "band").where((F.col("u_part") != F.col("v_part")) & once & _not_apart("u_", "v_", similarity))
+    return near.select(F.col("band").alias("key"), F.least("u_node", "v_node").alias("a"), F.greatest("u_node", "v_node").alias("b")).distinct()
 
-def _band_pairs(met: DataFrame, parts: DataFrame) -> DataFrame:
-    """(a, b): nodes of different parts that share a band; parts meet first, so that a large part doesn't meet itself."""
-    placed = met.join(parts, "node", "left").select("band", "node", F.coalesce("root", "node").alias("part"))
-    sides = placed.select("band", "part").distinct()
-    met_parts = cut(sides.withColumnRenamed("part", "p").join(sides.withColumnRenamed("part", "q"), "band").where("p < q"))
-    u, v = placed.select("band", F.col("part").alias("p"), F.col("node").alias("x")), placed.select("band", F.col("part").alias("q"), F.col("node").alias("y"))
-    return met_parts.join(u, ["band", "p"]).join(v, ["band", "q"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
+def _grid_pairs(nodes: DataFrame, parts: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(key, a, b): nodes of different parts whose fingerprints differ in at most radius bits and that may be alike, by a range-join of the popcount grid.
 
-def drop_near_copies(
-    docs: DataFrame, width: int = 5, radius: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", members: int = 4, print_width: int = 2
-) -> DataFrame:
+    Equal fingerprints of a part go by its least node.
+    """
+    each = _parted(nodes.where("size > 0").select("node", "fp"), parts)
+    each = cut(each.groupBy("fp", "part").agg(F.min("node").alias("node")))
+    groups, bits = plan_grid(each.count(), radius)
+    own, probes = _cells(radius, groups, bits)
+
+    def side(at: Column, n: str) -> DataFrame:
+        return each.select(F.col("fp").alias(f"{n}_fp"), F.col("part").alias(f"{n}_part"), F.col("node").alias(f"{n}_node"), F.explode(at).alias("at")).select("at.g", "at.cell", f"{n}_fp", f"{n}_part", f"{n}_node")
+
+    near = side(probes, "u").join(side(own, "v"), ["g", "cell"]).where((F.bit_count(F.col("u_fp").bitwiseXOR(F.col("v_fp"))) <= radius) & (F.col("u_part") != F.col("v_part")))
+    near = cut(near.select(F.least("u_node", "v_node").alias("a"), F.greatest("u_node", "v_node").alias("b")).distinct())
+    judged = nodes.select("node", *_JUDGED)
+    both = near.join(_side(judged, "u_").withColumnRenamed("u_node", "a"), "a").join(_side(judged, "v_").withColumnRenamed("v_node", "b"), "b")
+    return both.where(_not_apart("u_", "v_", similarity)).select(F.xxhash64("a").alias("key"), "a", "b")
+
+
+def near_links(docs: DataFrame, nodes: DataFrame, width: int, radius: int, similarity: float) -> DataFrame:
+    """(u, v): enough of the pairs of nodes (materialised) of at least that similarity to connect what all of them connect. docs has text."""
+    met = _met_in_bands(nodes)
+    sets = _sets(docs, cut(met.select("node").distinct()), width)
+    first = _alike(_star_pairs(met, similarity), sets, similarity)
+    parts = cut(components(first.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    near = cut(_grid_pairs(nodes, parts, radius, similarity).unionByName(_band_pairs(met, parts, similarity)))
+    more = cut(near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node"), "node", "left_anti"))
+    second = _alike(near, sets.unionByName(_sets(docs, more, width)), similarity)
+    return first.unionByName(second).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 3, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs less its near copies: of each group, the row with the smallest doc_id stays.
 
     Texts with the same words are one. Others are linked if their sets of shingles of width words
-    have a Jaccard similarity of at least similarity, and are compared if one of their fingerprints
-    over shingles of print_width words, members in number, differs in at most radius bits, or if
-    they share a band of minima of their shingles (BANDS). The fingerprints alone lose many pairs at
-    the limit of similarity, most of all where a copy has a block added or cut; to the bands only
-    the similarity matters. Texts that share half a fingerprint or a band are compared with a few of
-    them first; the grid and the bands then compare only texts that these links have not put into one
-    part, and whose shingles are not surely too far apart, so that a large group doesn't meet itself
-    whole.
-    Groups are what links connect. Null counts as empty, null ids come after all others, and rows
-    that repeat whole are one document. All columns pass through, whatever their names.
+    have a Jaccard similarity of at least similarity, and groups are what links connect. Compared
+    are texts whose fingerprints over these shingles differ in at most radius bits, found by the
+    popcount grid, and texts that share a band of minima of their shingles (BANDS): at a similarity
+    of 0.8 fingerprints are 10 of 64 bits apart on average, where no grid can tell them from strangers,
+    while the bands miss 3 pairs in a million whatever their edits look like. Every comparison is
+    exact. Texts of a band are first compared with a few of them; then only texts that these links
+    have not put into one part, and whose shingles are not surely too far apart, are compared, so
+    that a large group doesn't meet itself whole.
+
+    Null counts as empty, and empty texts are one; ids that are null or no integers come after all
+    others; rows that repeat whole are one document; of texts with equal ids the one with the least
+    row digest stays. An empty table gives an empty result. All columns pass through, whatever their names.
     """
     bound_batches(docs.sparkSession)
     names = docs.columns
     text_at, id_at = names.index(text_col), names.index(id_col)
-    marks = cut(docs.mapInArrow(tidy(_row_marks(width, print_width, members, text_at, id_at)), "key binary, doc_id bigint, node binary, fps array<bigint>, bands array<bigint>, low bigint, high bigint, size int"))
+    rows = keyed(by_place(docs), text_at, id_at)
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"))
+    marked = rows.select("key", F.expr(f"try_cast(c{id_at} AS bigint)").alias("doc_id"), F.col(f"c{text_at}").alias("text"))
+    marks = cut(marked.mapInArrow(tidy(_row_marks(width)), _MARKED))
+    parity = [F.element_at("parity", i + 1).alias(f"p{i}") for i in range(PARITY_WORDS)]
+    nodes = cut(marks.groupBy("node").agg(F.first(F.struct("fp", "bands", "size", *parity)).alias("m")).select("node", "m.*"))
+    links_ = near_links(texts, nodes, width, radius, similarity)
+    roots = components(links_)
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
-    nodes = cut(marks.groupBy("node").agg(F.min(F.struct("fps", "bands", "low", "high", "size")).alias("marks"), F.min(order).alias("least")).select("node", "least", "marks.*"))
-    met = _shared_bands(nodes)
-    near = _half_pairs(nodes, radius, similarity).unionByName(_judged(_band_stars(met), nodes, similarity))
-    first = _alike(docs, text_col, cut(near.distinct()), width, similarity)
-    parts = cut(components(first.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    parted = nodes.join(parts, "node", "left").select("node", "fps", "low", "high", "size", F.xxhash64(F.coalesce("root", "node")).alias("part"))
-    groups, bits = plan_grid(nodes.count(), radius)
-    near = _grid_pairs(parted, radius, similarity, groups, bits).unionByName(_judged(_band_pairs(met, parts), nodes, similarity))
-    second = _alike(docs, text_col, cut(near.distinct()), width, similarity)
-    alike = first.unionByName(second)
-    roots = components(alike.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    homes = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    stays = cut(homes.groupBy("root").agg(F.min("least").alias("stays")))  # by itself, so that a hot group can be split
-    gone = cut(marks.select("key", "node").join(homes.join(stays, "root").select("node", "stays.key").withColumnRenamed("key", "stays"), "node").where("key <> stays").select(F.col("key").alias("__row_key")).distinct())
-    schema = docs.withColumn("__row_key", F.lit(None).cast("binary")).schema
-    keyed = docs.mapInArrow(tidy(with_row_keys(names, text_at, id_at)), schema)
-    left = keyed.join(broadcast_if_small(gone, 40), "__row_key", "left_anti")
+    homes = cut(marks.select("key", "doc_id", "node").join(roots, "node", "left").select("key", "doc_id", F.coalesce("root", "node").alias("root")))
+    stays = cut(homes.groupBy("root").agg(F.min(order).alias("stays"), F.count("*").alias("n")).where("n > 1").select("root", "stays.key").withColumnRenamed("key", "stays"))  # by itself, so that a hot group can be split
+    gone = cut(homes.join(stays, "root").where("key <> stays").select("key").distinct())
+    left = rows.join(broadcast_if_small(gone, 40), "key", "left_anti")
     if not marks.groupBy("key").count().where("count > 1").isEmpty():
-        left = left.dropDuplicates(["__row_key"])
-    return left.select(*[F.col(f"`{c}`") for c in names])
+        left = left.dropDuplicates(["key"])
+    return left.drop("key").toDF(*names)
