@@ -49,5 +49,5 @@ def code_fingerprint(files: Iterable[str], params: Mapping | None = None, length
     digest = hashlib.sha256()
     for path in sorted(files):
         digest.update(f"{file_fingerprint(path)}|".encode())
-    digest.update(json.dumps(dict(params or {}), sort_keys=True).encode())
+    digest.update(json.dumps(dict(params or {}), sort_keys=True, default=str).encode())
     return digest.hexdigest()[:length]

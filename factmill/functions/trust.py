@@ -30,7 +30,9 @@ def trust(value: Column, match: Column, verdict: Column, judge_error: Column, ju
 
 
 def source_verified(document_flag: Column, confidence: Column, threshold: float = 0.7) -> Column:
-    return F.when((document_flag == "low") | confidence.isNull() | (confidence < threshold), "low").otherwise("high")
+    """low for a document that was read badly; null where nothing is known of the place; else by its confidence."""
+    low = F.coalesce(document_flag == "low", F.lit(False)) | F.coalesce(confidence < threshold, F.lit(False))
+    return F.when(low, "low").when(confidence.isNotNull(), "high")
 
 
 def escalates(match: Column, trust_: Column, confidence: Column, document_flag: Column, threshold: float = 0.7) -> Column:
@@ -39,16 +41,21 @@ def escalates(match: Column, trust_: Column, confidence: Column, document_flag:
     return match.isin("fuzzy", "not_found") | trust_.isin("review", "low") | F.coalesce(confidence < threshold, no) | F.coalesce(document_flag == "low", no)
 
 
-def _rank(column: Column, order: tuple[str, ...]) -> Column:
-    out = F.lit(len(order))
-    for i, v in enumerate(order):
-        out = F.when(column == v, i).otherwise(out)
+#: Ranks from the least certain on; names that aren't here count as review and na_null.
+TRUST_RANKS = {"low": 0, "review": 1, "unknown": 2, "high": 3}
+MATCH_RANKS = {"not_found": 0, "fuzzy": 1, "na_null": 2, "normalized": 3, "vision_page": 3, "exact": 4}
+
+
+def _rank(column: Column, ranks: dict[str, int], other: int) -> Column:
+    out = F.lit(other)
+    for name, rank in ranks.items():
+        out = F.when(column == name, rank).otherwise(out)
     return out
 
 
 def uncertainty(match: Column, trust_: Column, confidence: Column) -> list[Column]:
     """Order by these for the least certain first."""
-    return [_rank(trust_, ("low", "review", "unknown", "high")), _rank(match, ("not_found", "fuzzy", "na_null", "normalized", "vision_page", "exact")), F.coalesce(confidence, F.lit(1.0))]
+    return [_rank(trust_, TRUST_RANKS, 1), _rank(match, MATCH_RANKS, 2), F.coalesce(confidence, F.lit(1.0))]
 
 
 def pages_to_read(evidence_page: Column, retrieved: Column, scan: Column) -> Column:

@@ -41,7 +41,7 @@ def token_windows(tokens: Column, size: int, overlap: int) -> Column:
 
 def split_table(markdown: Column, size: int) -> Column:
     """A table in pieces of whole rows, each with the header and its rule; a row that is too long stands alone."""
-    lines = F.filter(F.split(markdown, "\n"), lambda x: ~is_blank(x))
+    lines = F.filter(F.split(markdown, "\n"), lambda x: x != "")
     head = F.concat(F.element_at(lines, 1), F.lit("\n"), F.element_at(lines, 2))
     whole = lambda part: F.concat(head, F.lit("\n"), part)
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
@@ -63,7 +63,7 @@ def units(blocks: DataFrame, size: int, overlap: int) -> DataFrame:
     over = token_length(F.col("text")) > size
     pieces = F.when(over & (F.col("type") == "prose"), char_windows(F.col("text"), size, overlap)).when(over & (F.col("type") == "table"), split_table(F.col("text"), size)).otherwise(F.array("text"))
     rest = [c for c in blocks.columns if c != "text"]
-    return blocks.where(~is_blank(F.col("text"))).select(*rest, F.posexplode(pieces).alias("part", "text"))
+    return blocks.where(~is_blank(F.col("text"))).withColumn("text", strip(F.col("text"))).select(*rest, F.posexplode(pieces).alias("part", "text"))
 
 
 def pack(ordered: Column, size: int) -> Column:
@@ -92,14 +92,14 @@ def pack(ordered: Column, size: int) -> Column:
 def chunks(df: DataFrame, doc: str, size: int) -> DataFrame:
     """Chunks from units (doc, block_index, part, type, text, section, page, table_id, figure_uri).
 
-    The first section heads the text; page is the first unit's; a type of its own only if all units
+    The first section that isn't empty heads the text; page is the first unit's; a type of its own only if all units
     share it; table and figure references only where the unit is alone.
     """
     atomic = F.col("type").isin("table", "figure")
     unit = F.struct("block_index", "part", "type", "text", "section", "page", "table_id", "figure_uri", token_length(F.col("text")).alias("tokens"), atomic.alias("atomic"))
     packed = df.groupBy(doc).agg(F.array_sort(F.collect_list(unit)).alias("us")).select(doc, F.posexplode(pack(F.col("us"), size)).alias("chunk_index", "us"))
     body = F.array_join(F.transform("us", lambda u: u["text"]), "\n\n")
-    section = F.try_element_at(F.filter(F.transform("us", lambda u: u["section"]), lambda s: s.isNotNull()), F.lit(1))
+    section = F.try_element_at(F.filter(F.transform("us", lambda u: u["section"]), lambda s: F.coalesce(s, F.lit("")) != ""), F.lit(1))
     kinds = F.array_distinct(F.transform("us", lambda u: u["type"]))
     alone = F.size("us") == 1
     return packed.select(
@@ -107,6 +107,6 @@ def chunks(df: DataFrame, doc: str, size: int) -> DataFrame:
         F.when(section.isNotNull(), F.concat(F.lit("## "), section, F.lit("\n\n"), body)).otherwise(body).alias("text"),
         F.when(F.size(kinds) == 1, kinds[0]).otherwise("mixed").alias("block_type"),
         section.alias("section"), F.col("us")[0]["page"].alias("page"),
-        F.when(alone, F.col("us")[0]["table_id"]).alias("table_id"), F.when(alone, F.col("us")[0]["figure_uri"]).alias("figure_uri"),
+        F.when(alone & (kinds[0] == "table"), F.col("us")[0]["table_id"]).alias("table_id"), F.when(alone & (kinds[0] == "figure"), F.col("us")[0]["figure_uri"]).alias("figure_uri"),
         F.size("us").alias("n_units"),
     ).withColumn("char_count", F.length("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse, is_blank
+from ..functions.text import collapse, is_blank, strip
 
 NOISE = ("pageHeader", "pageFooter", "pageNumber")
 HEADINGS = ("title", "sectionHeading")
@@ -29,6 +29,74 @@ def area_fraction(polygon: Column, width: Column, height: Column) -> Column:
     return F.when((F.size(polygon) >= 6) & (box > 0) & (page > 0), box / page)
 
 
+#: What a layout service says of a document: text, and elements by their spans in it.
+_SPANS = "array<struct<offset:bigint,length:bigint>>"
+_REGIONS = "array<struct<page:int,polygon:array<double>>>"
+RESULT = (
+    f"content string, paragraphs array<struct<role:string,content:string,regions:{_REGIONS},spans:{_SPANS}>>, "
+    f"tables array<struct<row_count:int,column_count:int,regions:{_REGIONS},spans:{_SPANS},cells:array<struct<row:int,col:int,row_span:int,col_span:int,kind:string,text:string>>>>, "
+    f"figures array<struct<id:string,caption:string,ocr:string,regions:{_REGIONS},spans:{_SPANS}>>, "
+    "pages array<struct<width:double,height:double,words:array<struct<offset:bigint,length:bigint,confidence:double>>>>"
+)
+
+
+def first_page(regions: Column) -> Column:
+    """The page of an element's first region; null without any."""
+    return F.get(regions, F.lit(0))["page"]
+
+
+def word_confidences(results: DataFrame, doc: str) -> DataFrame:
+    """(doc, at, end, conf) of the words that have a place and a confidence, from results (doc, result)."""
+    pages = results.select(doc, F.explode("result.pages").alias("p"))
+    words = pages.select(doc, F.explode("p.words").alias("w")).where("w.confidence is not null and w.offset is not null")
+    return words.select(doc, F.col("w.offset").alias("at"), (F.col("w.offset") + F.coalesce("w.length", F.lit(0))).alias("end"), F.col("w.confidence").alias("conf"))
+
+
+def figure_text(figure: Column, described: Column, most: int) -> Column:
+    """A figure's block: its caption, what a model says of it (if any) and the text read in it, without repeats."""
+    words = caption(F.array(figure["caption"], described, figure["ocr"]), F.lit("no caption"), most)
+    return F.concat(F.lit("[FIGURE p."), F.coalesce(first_page(figure["regions"]).cast("string"), F.lit("None")), F.lit(" — "), words, F.lit("]"))
+
+
+def build(results: DataFrame, doc: str, least_fraction: float = 0.02, most_caption: int = 2000, uri_prefix: Column | None = None, described: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(blocks, tables) in reading order from results (doc, result as RESULT has it).
+
+    Paragraphs that start inside a table or figure, page furniture, empty tables and figures that
+    take less than least_fraction of their page go. described (doc, figure_id, words) holds what a
+    model says of figures; those with an image (an id) lie under uri_prefix.
+    """
+    span = F.named_struct(F.lit("start"), span_start(F.col("e.spans")), F.lit("end"), span_end(F.col("e.spans")))
+    placed = lambda df: df.withColumn("at", span).withColumns({"start": F.col("at.start"), "end": F.col("at.end")})
+    none = F.lit(None).cast("string")
+    spans = F.filter(F.concat(F.coalesce(F.transform("result.tables", lambda t: t["spans"]), F.array()), F.coalesce(F.transform("result.figures", lambda f: f["spans"]), F.array())), lambda s: F.size(s) > 0)
+    ranges = F.transform(spans, lambda s: F.named_struct(F.lit("lo"), span_start(s), F.lit("hi"), span_end(s)))
+    paragraphs = placed(results.select(doc, ranges.alias("ranges"), F.posexplode("result.paragraphs").alias("idx", "e")).withColumn("role", F.col("e.role")))
+    prose = drop_noise(paragraphs).where(~F.exists("ranges", lambda r: (F.col("start") >= r["lo"]) & (F.col("start") < r["hi"])))
+    prose = prose.select(doc, F.lit("prose").alias("kind"), "role", "start", "end", "idx", first_page(F.col("e.regions")).alias("page"), strip(F.col("e.content")).alias("text"), none.alias("table_id"), none.alias("figure_uri"))
+
+    tables = placed(results.select(doc, F.posexplode("result.tables").alias("table_index", "e")))
+    cells = tables.select(doc, "table_index", F.coalesce("e.row_count", F.lit(0)).alias("n_rows"), F.coalesce("e.column_count", F.lit(0)).alias("n_cols"), F.posexplode_outer("e.cells").alias("seq", "c")).select(doc, "table_index", "n_rows", "n_cols", "seq", "c.*")
+    key = [doc, "table_index"]
+    written = table_markdown(cells, key).join(table_cells(cells.where("row is not null"), key), key, "left")
+    whole = tables.join(written, key).withColumn("table_id", F.concat(F.lit("t"), F.col("table_index").cast("string")))
+    listed = whole.select(doc, "table_id", "table_index", first_page(F.col("e.regions")).alias("page"), F.coalesce("e.row_count", F.lit(0)).alias("n_rows"), F.coalesce("e.column_count", F.lit(0)).alias("n_cols"), "markdown", F.coalesce("cells_json", F.lit("[]")).alias("cells_json"))
+    as_tables = whole.select(doc, F.lit("table").alias("kind"), none.alias("role"), "start", "end", F.col("table_index").alias("idx"), first_page(F.col("e.regions")).alias("page"), F.col("markdown").alias("text"), "table_id", none.alias("figure_uri"))
+
+    figures = placed(results.select(doc, F.col("result.pages").alias("pages"), F.posexplode("result.figures").alias("idx", "e"))).withColumn("page", first_page(F.col("e.regions")))
+    on = F.get("pages", F.col("page") - 1)
+    figures = drop_decorative(figures.withColumn("fraction", F.when(F.col("page") > 0, area_fraction(F.get("e.regions", F.lit(0))["polygon"], on["width"], on["height"]))), least_fraction)
+    if described is not None:
+        figures = figures.withColumn("figure_id", F.col("e.id")).join(described.select(doc, "figure_id", "words"), [doc, "figure_id"], "left")
+    else:
+        figures = figures.withColumn("words", none)
+    uri = figure_uri(F.when(F.col("e.id").isNotNull(), uri_prefix) if uri_prefix is not None else none, F.col("page"), F.col("idx"))
+    as_figures = figures.select(doc, F.lit("figure").alias("kind"), none.alias("role"), "start", "end", "idx", "page", figure_text(F.col("e"), F.col("words"), most_caption).alias("text"), none.alias("table_id"), uri.alias("figure_uri"))
+
+    ordered = blocks(prose.unionByName(as_tables).unionByName(as_figures), doc)
+    sure = span_confidence(ordered.select(doc, "block_index", "start", "end"), word_confidences(results, doc), doc).drop("start", "end")
+    return ordered.join(sure, [doc, "block_index"], "left").withColumnRenamed("kind", "type").drop("role", "start", "end", "idx"), listed
+
+
 def span_confidence(blocks: DataFrame, words: DataFrame, doc: str) -> DataFrame:
     """blocks (doc, start, end) with conf_min and conf_mean of the words that start inside; null without any.
 

@@ -38,21 +38,32 @@ def fresh(source: DataFrame) -> DataFrame:
     return source.withColumns({"valid_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True), "doc_deleted": F.lit(False)})
 
 
+def evolve(target: DataFrame, source: DataFrame) -> DataFrame:
+    """target with the columns that only source has, null so far, behind its own."""
+    known = set(target.columns)
+    return target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in source.schema if f.name not in known})
+
+
 def merge(target: DataFrame, source: DataFrame, key: str, version: str = "version_id", refresh: list[str] | None = None) -> DataFrame:
     """Fold a snapshot of changed rows into the history.
 
     A live row whose version differs is closed at the new row's valid_from and the new row is added;
     one with the same version takes over the new row's columns (only those in refresh, if given);
     a key without a live row is added; live rows without a new one and all history stay as they are.
+    Columns that are new in source are added to the history, where they are null; columns that
+    source lacks keep their values in a row of the same version and are null in a new one.
     One shuffle of each side: the live rows and the snapshot meet in one full outer join.
     """
+    given = set(source.columns) | set(MANAGED[1:])
+    target = evolve(target, source)
     columns = target.columns
-    wanted = fresh(source).select(columns)
+    wanted = evolve(fresh(source), target).select(columns)
     pack = lambda df, name: df.select(F.col(key).alias("k"), F.struct(*columns).alias(name))
     both = pack(live(target), "l").join(pack(wanted, "s"), "k", "full_outer")
     kind = both.schema["l"].dataType.simpleString()  # all of it nullable
     closed = F.struct(*[(F.lit(False) if c == "is_current" else F.col("s.valid_from") if c == "valid_to" else F.col(f"l.{c}")).alias(c) for c in columns]).cast(kind)
-    kept = F.col("s") if refresh is None else F.struct(*[F.col(f"{'s' if c in (*refresh, 'doc_deleted') else 'l'}.{c}").alias(c) for c in columns])
+    taken = given if refresh is None else {*refresh, "doc_deleted"}
+    kept = F.struct(*[F.col(f"{'s' if c in taken else 'l'}.{c}").alias(c) for c in columns])
     rows = (
         F.when(F.col("s").isNull(), F.array(F.col("l").cast(kind)))
         .when(F.col("l").isNull(), F.array(F.col("s").cast(kind)))
@@ -64,14 +75,17 @@ def merge(target: DataFrame, source: DataFrame, key: str, version: str = "versio
 
 
 def expire_and_append(target: DataFrame, source: DataFrame, changed: DataFrame, key: str, now: Column, version: str = "version_id") -> DataFrame:
-    """Replace the rows of changed keys: live rows of a version that comes again go, the others are closed, then source is added."""
+    """Replace the rows of changed keys: live rows of a version that comes again go, the others are closed, then source is added.
+
+    Columns that only one of the two has are null in the rows of the other.
+    """
     keys = changed.select(key).distinct().withColumn("_changed", F.lit(True))
     versions = source.select(version).distinct().withColumn("_again", F.lit(True))
     marked = target.join(keys, key, "left").join(versions, version, "left")
     hit = is_live() & F.coalesce("_changed", F.lit(False))
     kept = marked.where(~(hit & F.coalesce("_again", F.lit(False))))
     closed = kept.withColumns({"valid_to": F.when(hit, now).otherwise(F.col("valid_to")), "is_current": F.when(hit, False).otherwise(F.col("is_current"))})
-    return closed.select(target.columns).unionByName(source.select(target.columns), allowMissingColumns=True)
+    return closed.select(target.columns).unionByName(source, allowMissingColumns=True)
 
 
 def tombstone(target: DataFrame, active: DataFrame, key: str, now: Column) -> DataFrame:

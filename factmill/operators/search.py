@@ -20,20 +20,42 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(normalize(text), r"[^\p{L}\p{N}_]+"), lambda t: F.length(t) > 0)
 
 
-def postings(chunks: DataFrame, chunk: str, text: str = "text") -> DataFrame:
-    """(term, chunk, tf, size): the inverted index, with each chunk's number of terms."""
-    listed = chunks.select(chunk, terms(F.col(text)).alias("ts"))
-    return listed.select(chunk, F.size("ts").alias("size"), F.explode("ts").alias("term")).groupBy("term", chunk, "size").agg(F.count("*").alias("tf"))
-
-
-def bm25(index: DataFrame, queries: DataFrame, chunk: str, query: str) -> DataFrame:
-    """(query, chunk, score) from queries (query, term); rows only where a term is shared."""
-    n, mean = index.select(chunk, "size").distinct().agg(F.count("*"), F.avg("size")).first()
-    frequency = index.groupBy("term").agg(F.count("*").alias("df"))
-    hits = index.join(queries.select(query, "term").distinct(), "term").join(frequency, "term")
-    idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.lit(float(mean or 1.0))))
-    return hits.groupBy(query, chunk).agg(F.sum(idf * weight).alias("score"))
+def postings(chunks: DataFrame, chunk: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(term, chunk, tf, size): the inverted index, with each chunk's number of terms, and further columns of the chunk to filter by."""
+    keep = keep or []
+    listed = chunks.select(chunk, *keep, terms(F.col(text)).alias("ts"))
+    return listed.select(chunk, *keep, F.size("ts").alias("size"), F.explode("ts").alias("term")).groupBy("term", chunk, *keep, "size").agg(F.count("*").alias("tf"))
+
+
+def bm25(index: DataFrame, queries: DataFrame, chunk: str, query: str, within: list[str] | None = None) -> DataFrame:
+    """(query, chunk, score) from queries (query, term); rows only where a term is shared.
+
+    With within, queries have these columns too and meet only chunks that agree in them (a document
+    filter); how rare a term is and how long chunks are is still said of the whole index. The index
+    is read once for its statistics and once for its hits, without a job in between.
+    """
+    within = within or []
+    sizes = index.groupBy(chunk).agg(F.first("size").alias("size")).agg(F.count("*").alias("n"), F.avg("size").alias("mean"))
+    asked = queries.select(query, "term", *within).distinct()
+    frequency = index.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    n, mean = sizes.select("n").scalar(), F.coalesce(sizes.select("mean").scalar(), F.lit(1.0))  # subqueries, not joins
+    hits = index.join(asked, ["term", *within]).join(frequency, "term")
+    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / mean))
+    return hits.groupBy(query, *within, chunk).agg(F.sum(idf * weight).alias("score"))
+
+
+def hybrid(index: DataFrame, inverted: DataFrame, questions: DataFrame, query: str, chunk: str, doc: str, k: int) -> DataFrame:
+    """The k best chunks of one document for each question (query, doc, question, embedding): nearest vectors and BM25, fused by rank.
+
+    Both rankings join on the document first, so that a question meets that document's chunks only.
+    """
+    keys = [query, doc]
+    near = questions.select(*keys, F.col("embedding").alias("qe")).join(index.select(doc, chunk, "embedding"), doc).select(*keys, chunk, F.coalesce(cosine(F.col("qe"), F.col("embedding")), F.lit(0.0)).alias("score"))
+    words = bm25(inverted, questions.select(*keys, F.explode(terms(F.col("question"))).alias("term")), chunk, query, [doc])
+    rank = lambda df: top_k(df.withColumn("score", F.round("score", 6)), keys, k, chunk)
+    fused = fuse(rank(near), rank(words), [*keys, chunk]).withColumn("score", F.round("score", 6))
+    return top_k(fused, keys, k, chunk)
 
 
 def top_k(scored: DataFrame, groups: list[str], k: int, item: str, score: str = "score") -> DataFrame:

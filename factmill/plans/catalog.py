@@ -26,4 +26,4 @@ def read(spark, sf_dir: str, table: str):
 
 def load() -> None:
     """Import the families, which registers their queries."""
-    from . import documents, fields, history, measures  # noqa: F401
+    from . import documents, fields, history, measures, stages  # noqa: F401

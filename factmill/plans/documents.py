@@ -113,6 +113,17 @@ def content_slices(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", T.slice_spans(F.col("text"), spans, 60).alias("piece"))
 
 
+@query("""WITH RECURSIVE l AS (SELECT n_regionkey AS region, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, '| ' || n_name || ' |' AS row FROM nation),
+w AS (SELECT region, i, 0 AS piece, row AS body FROM l WHERE i = 1
+UNION ALL SELECT l.region, l.i, CASE WHEN (24 + length(body) + length(l.row)) // 4 > 14 THEN piece + 1 ELSE piece END, CASE WHEN (24 + length(body) + length(l.row)) // 4 > 14 THEN l.row ELSE body || chr(10) || l.row END FROM w JOIN l ON l.region = w.region AND l.i = w.i + 1)
+SELECT region, '| name |' || chr(10) || '| ---------- |' || chr(10) || arg_max(body, i) AS piece FROM w GROUP BY region, w.piece""")
+def table_row_packs(spark, sf_dir):
+    """Pieces of several rows, each under the header."""
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda r: F.concat(F.lit("| "), r["n_name"], F.lit(" |")))
+    md = F.concat(F.lit("| name |\n| ---------- |\n"), F.array_join(rows, "\n"))
+    return read(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("region")).agg(md.alias("md")).select("region", F.explode(C.split_table(F.col("md"), 14)).alias("piece"))
+
+
 @query("""WITH c AS (SELECT n_regionkey AS region, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1)::INT AS i, n_name FROM nation),
 g AS (SELECT region, r, string_agg(coalesce(n_name, ''), ' | ' ORDER BY col) AS line FROM (SELECT DISTINCT region FROM c), (SELECT unnest([0, 1, 2]) AS r), (SELECT unnest([0, 1]) AS col) LEFT JOIN (SELECT region AS region2, i // 2 AS r2, i % 2 AS col2, n_name FROM c) ON region2 = region AND r2 = r AND col2 = col GROUP BY region, r)
 SELECT region, string_agg('| ' || line || ' |' || CASE WHEN r = 0 THEN chr(10) || '| --- | --- |' ELSE '' END, chr(10) ORDER BY r) AS markdown FROM g GROUP BY region""")
@@ -167,7 +178,7 @@ def greedy_pack(spark, sf_dir):
 
 @query()
 def chunk_documents(spark, sf_dir):
-    """Blocks to units to chunks of a whole table; tests hold it against a sequential version."""
+    """Blocks to units to chunks of a whole table; its oracle stands with those of the stages."""
     b = L.blocks(L.drop_noise(lines(spark, sf_dir)), "doc_id").select("doc_id", "block_index", F.when(F.contains("text", F.lit(" | ")), "table").otherwise("prose").alias("type"), "section", "page", F.lit(None).cast("string").alias("table_id"), F.lit(None).cast("string").alias("figure_uri"), "text")
     return C.chunks(C.units(b, 128, 16), "doc_id", 128)
 

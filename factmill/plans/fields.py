@@ -59,6 +59,69 @@ def coerce_structs(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", V.coerce_structs(raw, ["k", "z"]).alias("coerced"))
 
 
+#: (kind, value, whether it was a JSON string, what it is written as)
+_COERCED = [
+    ("boolean", "YES ", True, "true"), ("boolean", "maybe", True, "false"), ("boolean", "2", False, "true"), ("boolean", "0", False, "false"), ("boolean", None, True, None),
+    ("integer", "30.7", False, "30"), ("integer", "30.7", True, None), ("integer", " 12 ", True, "12"), ("integer", "30 days", True, None), ("integer", "-4", False, "-4"),
+    ("number", "1e3", True, "1000.0"), ("float", "abc", True, None), ("double", " 2.50", True, "2.5"), ("number", "1d", True, None),
+    ("list", '["a",null,"b"]', False, '["a","b"]'), ("list", "a, ,b,", True, '["a","b"]'), ("list", "[not json", True, '["[not json"]'), ("list", "[]", False, "[]"),
+    ("string", " kept ", True, " kept "), ("odd", "7", False, "7"),
+]
+_CHECKED = [
+    ("string", " 12 ", r"^12$", "valid"), ("string", "x12", r"^12$", "invalid"), ("string", "x", "(", "valid"), ("string", " \n", None, "not_applicable"), ("string", None, None, "not_applicable"),
+    ("list", '["a",null]', None, "valid"), ("list", '["[redacted]","{x"]', None, "valid"), ("list", '[["a"]]', None, "invalid"), ("list", '{"a":1}', None, "invalid"), ("list", "[1,true]", None, "valid"), ("list", "[]", None, "not_applicable"), ("list", "[", None, "invalid"),
+    ("boolean", "true", None, "valid"), ("boolean", "1", None, "invalid"), ("integer", "5", None, "valid"), ("integer", "5.0", None, "invalid"), ("float", "5.5", None, "valid"), ("double", "five", None, "invalid"),
+]
+_STRUCTS = [
+    ('[{"k":"1","n":"2.5","b":"yes","x":9},"loose",null,{"k":null}]', '[{"k":"1","n":2.5,"b":true},{"k":null,"n":null,"b":null}]', "invalid"), ('[{"k":""},{"n":3}]', '[{"k":"","n":null,"b":null},{"k":null,"n":3.0,"b":null}]', "invalid"),
+    ('[{"k":" "},{"n":0,"b":false}]', '[{"k":" ","n":null,"b":null},{"k":null,"n":0.0,"b":false}]', "valid"), ("[]", "[]", "not_applicable"), ("no list", None, "invalid"), (None, None, "not_applicable"), ('[{"k":[]}]', '[{"k":"[]","n":null,"b":null}]', "valid"),
+]
+
+
+@query(f"SELECT id, written FROM {_values([(i, r[3]) for i, r in enumerate(_COERCED)], 'id, written')}")
+def coerce_kinds(spark, sf_dir):
+    """Every kind, from JSON strings and from bare values."""
+    d = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(_COERCED)], "id int, kind string, value string, quoted boolean")
+    return d.select("id", V.coerce(F.col("value"), F.col("kind"), F.col("quoted")).alias("written"))
+
+
+@query(f"SELECT id, validation FROM {_values([(i, r[3]) for i, r in enumerate(_CHECKED)], 'id, validation')}")
+def validate_kinds(spark, sf_dir):
+    """Trimmed values, patterns that are none, nulls and brackets in lists."""
+    d = spark.createDataFrame([(i, *r[:2], V.pattern_that_compiles(r[2])) for i, r in enumerate(_CHECKED)], "id int, kind string, value string, pattern string")
+    return d.select("id", V.validate(F.col("value"), F.col("kind"), F.col("pattern")).alias("validation"))
+
+
+@query(f"SELECT id, coerced, validation FROM {_values([(i, *r[1:]) for i, r in enumerate(_STRUCTS)], 'id, coerced, validation')}")
+def struct_kinds(spark, sf_dir):
+    """Struct lists by the kinds of their members, and their validation."""
+    d = spark.createDataFrame([(i, r[0]) for i, r in enumerate(_STRUCTS)], "id int, value string")
+    return d.select("id", V.coerce_structs(F.col("value"), [("k", "string"), ("n", "number"), ("b", "boolean")]).alias("coerced"), V.validate_structs(F.col("value"), ["k", "n", "b"]).alias("validation"))
+
+
+_ANSWERS = [
+    ('{"x":{"value":"a","evidence":"q"}}', "a", "q", True), ('{"x":{"value":5,"evidence":""}}', "5", None, False), ('{"x":{"a":"1"}}', '{"a":"1"}', None, False), ('{"x":"bare"}', "bare", None, True), ('{"x":[1,"b"]}', '[1,"b"]', None, False),
+    ('{"x":null}', None, None, False), ('{"y":1}', None, None, False), ("no json", None, None, False), ('{"x":{"evidence":"only"}}', None, "only", False), ('{"x":{"value":true,"evidence":7}}', "true", None, False), ('{"x":{"value":null,"evidence":"q"}}', None, "q", False),
+]
+
+
+@query(f"SELECT id, value, quote, quoted FROM {_values([(i, *r[1:]) for i, r in enumerate(_ANSWERS)], 'id, value, quote, quoted')}")
+def parse_kinds(spark, sf_dir):
+    """Answers with and without evidence, bare values, objects that are values, and what isn't there."""
+    d = spark.createDataFrame([(i, r[0]) for i, r in enumerate(_ANSWERS)], "id int, response string").select("id", extract.parse(F.col("response"), F.lit("x")).alias("p"))
+    return d.select("id", "p.value", "p.quote", "p.quoted")
+
+
+@query(f"SELECT conv_id, value FROM (SELECT conv_id, string_agg(chr(123) || '\"r\":\"' || role || '\"' || chr(125), ',' ORDER BY t) AS value FROM (SELECT conv_id, role, min(turn) AS t FROM conversations GROUP BY 1, 2) GROUP BY 1)")
+def struct_union(spark, sf_dir):
+    """Objects are the same whatever the order of their members and the case of what they hold."""
+    c = read(spark, sf_dir, "conversations")
+    odd = F.col("turn") % 2 == 1
+    one = F.concat(F.lit('{"r":"'), F.when(odd, F.col("role")).otherwise(F.col("role")), F.lit('"}'))
+    partials = c.select("conv_id", F.col("turn").alias("chunk_index"), F.array(one, F.replace(one, F.lit('":"'), F.lit('" : "'))).alias("items"), F.lit(None).cast("string").alias("quote"))
+    return extract.union_partials(partials, ["conv_id"]).select("conv_id", F.array_join("value", ",").alias("value"))
+
+
 @query("""SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'not_applicable' WHEN p_size % 5 = 1 THEN 'valid' WHEN p_size % 5 = 2 THEN 'invalid' ELSE CASE WHEN regexp_matches(p_brand, '#1') THEN 'valid' ELSE 'invalid' END END AS validation FROM part""")
 def validate_values(spark, sf_dir):
     m = F.col("p_size") % 5
@@ -120,7 +183,10 @@ def wide_rows(spark, sf_dir):
     return extract.wide(tall, ["user_id"], ["click", "purchase", "view"])
 
 
-@query("""SELECT lang, doc_id, floor((sum(least(n_chars // 4 + 2000, 50000)) OVER (PARTITION BY lang ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - 1) / 50000)::BIGINT AS wave FROM documents""")
+@query("""WITH RECURSIVE t AS (SELECT lang, doc_id, least(n_chars // 4 + 2000, 50000) AS c, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i FROM documents),
+w AS (SELECT lang, doc_id, i, 0 AS wave, c AS held FROM t WHERE i = 1
+UNION ALL SELECT t.lang, t.doc_id, t.i, CASE WHEN held + c > 50000 THEN wave + 1 ELSE wave END, CASE WHEN held + c > 50000 THEN c ELSE held + c END FROM w JOIN t ON t.lang = w.lang AND t.i = w.i + 1)
+SELECT lang, doc_id, wave::BIGINT AS wave FROM w""")
 def token_budget_waves(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("lang", "doc_id", (F.floor(F.col("n_chars") / 4) + 2000).alias("cost"))
     return extract.admit(d, ["lang"], "doc_id", "cost", 50000).select("lang", "doc_id", "wave")
@@ -164,11 +230,12 @@ def quote_trust(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Which quotes are in which documents, and how far that can be trusted before anyone judged it.
 
-    The quotes are a stated set: they are broadcast in full only if small, and matched by containment.
+    A quote and a document meet on one of the quote's words, the one that the fewest documents hold,
+    so the join is keyed and grows with what that word finds.
     """
     d = read(spark, sf_dir, "documents").select("doc_id", "text", T.normalize(F.col("text")).alias("t"))
     b = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"), T.normalize(F.col("text")).alias("q"))
-    hits = d.join(b, F.contains("t", "q"))
+    hits = evidence.containing(d, b, "doc_id", "item_id")
     match = T.locate(F.col("quote"), F.col("text"))
     none = F.lit(None).cast("string")
     return hits.select("doc_id", "item_id", match.alias("match_type"), R.trust(F.col("quote"), match, none, F.lit(False), F.lit(False), none, none).alias("trust"))
@@ -213,13 +280,13 @@ def _rated(spark, sf_dir):
     return d.select("doc_id", "source", trust.alias("trust"), match.alias("match_type"), F.when(i % 5 != 0, (i % 10) / 10.0).alias("conf_min"), F.when(F.col("n_chars") < 600, "low").otherwise("ok").alias("document_flag"))
 
 
-@query(f"""WITH {_ROWS}, g AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE trust WHEN 'low' THEN 0 WHEN 'review' THEN 1 ELSE 3 END, CASE match_type WHEN 'not_found' THEN 0 WHEN 'fuzzy' THEN 1 WHEN 'normalized' THEN 3 ELSE 5 END, coalesce(conf_min, 1.0), doc_id) AS rank FROM r WHERE match_type IN ('fuzzy', 'not_found') OR trust IN ('review', 'low') OR conf_min < 0.7 OR document_flag = 'low')
+@query(f"""WITH {_ROWS}, g AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE trust WHEN 'low' THEN 0 WHEN 'review' THEN 1 ELSE 3 END, CASE match_type WHEN 'not_found' THEN 0 WHEN 'fuzzy' THEN 1 WHEN 'normalized' THEN 3 ELSE 4 END, coalesce(conf_min, 1.0), doc_id) AS rank FROM r WHERE match_type IN ('fuzzy', 'not_found') OR trust IN ('review', 'low') OR conf_min < 0.7 OR document_flag = 'low')
 SELECT source, doc_id, rank::INT AS rank FROM g WHERE rank <= 5""")
 def escalation_topk(spark, sf_dir):
     return evidence.to_escalate(_rated(spark, sf_dir), "source", "doc_id", 5).select("source", "doc_id", "rank")
 
 
-@query(f"WITH {_ROWS} SELECT doc_id, CASE WHEN document_flag = 'low' OR conf_min IS NULL OR conf_min < 0.7 THEN 'low' ELSE 'high' END AS source_verified, CASE doc_id % 3 WHEN 0 THEN 'confirmed' WHEN 1 THEN 'low' ELSE trust END AS folded FROM r")
+@query(f"WITH {_ROWS} SELECT doc_id, CASE WHEN document_flag = 'low' OR conf_min < 0.7 THEN 'low' WHEN conf_min IS NOT NULL THEN 'high' END AS source_verified, CASE doc_id % 3 WHEN 0 THEN 'confirmed' WHEN 1 THEN 'low' ELSE trust END AS folded FROM r")
 def source_gate(spark, sf_dir):
     i = F.col("doc_id")
     verdict = F.when(i % 3 == 0, "confirmed").when(i % 3 == 1, "contradicted").otherwise("unclear")
