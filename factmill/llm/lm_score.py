@@ -1,14 +1,18 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
-Words fall into classes: each of the most frequent training words is one, all others share classes
-by their shape (length, last character, kind of letters). The model gives the next class from the
-two before it: their vectors, each scaled by the weights of its place, are added, and the scores
-are products with the classes' own vectors, normalised over all classes. Within a shared class a
-word has its share of the class's training count, so that probabilities over all words, and one
-unseen word for each class, add up to one.
-
-Training goes over all training texts: every task runs the same steps over its own rows from a
-common start, the results are averaged by weight, and this is repeated.
+Words fall into classes: each of the most frequent training words is one (the more words were read,
+the more classes), all others share classes by their shape (length, last character, kind of
+letters). The model gives the next class from the two before it: their vectors, each scaled by the
+weights of its place, are added, and the scores are products with the classes' own vectors,
+normalised over all classes. Within a shared class a word has its share of the class's training
+count, so that probabilities over all words, and one unseen word for each class, add up to one.
+
+The score of a class is a sum of one term for each place, so the sum over all classes that
+normalises a context is a product of two vectors that depend on one word each: one matrix product
+gives the norms of all contexts there are.
+
+Training goes over all training texts: every task takes noise-contrastive steps over its own rows
+from a common start, and the results are averaged by the number of tokens, once for each round.
 """
 
 from __future__ import annotations
@@ -25,8 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, bound_batches, crc_of_id, cut, slices, tidy
 
-#: Words with a class of their own, and words whose counts travel with the tasks; all others are looked up by a join.
-OWN_CLASSES, FREQUENT = 1000, 200_000
+#: Words whose counts travel with the tasks; all others are looked up by a join, with the same result.
+FREQUENT = 200_000
+#: Words with a class of their own: at least, at most (the table of norms is the square of it), and the power of the training tokens between.
+LEAST_CLASSES, MOST_CLASSES, CLASS_POWER = 2000, 4096, 0.42
 DIM, NOISE, BATCH = 16, 64, 1024
 END = b"\n"  # no word holds white space
 LETTERS, ENDINGS, LENGTHS = 4, 4, 3
@@ -86,68 +92,72 @@ def _counted(held: dict[bytes, int], texts: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(kinds, pa.int32()), pa.array(counts, pa.int64())], ["w", "shape", "c"])
 
 
+def class_count(tokens: int) -> int:
+    """How many words have classes of their own after so many training tokens."""
+    return min(MOST_CLASSES, max(LEAST_CLASSES, int(tokens**CLASS_POWER)))
+
+
 class Vocabulary:
-    """The classes and the counts of frequent words."""
+    """Numbers for words: the frequent ones in order of their counts (the first n_own have classes of their own), then one for each shape of the rare ones."""
 
-    def __init__(self, own: list[tuple[bytes, int]], frequent: dict[bytes, int], mass: dict[int, float], total: int, distinct: int):
-        self.own = {w: i for i, (w, _) in enumerate(own)}
-        self.frequent = frequent
-        self.total, self.distinct = total, distinct
+    def __init__(self, frequent: list[tuple[bytes, int, int]], n_own: int, mass: dict[int, float], total: int, distinct: int):
+        """frequent: (word, shape, count); mass: of all training words by shape, with a half for each."""
+        self.words = [w for w, _, _ in frequent]
+        self.end = self.words.index(END)
+        self.total, self.distinct, self.n_own = total, distinct, n_own
         self.base = total + 0.5 * (distinct + 1)
-        self.n_own = len(own)
-        self.size = self.n_own + SHAPES
-        self.mass = np.array([mass.get(s, 0.0) + 0.5 for s in range(SHAPES)])  # with an unseen word each
-        weights = np.concatenate([[c + 0.5 for _, c in own], self.mass])
-        self.unigram = (weights / weights.sum()).astype(np.float64)
-        self.classes = _Classes(self)
-        self.notes = _Notes(self)
-
-    def sequence(self, text: bytes) -> tuple[list[bytes], list[int]]:
-        """Words and classes of a text, the end included in the latter."""
-        ws = words(text)
-        ids = list(map(self.classes.__getitem__, ws))
-        ids.append(self.own[END])
-        return ws, ids
+        self.size = n_own + SHAPES
+        counts = np.array([c for _, _, c in frequent], np.float64)
+        shapes = np.array([k for _, k, _ in frequent], np.int64)
+        left = np.array([mass.get(k, 0.0) for k in range(SHAPES)]) - np.bincount(shapes[:n_own], weights=np.where(counts[:n_own] > 0, counts[:n_own] + 0.5, 0), minlength=SHAPES)
+        self.mass = np.maximum(left, 0) + 0.5  # with an unseen word each
+        weights = np.concatenate([counts[:n_own] + 0.5, self.mass])
+        self.unigram = weights / weights.sum()
+        own = np.arange(len(frequent)) < n_own
+        rare = np.arange(SHAPES)
+        #: By number: class, whether it was seen in training, log10 of the base probability and of the share of the class; rare words have zeros.
+        self.classes = np.concatenate([np.where(own, np.arange(len(frequent)), n_own + shapes), n_own + rare]).astype(np.int64)
+        self.seen = np.concatenate([counts > 0, rare < 0])
+        self.base_logs = np.concatenate([np.log10((counts + 0.5) / self.base), 0.0 * rare])
+        self.share_logs = np.concatenate([np.where(own, 0.0, np.log10((counts + 0.5) / self.mass[shapes])), 0.0 * rare])
+        self.numbers = _Numbers(self.words)
 
     def __getstate__(self):
-        return self.__dict__ | {"classes": None, "notes": None}
+        return self.__dict__ | {"numbers": None}
 
     def __setstate__(self, state):
         self.__dict__ |= state
-        self.classes, self.notes = _Classes(self), _Notes(self)
+        self.numbers = _Numbers(self.words)
 
+    def read(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(words, numbers, where each text begins) of texts one after the other, each with its end."""
+        ws: list[bytes] = []
+        begins = []
+        for t in texts:
+            begins.append(len(ws))
+            ws += words(t)
+            ws.append(END)
+        return ws, np.fromiter(map(self.numbers.__getitem__, ws), np.int64, len(ws)), np.array(begins, np.int64)
 
-class _Classes(dict):
-    """The class of each word that a worker has met; emptied when full."""
 
-    def __init__(self, v: Vocabulary):
-        self.v = v
+class _Numbers(dict):
+    """The number of each word, rare ones as they are met; those go when there are too many."""
+
+    def __init__(self, frequent: list[bytes], most: int = 300_000):
+        super().__init__(zip(frequent, range(len(frequent))))
+        self.frequent, self.most = frequent, most + len(frequent)
 
     def __missing__(self, word: bytes) -> int:
-        c = self.v.own.get(word if len(word) <= 16 else name(word))
-        if c is None:
-            c = self.v.n_own + shape(word)
-        if len(self) > 400_000:
+        number = self.get(name(word)) if len(word) > 16 else None
+        if number is None:
+            number = len(self.frequent) + shape(word)
+        if len(self) > self.most:
             self.clear()
-        self[word] = c
-        return c
-
-
-class _Notes(dict):
-    """For a frequent word (log10 of its base probability, log10 of its share of its class); None for a rare one."""
-
-    def __init__(self, v: Vocabulary):
-        self.v = v
-
-    def __missing__(self, word: bytes):
-        v = self.v
-        key = word if len(word) <= 16 else name(word)
-        c = v.frequent.get(key)
-        note = None
-        if c is not None:
-            note = (math.log10((c + 0.5) / v.base), 0.0 if key in v.own else math.log10((c + 0.5) / v.mass[v.classes[word] - v.n_own]))
-            self[word] = note  # at most as many as there are frequent words
-        return note
+            self.update(zip(self.frequent, range(len(self.frequent))))
+            if word in self:
+                return self[word]
+        self[word] = number
+        return number
 
 
 class LogBilinear:
@@ -174,21 +184,21 @@ class LogBilinear:
     def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.r[one] * self.c[0] + self.r[two] * self.c[1]
 
-    def log_norms(self, one: np.ndarray, two: np.ndarray, rows: int = 2048) -> np.ndarray:
-        out = np.empty(len(one), np.float32)
-        for i in range(0, len(one), rows):
-            s = self.hidden(one[i : i + rows], two[i : i + rows]) @ self.q.T
-            s += self.b
-            top = s.max(1)
-            s -= top[:, None]
-            out[i : i + rows] = top + np.log(np.exp(s, out=s).sum(1))
+    def norms(self, rows: int = 512) -> np.ndarray:
+        """log of the sum over all classes for each context (class before, class before that)."""
+        second = (self.r * self.c[1]) @ self.q.T
+        high = second.max(1)
+        second = np.exp(second - high[:, None]).T
+        out = np.empty((len(self.r), len(self.r)), np.float32)
+        for i in range(0, len(out), rows):
+            first = (self.r[i : i + rows] * self.c[0]) @ self.q.T + self.b
+            top = first.max(1, keepdims=True)
+            out[i : i + rows] = np.log(np.maximum(np.exp(first - top) @ second, 1e-37)) + top + high
         return out
 
-    def log_probabilities(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Normalised log-probabilities of the targets; contexts that recur are normalised once."""
-        codes, at = np.unique(one.astype(np.int64) * len(self.r) + two, return_inverse=True)
-        norms = self.log_norms(codes // len(self.r), codes % len(self.r))[at]
-        return np.einsum("ij,ij->i", self.hidden(one, two), self.q[target]) + self.b[target] - norms
+    def log_probabilities(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        """Normalised log-probabilities of the targets."""
+        return np.einsum("ij,ij->i", self.hidden(one, two), self.q[target]) + self.b[target] - norms[one, two]
 
 
 class Trainer:
@@ -213,32 +223,29 @@ class Trainer:
         g_real = 1 / (1 + np.exp(np.clip(real, -30, 30)))  # pulls up
         g_fake = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))  # pushes down
         gh = g_real[:, None] * qt + g_fake @ qn
-        gq = _scatter(target, g_real[:, None] * h, len(m.q))
-        np.add.at(gq, noise, g_fake.T @ h)
-        gb = np.bincount(target, weights=g_real, minlength=len(m.b)).astype(np.float32)
-        np.add.at(gb, noise, g_fake.sum(0))
-        gc = np.stack([(gh * m.r[one]).sum(0), (gh * m.r[two]).sum(0)])
-        gr = _scatter(np.concatenate([one, two]), np.concatenate([gh * m.c[0], gh * m.c[1]]), len(m.r))
-        for p, g, seen in zip(m.parts(), (gr, gq, gc, gb), self.seen):
-            seen += g * g
-            p += self.rate * g / np.sqrt(seen)
-
-
-def _scatter(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    d = rows.shape[1]
-    at = (ids[:, None] * d + np.arange(d)).ravel()
-    return np.bincount(at, weights=rows.ravel(), minlength=size * d).reshape(size, d).astype(np.float32)
-
-
-def _contexts(sequences: list[list[int]], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class before, class before that, class) for each token of the sequences."""
-    target = np.concatenate([np.array(s, np.int64) for s in sequences])
-    first = np.cumsum([0, *(len(s) for s in sequences)])[:-1]
-    one = np.concatenate([[start], target[:-1]])
-    one[first] = start
+        self._add(1, np.concatenate([target, noise]), np.concatenate([g_real[:, None] * h, g_fake.T @ h]))
+        self._add(3, np.concatenate([target, noise]), np.concatenate([g_real, g_fake.sum(0)])[:, None])
+        places = np.stack([(gh * m.r[one]).sum(0), (gh * m.r[two]).sum(0)])
+        self._add(0, np.concatenate([one, two]), np.concatenate([gh * m.c[0], gh * m.c[1]]))
+        self._add(2, np.arange(2), places)
+
+    def _add(self, part: int, ids: np.ndarray, rows: np.ndarray) -> None:
+        """One step on the rows of a part that have gradients; rows for the same id are added up."""
+        at, inverse = np.unique(ids, return_inverse=True)
+        d = rows.shape[1]
+        g = np.bincount((inverse[:, None] * d + np.arange(d)).ravel(), weights=rows.ravel(), minlength=len(at) * d).reshape(len(at), d)
+        p, seen = (x[part].reshape(-1, d) for x in (self.m.parts(), self.seen))
+        seen[at] += g * g
+        p[at] += self.rate * g / np.sqrt(seen[at])
+
+
+def _contexts(classes: np.ndarray, begins: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class before, class before that, class) for each token of texts one after the other."""
+    one = np.concatenate([[start], classes[:-1]])
+    one[begins] = start
     two = np.concatenate([[start], one[:-1]])
-    two[first] = start
-    return one, two, target
+    two[begins] = start
+    return one, two, classes
 
 
 def _training(vocabulary, start: np.ndarray, rate: float):
@@ -246,29 +253,21 @@ def _training(vocabulary, start: np.ndarray, rate: float):
         v = vocabulary.value
         model = LogBilinear(v.size, v.unigram).load(start)
         trainer = Trainer(model, v.unigram, rate, 1000 + TaskContext.get().partitionId())
-        held, n, total = [], 0, 0
+        total = 0
         for batch in batches:
-            for part in slices(batch, "text"):
-                for d, b in zip(part.column("doc_id").to_pylist(), as_bytes(part.column("text"))):
-                    if held_out(d):
-                        continue
-                    _, ids = v.sequence(b)
-                    held.append(ids)
-                    n += len(ids)
-                    if n >= 64 * BATCH:
-                        total += _steps(trainer, held, v.size)
-                        held, n = [], 0
-        total += _steps(trainer, held, v.size)
+            for part in slices(batch, "text", 1 << 20):
+                texts = [b for d, b in zip(part.column("doc_id").to_pylist(), as_bytes(part.column("text"))) if not held_out(d)]
+                if texts:
+                    _, numbers, begins = v.read(texts)
+                    total += _steps(trainer, *_contexts(v.classes[numbers], begins, v.size))
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), pa.array([(model.vector() * 1.0).astype("<f4").tobytes()], pa.binary())], ["n", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), pa.array([model.vector().astype("<f4").tobytes()], pa.binary())], ["n", "v"])
 
     return run
 
 
-def _steps(trainer: Trainer, sequences: list[list[int]], start: int) -> int:
-    if not sequences:
-        return 0
-    one, two, target = _contexts(sequences, start)
+def _steps(trainer: Trainer, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> int:
+    """One pass over these tokens in random order."""
     order = trainer.rng.permutation(len(target))
     for i in range(0, len(order), BATCH):
         k = order[i : i + BATCH]
@@ -299,97 +298,90 @@ def _train(docs: DataFrame, vocabulary, rounds: int) -> np.ndarray:
     return params
 
 
-def learn(docs: DataFrame, own_classes: int = OWN_CLASSES, frequent: int = FREQUENT) -> tuple[DataFrame, Vocabulary]:
-    """(counts of all training words, vocabulary). docs has doc_id and text."""
+def learn(docs: DataFrame, own_classes: int | None = None, frequent: int = FREQUENT) -> tuple[DataFrame, Vocabulary]:
+    """(counts of all training words, vocabulary). docs has doc_id and text; own_classes sets the number of words with classes of their own."""
     counts = cut(docs.mapInArrow(tidy(_count, pause_gc=True), "w binary, shape int, c bigint").groupBy("w").agg(F.min("shape").alias("shape"), F.sum("c").alias("c")))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # how often a word must occur to be among the frequent ones: from the counts of counts above a floor
-    least, held = 1, 0
-    for c, k in counts.groupBy(F.least("c", F.lit(100_000)).alias("c")).count().orderBy(F.desc("c")).toLocalIterator():
-        if held + k > frequent:
-            least = c + 1
+    # how often a word must occur to be among the frequent ones: from how many words there are in each bin of log counts
+    level = F.floor(F.log2("c") * 16).cast("int")
+    least, held = 0, 0
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # a bin for each sixteenth of a power of two
+        if held + r["count"] > frequent:
+            least = r.level + 1
             break
-        held += k
-    rows = [(bytes(r.w), r["shape"], r.c) for r in counts.where(F.col("c") >= least).toLocalIterator()]
+        held += r["count"]
+    rows = [(bytes(r.w), r["shape"], r.c) for r in counts.where(level >= least).toLocalIterator()]  # frequent at most
     if all(w != END for w, _, _ in rows):  # the end is always known by itself
-        rows += [(END, r["shape"], r.c) for r in counts.where(F.col("w") == F.lit(bytearray(END))).collect()]
-    rows.sort(key=lambda r: (-r[2], r[0]))
-    own = [(w, c) for w, _, c in rows[:own_classes]]
-    if all(w != END for w, _ in own):
-        own.append((END, next((c for w, _, c in rows if w == END), 0)))  # always has a class of its own
-    mine = {w for w, _ in own}
+        rows.append((END, 0, sum(r.c for r in counts.where(F.col("w") == F.lit(bytearray(END))).collect())))
+    rows.sort(key=lambda r: (r[0] != END, -r[2], r[0]))
+    n_own = min(len(rows), 1 + (class_count(total) if own_classes is None else own_classes))
     mass = {r["shape"]: r.m for r in counts.groupBy("shape").agg((F.sum("c") + 0.5 * F.count("*")).alias("m")).collect()}
-    for w, s, c in rows:
-        if w in mine:
-            mass[s] -= c + 0.5
-    return counts, Vocabulary(own, {w: c for w, _, c in rows}, mass, total, distinct)
+    return counts, Vocabulary(rows, n_own, mass, total, distinct)
 
 
 _SCORED = ["uid", "doc_id", "w", "shape", "k", "known", "base", "model"]
 
 
-def _scoring(vocabulary, params: np.ndarray):
+def _scoring(vocabulary, params: np.ndarray, norms):
     """For each document one row of what the task knows and a row for each rare word."""
 
     def run(batches):
-        v = vocabulary.value
+        v, table = vocabulary.value, norms.value
         model = LogBilinear(v.size, v.unigram).load(params)
-        notes, classes = v.notes, v.classes
-        end = notes[END] or (math.log10(0.5 / v.base), 0.0)
         index = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
-                ids = part.column("doc_id").to_pylist()
-                read = [v.sequence(b) for b in as_bytes(part.column("text"))]
-                if not read:
+                texts = as_bytes(part.column("text"))
+                if not texts:
                     continue
-                logs = model.log_probabilities(*_contexts([s for _, s in read], v.size)).astype(np.float64)
-                ends = np.cumsum([0, *(len(s) for _, s in read)])
-                sums = (np.diff(np.concatenate([[0.0], np.cumsum(logs)])[ends]) / math.log(10)).tolist()
-                tokens = np.diff(ends)
-                known, base, rare, times, owner = [], [], [], [], []
-                for i, (ws, _) in enumerate(read):
-                    n, low = 1 if END in v.frequent else 0, end[0]
-                    for w, k in Counter(ws).items():
-                        note = notes[w]
-                        if note is None:
-                            rare.append(w)
-                            times.append(k)
-                            owner.append(i)
-                        else:
-                            n += k
-                            low += k * note[0]
-                            sums[i] += k * note[1]
-                    known.append(n)
-                    base.append(low)
-                uid = np.arange(index, index + len(read))
-                index += len(read)
-                main = [pa.array(uid), part.column("doc_id"), pa.array([b" %d" % u for u in uid.tolist()], pa.binary()), pa.nulls(len(uid), pa.int32()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(sums, pa.float64())]
+                ws, numbers, begins = v.read(texts)
+                logs = model.log_probabilities(*_contexts(v.classes[numbers], begins, v.size), table).astype(np.float64) / math.log(10) + v.share_logs[numbers]
+                total = lambda x: np.add.reduceat(x, begins)  # noqa: E731  no text is without a token
+                uid = np.arange(index, index + len(texts))
+                index += len(texts)
+                known, base = total(v.seen[numbers].astype(np.int64)), total(v.base_logs[numbers])
+                tokens = np.diff(np.append(begins, len(ws)))
+                main = [pa.array(uid), part.column("doc_id"), pa.array([b" %d" % u for u in uid.tolist()], pa.binary()), pa.nulls(len(uid), pa.int32()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(total(logs), pa.float64())]
                 yield pa.RecordBatch.from_arrays(main, _SCORED)
-                at, n = pa.array(owner, pa.int64()), len(rare)
-                less = [main[0].take(at), main[1].take(at), pa.array([w if len(w) <= 16 else name(w) for w in rare], pa.binary()), pa.array([classes[w] - v.n_own for w in rare], pa.int32()), pa.array(times, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())]
+                at = np.flatnonzero(numbers >= len(v.words))
+                owner = np.searchsorted(begins, at, "right") - 1
+                times = Counter(zip(owner.tolist(), [ws[i] for i in at.tolist()], (numbers[at] - len(v.words)).tolist()))
+                owners, rare, shapes = zip(*times) if times else ((), (), ())
+                where, n = pa.array(owners, pa.int64()), len(rare)
+                less = [main[0].take(where), main[1].take(where), pa.array([name(w) for w in rare], pa.binary()), pa.array(shapes, pa.int32()), pa.array(times.values(), pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())]
                 yield pa.RecordBatch.from_arrays(less, _SCORED)
 
     return run
 
 
-def score(docs: DataFrame, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text", own_classes: int = OWN_CLASSES, frequent: int = FREQUENT) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+class Model:
+    """What fit() learns: a table of all training words' counts, the vocabulary and the parameters."""
 
-    Tokens are the words (A-Z lower-cased, parted by ASCII white space) and one end. Documents with
-    crc32(doc_id as text) mod 5 = 1 are held out of counts and training. base_score is the unigram
-    log10 probability with half a count added, score the model's. Null and empty texts are one end
-    token; a null id counts as the empty text for the rule; repeated rows are kept and counted as
-    often as they occur; an empty table gives an empty result; other columns are ignored. With no
-    training text, both scores come from the added halves alone.
-    """
+    def __init__(self, counts: DataFrame, vocabulary: Vocabulary, params: np.ndarray):
+        self.counts, self.vocabulary, self.params = counts, vocabulary, params
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     bound_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+
+
+def fit(docs: DataFrame, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text", own_classes: int | None = None, frequent: int = FREQUENT) -> Model:
+    """Learn from the documents that aren't held out (crc32 of doc_id as text, mod 5, is not 1); null texts count as empty, and repeated rows as often as they occur."""
+    docs = _narrow(docs, id_col, text_col)
     counts, v = learn(docs, own_classes, frequent)
     shared = docs.sparkSession.sparkContext.broadcast(v)
     params = _train(docs, shared, rounds)
-    seen = docs.mapInArrow(tidy(_scoring(shared, params), pause_gc=True), "uid bigint, doc_id bigint, w binary, shape int, k bigint, known bigint, base double, model double")
-    rare = seen.join(counts.where(~F.col("w").isin([bytearray(END)])).select("w", "c"), "w", "left")
+    shared.unpersist()
+    return Model(counts, v, params)
+
+
+def score_with(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of score() under a model that is there already."""
+    docs, v, context = _narrow(docs, id_col, text_col), model.vocabulary, docs.sparkSession.sparkContext
+    norms = LogBilinear(v.size, v.unigram).load(model.params).norms()
+    seen = docs.mapInArrow(tidy(_scoring(context.broadcast(v), model.params, context.broadcast(norms)), pause_gc=True), "uid bigint, doc_id bigint, w binary, shape int, k bigint, known bigint, base double, model double")
+    rare = seen.join(model.counts.where(~F.col("w").isin([bytearray(END)])).select("w", "c"), "w", "left")
     log_mass = F.element_at(F.array(*[F.lit(float(x)) for x in np.log10(v.mass)]), F.col("shape") + 1)
     each = F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     is_rare = F.col("shape").isNotNull()
@@ -403,3 +395,18 @@ def score(docs: DataFrame, rounds: int = 1, id_col: str = "doc_id", text_col: st
         )
         .select("doc_id", (F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(v.total).cast("bigint").alias("train_tokens"), "base_score", "score")
     )
+
+
+def score(docs: DataFrame, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text", own_classes: int | None = None, frequent: int = FREQUENT) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Tokens are the words (A-Z lower-cased, parted by ASCII white space) and one end. Documents with
+    crc32(doc_id as text) mod 5 = 1 are held out of counts and training. base_score is the unigram
+    log10 probability with half a count added, score the model's. Null and empty texts are one end
+    token; a null id counts as the empty text for the rule; repeated rows are kept and counted as
+    often as they occur; an empty table gives an empty result; other columns are ignored. With no
+    training text, both scores come from the added halves alone. Counts and base_score are exact;
+    the model's parameters, and so score, depend a little on how the rows lie in partitions, as each
+    task trains on its own rows before the average.
+    """
+    return score_with(docs, fit(docs, rounds, id_col, text_col, own_classes, frequent), id_col, text_col)
