@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import as_text, bound_batches, slices, tidy
 
 #: Entries of a worker's caches; a full cache is emptied, which costs time only.
-CACHE_ENTRIES = 100_000
+CACHE_ENTRIES = 60_000
 
 _loaded: dict = {}
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+import uuid
 import zlib
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 try:
@@ -40,14 +40,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder and cut its lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise df as a Parquet table in the shared checkpoint folder and read it back, which cuts its lineage there.
+
+    A written table is smaller than a checkpoint of rows, and the planner knows its size.
+    """
+    path = f"{shared_dir(df.sparkSession)}/cut/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._cut_path = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of cut() that no plan reads any more."""
+    for df in tables:
+        remove_folder(df.sparkSession, df._cut_path)
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int, *arrays: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int, *arrays: str, item_bytes: int = 24, limit: int = BROADCAST_BYTES) -> DataFrame:
     """df (already materialised) with a broadcast hint if its rows, and the items of its array columns, fit the limit; else df itself."""
-    return F.broadcast(df) if real_bytes(df, *arrays, row_bytes=row_bytes) <= limit else df
+    return F.broadcast(df) if real_bytes(df, *arrays, row_bytes=row_bytes, item_bytes=item_bytes) <= limit else df
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -75,9 +92,10 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
         yield batch.slice(start)
 
 
-def row_key(doc_id, text: bytes) -> bytes:
-    """Names a row: rows that agree in id (of any type) and text are one document."""
-    return xxhash.xxh3_128_digest(b"-\n" + text if doc_id is None else str(doc_id).encode() + b"\n" + text)
+def row_key(*columns: Column) -> Column:
+    """Names a row by a 128-bit digest: rows that agree in these columns, of any type, are one. Made without Python, so that no stage has two Python steps for it."""
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")), F.lit(":"), c.cast("string")), F.lit("-")) for c in columns]
+    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
 
 
 def by_place(df: DataFrame) -> DataFrame:
@@ -86,15 +104,8 @@ def by_place(df: DataFrame) -> DataFrame:
 
 
 def keyed(placed: DataFrame, text_at: int, id_at: int) -> DataFrame:
-    """by_place() rows with a last column key that names the row."""
-    names = [*placed.columns, "key"]
-
-    def run(batches):
-        for batch in batches:
-            keys = [row_key(d, b) for d, b in zip(batch.column(id_at).to_pylist(), as_bytes(batch.column(text_at)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names)
-
-    return placed.mapInArrow(tidy(run), placed.withColumn("key", F.lit(None).cast("binary")).schema)
+    """by_place() rows with a last column key: rows that agree in id and text are one document (a null text counts as empty)."""
+    return placed.withColumn("key", row_key(F.col(f"c{id_at}"), F.coalesce(F.col(f"c{text_at}"), F.lit(""))))
 
 
 def real_bytes(df: DataFrame, *arrays: str, row_bytes: int = 60, item_bytes: int = 24) -> int:
@@ -117,6 +128,28 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
+_single = False
+
+
+def single_thread() -> None:
+    """NumPy's matrix products on one thread in this worker: the cores belong to Spark's tasks, and more threads only wait for each other on small products."""
+    global _single
+    if _single:
+        return
+    _single = True
+    try:
+        with open("/proc/self/maps") as f:
+            libraries = {line.split(None, 5)[5].strip() for line in f if "openblas" in line}
+    except OSError:  # another system: its threads stay as they are
+        return
+    for path in libraries:
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def tidy(run, pause_gc: bool = False):
     """run, for mapInArrow, giving back the memory that it held once it ends: a worker lives on for other stages.
 
@@ -124,6 +157,7 @@ def tidy(run, pause_gc: bool = False):
     """
 
     def whole(batches):
+        single_thread()
         if pause_gc:
             gc.disable()
         try:
@@ -141,10 +175,24 @@ def bound_batches(spark: SparkSession) -> None:
     Set for the session, as plans run after the operator has returned. Settings that were changed
     from the default are kept.
     """
-    for key, default, most in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
+    for key, default, most in (("maxRecordsPerBatch", "10000", "1000"), ("maxBytesPerBatch", "67108864b", "4m")):
         if spark.conf.get(f"spark.sql.execution.arrow.{key}", default) == default:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", most)
 
 
+def in_order(df: DataFrame, *order: str) -> DataFrame:
+    """df with place, its rows' numbers from 0 in that order; sorted range by range, so that no task sees all."""
+    ranged = df.repartitionByRange(*order).withColumn("rid", F.spark_partition_id())
+    placed = cut(ranged.withColumn("rn", F.row_number().over(Window.partitionBy("rid").orderBy(*order))))
+    before, offsets = 0, []
+    for r in sorted(placed.groupBy("rid").count().collect()):  # a row for each shuffle partition
+        offsets.append((r[0], before))
+        before += r[1]
+    if not offsets:
+        return placed.select(*df.columns, F.lit(None).cast("bigint").alias("place"))
+    table = F.broadcast(df.sparkSession.createDataFrame(offsets, "rid int, before bigint"))
+    return placed.join(table, "rid").select(*df.columns, (F.col("before") + F.col("rn") - 1).cast("bigint").alias("place"))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

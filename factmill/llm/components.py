@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, release
 
 
 def _checked(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -29,7 +29,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = cut(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        before = edges
         edges, after = _checked(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        release(before, large)
         if after == state:
             break
         state = after

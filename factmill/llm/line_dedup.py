@@ -8,11 +8,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, by_place, cut, keyed, slices, tidy
+from .common import as_bytes, bound_batches, broadcast_if_small, by_place, cut, keyed, release, slices, tidy
 
 LINES = 3
 #: Words of a passage's window, and of the runs by which windows that may be repeated are found.
-PASSAGE, ANCHOR = 50, 26
+PASSAGE, ANCHOR = 50, 16
 
 
 def window_digests(text: bytes, lines: int = LINES) -> list[bytes]:
@@ -40,7 +40,9 @@ def _later(windows: DataFrame) -> DataFrame:
     at = F.struct(F.col("doc_id"), F.col("key"), F.col("pos"))
     repeated = cut(windows.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(F.col("first") != F.col("last")).select("w", "first"))
     later = windows.join(broadcast_if_small(repeated, 120), "w").where(at != F.col("first"))
-    return cut(later.groupBy("key").agg(F.collect_set("pos").alias("starts")))
+    starts = cut(later.groupBy("key").agg(F.collect_set("pos").alias("starts")))
+    release(repeated)
+    return starts
 
 
 def later_lines(rows: DataFrame, lines: int = LINES) -> DataFrame:
@@ -49,30 +51,19 @@ def later_lines(rows: DataFrame, lines: int = LINES) -> DataFrame:
     return _later(seen.select("doc_id", "key", F.posexplode("ws").alias("pos", "w")).where(F.length("w") > 0))
 
 
-def without_lines(text: bytes, starts: list[int], lines: int = LINES) -> tuple[bytes, int]:
-    """(text less the runs of so many lines that start at these, number of lines that went), in one pass whatever the number of runs."""
-    rows = text.split(b"\n")
-    gone = bytearray(len(rows) + lines)
+def covered_lines(starts: list[int], lines: int = LINES) -> bytearray:
+    """One byte a line up to the last that runs of so many lines, starting at these, cover: 1 if covered. In one pass, whatever the number of runs."""
+    out = bytearray(max(starts) + lines)
     for s in starts:
-        gone[s : s + lines] = b"\1" * lines
-    left = [r for r, g in zip(rows, gone) if not g]
-    return b"\n".join(left), len(rows) - len(left)
+        out[s : s + lines] = b"\1" * lines
+    return out
 
 
-def _without_lines(names: list[str], text_at: int, lines: int):
+def _covered(lines: int):
     def run(batches):
         for batch in batches:
-            texts, total, removed = [], [], []
-            for t, starts in zip(batch.column(text_at).to_pylist(), batch.column("starts").to_pylist()):
-                n = 0
-                total.append(0 if t is None else t.count("\n") + 1)
-                if starts is not None:
-                    left, n = without_lines(t.encode(), starts, lines)
-                    t = left.decode()
-                texts.append(t)
-                removed.append(n)
-            columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int32()), pa.array(removed, pa.int32())], [*names, "lines_in", "lines_removed"])
+            gone = [np.frombuffer(covered_lines(s, lines), np.bool_) for s in batch.column("starts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(gone, pa.list_(pa.bool_()))], ["key", "gone"])
 
     return run
 
@@ -96,10 +87,17 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text_at, id_at = names.index(text_col), names.index(id_col)
     rows = keyed(by_place(docs), text_at, id_at)
     starts = later_lines(rows.select(F.expr(f"try_cast(c{id_at} AS bigint)").alias("doc_id"), "key", F.col(f"c{text_at}").alias("text")), lines)
-    joined = rows.join(broadcast_if_small(starts, 60, "starts"), "key", "left").drop("key")
-    placed = joined.columns[:-1]
-    schema = joined.drop("starts").withColumns({"lines_in": F.lit(0), "lines_removed": F.lit(0)}).schema
-    return joined.mapInArrow(tidy(_without_lines(placed, text_at, lines)), schema).toDF(*names, "lines_in", "lines_removed")
+    gone = cut(starts.mapInArrow(tidy(_covered(lines)), "key binary, gone array<boolean>"))
+    release(starts)
+    text = F.col(f"c{text_at}")
+    whole = F.split(text, "\n", -1)
+    joined = rows.join(broadcast_if_small(gone, 60, "gone", item_bytes=1), "key", "left")
+    left = F.filter(whole, lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
+    joined = joined.withColumn("left", F.when(F.col("gone").isNotNull() & text.isNotNull(), left))
+    out = [F.when(F.col("left").isNull(), text).otherwise(F.array_join("left", "\n")).alias(c) if c == f"c{text_at}" else F.col(c) for c in by_place(docs).columns]
+    total = F.coalesce(F.size(whole), F.lit(0))
+    removed = F.when(F.col("left").isNull(), 0).otherwise(F.size(whole) - F.size("left"))
+    return joined.select(*out, total.alias("lines_in"), removed.alias("lines_removed")).toDF(*names, "lines_in", "lines_removed")
 
 
 def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -166,15 +164,29 @@ def _passages(batches):
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "starts", "ws"])
 
 
-def without_words(text: bytes, starts: list[int], words: int = PASSAGE) -> bytes:
-    """text less the runs of so many words that start at these; where a run goes, the longer break of its two sides stays."""
+def covered_words(starts: list[int], words: int = PASSAGE) -> list[int]:
+    """The stretches of words that runs of so many words cover, as starts and ends one after the other."""
+    out: list[int] = []
+    for s in sorted(starts):
+        if out and s <= out[-1]:
+            out[-1] = s + words
+        else:
+            out += [s, s + words]
+    return out
+
+
+def _stretches(batches):
+    for batch in batches:
+        gone = [covered_words(s) for s in batch.column("starts").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(gone, pa.list_(pa.int32()))], ["key", "gone"])
+
+
+def without_words(text: bytes, gone: list[int]) -> bytes:
+    """text less these stretches of words (starts and ends); where one goes, the longer break of its two sides stays."""
     a, z = word_places(text)
-    steps = np.zeros(len(a) + 1, np.int64)
-    np.add.at(steps, np.asarray(starts, np.int64), 1)
-    np.add.at(steps, np.minimum(np.asarray(starts, np.int64) + words, len(a)), -1)
-    edges = np.diff(np.concatenate([[0], np.cumsum(steps[:-1]) > 0, [0]]).astype(np.int8))
     out, at = [], 0  # at: a byte
-    for i, j in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()):  # words i to j - 1 go
+    for i, j in zip(gone[::2], gone[1::2]):  # words i to j - 1 go
+        j = min(j, len(a))
         before = z[i - 1] if i else 0
         after = a[j] if j < len(a) else len(text)
         out.append(text[at:before])
@@ -187,9 +199,7 @@ def without_words(text: bytes, starts: list[int], words: int = PASSAGE) -> bytes
 def _without_passages(names: list[str], text_at: int):
     def run(batches):
         for batch in batches:
-            starts = batch.column("starts").to_pylist()
-            texts = batch.column(text_at).to_pylist()
-            texts = [t if s is None else without_words(t.encode(), s).decode() for t, s in zip(texts, starts)]
+            texts = [t if g is None else without_words(t.encode(), g).decode() for t, g in zip(batch.column(text_at).to_pylist(), batch.column("gone").to_pylist())]
             columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -213,15 +223,21 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = keyed(by_place(docs), text_at, id_at)
     narrow = rows.select(F.expr(f"try_cast(c{id_at} AS bigint)").alias("doc_id"), "key", F.col(f"c{text_at}").alias("text"))
     found = narrow.select("key", "text").mapInArrow(tidy(_anchors), "key binary, hs array<bigint>, at array<bigint>").where(F.size("hs") > 0)
-    found = cut(found.select("key", F.explode(F.arrays_zip("hs", "at")).alias("x")).select("key", "x.hs", "x.at").distinct())
-    again = cut(found.groupBy("hs").agg(F.count("*").alias("n")).where("n > 1").select("hs"))
+    found = cut(found.select("key", F.explode(F.arrays_zip("hs", "at")).alias("x")).select("key", "x.hs", F.col("x.at").cast("int").alias("at")))
+    one = F.xxhash64("key", "at")  # a row that repeats whole holds nothing twice
+    again = cut(found.groupBy("hs").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low <> high").select("hs"))
     places = cut(found.join(broadcast_if_small(again, 16), "hs").groupBy("key").agg(F.collect_set("at").alias("at")))
-    held = narrow.join(broadcast_if_small(places, 60, "at"), "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "at")
+    release(found, again)
+    held = narrow.join(broadcast_if_small(places, 60, "at", item_bytes=8), "key").select("doc_id", "key", "text", "at")
     seen = held.mapInArrow(tidy(_passages), "doc_id bigint, key binary, starts array<bigint>, ws array<binary>")
-    windows = cut(seen.select("doc_id", "key", F.explode(F.arrays_zip("starts", "ws")).alias("x")).select("doc_id", "key", F.col("x.starts").alias("pos"), F.col("x.ws").alias("w")))
-    joined = rows.join(broadcast_if_small(_later(windows), 60, "starts"), "key", "left").drop("key")
+    spread = seen.select("doc_id", "key", F.explode(F.arrays_zip("starts", "ws")).alias("x")).select("doc_id", "key", F.col("x.starts").cast("int").alias("pos"), F.col("x.ws").alias("w"))
+    windows = cut(spread.distinct())  # rows that repeat whole have the same windows
+    starts = _later(windows)
+    gone = cut(starts.mapInArrow(tidy(_stretches), "key binary, gone array<int>"))
+    release(places, windows, starts)
+    joined = rows.join(broadcast_if_small(gone, 60, "gone", item_bytes=8), "key", "left").drop("key")
     placed = joined.columns[:-1]
-    return joined.mapInArrow(tidy(_without_passages(placed, text_at)), joined.drop("starts").schema).toDF(*names)
+    return joined.mapInArrow(tidy(_without_passages(placed, text_at)), joined.drop("gone").schema).toDF(*names)
 
 
 SQL = """

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, by_place, cut, keyed, slices, tidy
+from .common import as_bytes, bound_batches, broadcast_if_small, by_place, cut, keyed, release, slices, tidy
 from .components import components
 
 SEED = 42
@@ -276,7 +276,9 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     rows = needed.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("binary").alias("b"), "shingles")
     rows = rows.unionByName(dealt.select("cell", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("array<bigint>").alias("shingles")))
     units = rows.repartition("cell").sortWithinPartitions("cell", "kind")
-    return cut(units.mapInArrow(tidy(_compared(similarity)), "a binary, b binary"))
+    alike = cut(units.mapInArrow(tidy(_compared(similarity)), "a binary, b binary"))
+    release(pairs, blocks, dealt)
+    return alike
 
 
 #: What a side of a candidate pair is judged by before its shingles are looked at.
@@ -301,7 +303,9 @@ def _met_in_bands(nodes: DataFrame) -> DataFrame:
     each = nodes.where("size > 0").select("node", F.explode(every).alias("band"))
     again = cut(each.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"))
     met = each.join(broadcast_if_small(again, 16), "band")
-    return cut(met.join(nodes.select("node", *_JUDGED), "node").select("band", "node", *_JUDGED))
+    met = cut(met.join(nodes.select("node", *_JUDGED), "node").select("band", "node", *_JUDGED))
+    release(again)
+    return met
 
 
 def _star_pairs(met: DataFrame, similarity: float, heads: int = 3) -> DataFrame:
@@ -353,13 +357,18 @@ def _grid_pairs(nodes: DataFrame, parts: DataFrame, radius: int, similarity: flo
 def near_links(docs: DataFrame, nodes: DataFrame, width: int, radius: int, similarity: float) -> DataFrame:
     """(u, v): enough of the pairs of nodes (materialised) of at least that similarity to connect what all of them connect. docs has text."""
     met = _met_in_bands(nodes)
-    sets = _sets(docs, cut(met.select("node").distinct()), width)
+    wanted = cut(met.select("node").distinct())
+    sets = _sets(docs, wanted, width)
     first = _alike(_star_pairs(met, similarity), sets, similarity)
-    parts = cut(components(first.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    stars = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    parts = cut(stars)
     near = cut(_grid_pairs(nodes, parts, radius, similarity).unionByName(_band_pairs(met, parts, similarity)))
     more = cut(near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node"), "node", "left_anti"))
-    second = _alike(near, sets.unionByName(_sets(docs, more, width)), similarity)
-    return first.unionByName(second).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    others = _sets(docs, more, width)
+    second = _alike(near, sets.unionByName(others), similarity)
+    links_ = cut(first.unionByName(second).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    release(met, wanted, sets, first, parts, near, more, others, second)
+    return links_
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 3, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -389,12 +398,15 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 3, similarit
     parity = [F.element_at("parity", i + 1).alias(f"p{i}") for i in range(PARITY_WORDS)]
     nodes = cut(marks.groupBy("node").agg(F.first(F.struct("fp", "bands", "size", *parity)).alias("m")).select("node", "m.*"))
     links_ = near_links(texts, nodes, width, radius, similarity)
+    release(nodes)
     roots = components(links_)
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
     homes = cut(marks.select("key", "doc_id", "node").join(roots, "node", "left").select("key", "doc_id", F.coalesce("root", "node").alias("root")))
     stays = cut(homes.groupBy("root").agg(F.min(order).alias("stays"), F.count("*").alias("n")).where("n > 1").select("root", "stays.key").withColumnRenamed("key", "stays"))  # by itself, so that a hot group can be split
     gone = cut(homes.join(stays, "root").where("key <> stays").select("key").distinct())
+    repeats = not marks.groupBy("key").count().where("count > 1").isEmpty()
+    release(marks, links_, homes, stays)
     left = rows.join(broadcast_if_small(gone, 40), "key", "left_anti")
-    if not marks.groupBy("key").count().where("count > 1").isEmpty():
+    if repeats:
         left = left.dropDuplicates(["key"])
     return left.drop("key").toDF(*names)

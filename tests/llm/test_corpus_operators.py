@@ -5,7 +5,9 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -79,11 +81,53 @@ def test_sharding(docs, empty):
     assert sharding.shard(empty).collect() == []
 
 
-def test_sharding_balances_and_splits_a_hot_text(spark):
-    rows = [(i, "the same text " * 20 if i % 3 == 0 else f"text {i} " * (i % 40)) for i in range(6000)]
-    got = sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string"), rows_per_range=100).groupBy("shard").agg(F.sum("size").alias("b")).collect()
-    sizes = [r.b for r in got]
-    assert len(sizes) == 24 and max(sizes) - min(sizes) <= 2 * 400 + 0.02 * sum(sizes) / 24
+def check_shards(rows, got, shards, share=0.01):
+    """The law, by hand: records in key order, cut near the even places, small groups of equal texts whole, slots in that order."""
+    sizes = [len((t or "").encode()) + 8 for _, t in rows]
+    total, largest = sum(sizes), max(sizes)
+    assert collections.Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in rows) == collections.Counter((r.doc_id, r.size, r.text_crc32) for r in got)
+    groups = collections.defaultdict(list)
+    for r in got:
+        groups[r.text_crc32, r.size].append(r)
+    whole = max((sum(r.size for r in g) for g in groups.values() if sum(r.size for r in g) <= share * total / shards), default=0)
+    for s in range(shards):
+        mine = [r for r in got if r.shard == s]
+        assert sorted(r.slot for r in mine) == list(range(len(mine)))
+        assert abs(sum(r.size for r in mine) - total / shards) <= 2 * (0.001 * total / shards + max(largest, whole))
+    for g in groups.values():
+        if sum(r.size for r in g) <= share * total / shards:
+            assert len({r.shard for r in g}) == 1
+        order = sorted(g, key=lambda r: (r.doc_id is not None, r.doc_id or 0))
+        places = [(r.shard, r.slot) for r in order]
+        ids = [r.doc_id for r in order]
+        assert len(set(ids)) < len(ids) or places == sorted(places)
+        by_shard = collections.defaultdict(list)
+        for r in g:
+            by_shard[r.shard].append(r.slot)
+        assert all(max(v) - min(v) + 1 == len(v) for v in by_shard.values())  # equal texts lie together
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_sharding_by_its_law(spark, hot):
+    rng = random.Random(21)
+    rows = [(i, "the same text " * 20 if hot and i % hot == 0 else f"text {i // 2 if i % 5 else i} " * rng.randint(0, 40)) for i in range(6000)]
+    rows += [(None, "no id"), (None, "no id"), (5, rows[5][1]), (5, rows[5][1]), (7000, None)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id bigint, text string, size int, rid string").repartition(7)
+    got = sharding.shard(docs, rows_per_range=100).collect()
+    check_shards(rows, got, 24)
+
+
+def test_sharding_of_rows_that_repeat_whole_and_of_long_texts(spark):
+    rows = [(1, "one row many times") for _ in range(3000)]
+    check_shards(rows, sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), 24)
+    rows = [(1, "x" * 2_000_000), (2, "y" * 10)] + [(i, "z" * 1000 + str(i)) for i in range(3, 60)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string"), shards=3).collect()
+    assert len(got) == len(rows) and {r.shard for r in got} <= {0, 1, 2}
+
+
+def test_sharding_runs_without_python(spark):
+    plan = sharding.shard(spark.createDataFrame([(i, str(i)) for i in range(50)], "doc_id bigint, text string"), shards=2)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan
 
 
 def test_line_dedup(docs, empty):
@@ -348,54 +392,151 @@ def test_token_counts_and_cache(spark, docs, empty, tmp_path):
     assert token_counts.count_tokens(empty, path, cache).collect() == []
 
 
+def test_token_counts_of_other_tokenizers_in_one_cache(spark, tmp_path):
+    """White space outside counts where the tokenizer has tokens for it; each version has its own counts."""
+    import sentencepiece
+
+    texts = ["\n\nhello world \n", "hello world", " x", "", "  ", "a\u00a0b", "Hello  WORLD"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    cache = str(tmp_path / "cache")
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        if name.endswith(".json"):
+            t = Tokenizer.from_file(path)
+            wanted = [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+        else:
+            p = sentencepiece.SentencePieceProcessor(model_file=path)
+            wanted = [len(p.encode(x)) for x in texts]
+        got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, path, cache).collect()}
+        assert [got[i] for i in range(len(texts))] == wanted, name
+    assert spark.read.parquet(cache).select("tokenizer").distinct().count() == 3
+
+
+def softmax_score(model, counts, ws):
+    """log10 of a text's probability, word by word: a softmax over all classes, and the word's share of its class."""
+    v = model.vocabulary
+    m = lm_score.LogBilinear(v.size, v.unigram).load(model.params)
+    own = {w: i for i, w in enumerate(v.words[: v.n_own])}
+    kind = lambda w: own.get(w, v.n_own + lm_score.shape(w) if w not in own else None)
+    mass = collections.Counter()
+    for w, n in counts.items():
+        if w not in own:
+            mass[kind(w)] += n + 0.5
+    one = two = v.size
+    total = 0.0
+    for w in ws:
+        x = (m.r[one] * m.c[0] + m.r[two] * m.c[1]).astype(float) @ m.q.T + m.b
+        k = kind(w)
+        total += (x[k] - np.log(np.exp(x).sum())) / math.log(10)
+        if w not in own:
+            total += math.log10((counts[w] + 0.5) / (mass[k] + 0.5))
+        one, two = k, one
+    return total
+
+
 def test_lm_scores(docs, empty):
     rows = some_texts()
     tokens = [(i, lower(t).split() + [lm_score.END]) for i, t in rows]
     train = [ws for i, ws in tokens if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1]
     c = collections.Counter(w for ws in train for w in ws)
     n, v = sum(c.values()), len(c)
+    model = lm_score.fit(docs, own_classes=5, frequent=8)
+    assert model.vocabulary.n_own == 6 and len(model.vocabulary.words) < v
     wanted = collections.defaultdict(list)
     for i, ws in tokens:
-        wanted[i].append((len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), 6)))
+        wanted[i].append((len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), 6), softmax_score(model, c, ws)))
     got = collections.defaultdict(list)
-    for r in lm_score.score(docs, own_classes=5, frequent=8).collect():
-        got[r.doc_id].append((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)))
-        assert r.score < 0 and r.held_out == (zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 5 == 1)
-    assert {k: sorted(x) for k, x in got.items()} == {k: sorted(x) for k, x in wanted.items()}
+    for r in lm_score.score_with(docs, model).collect():
+        got[r.doc_id].append((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), r.score))
+        assert r.held_out == (zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 5 == 1)
+    assert got.keys() == wanted.keys()
+    for k in wanted:
+        for x, y in zip(sorted(got[k]), sorted(wanted[k]), strict=True):
+            assert x[:4] == y[:4] and abs(x[4] - y[4]) < 1e-3 * (1 + abs(y[4]))
     assert lm_score.score(empty).collect() == []
+    assert lm_score.score(docs.where("doc_id = 106")).count() == 1
+
+
+def test_lm_bounds_what_it_gathers(spark):
+    """Many words with the same count, or all beyond a bin: never more than asked for."""
+    rows = [(i, " ".join(f"w{k}" for k in range(200))) for i in range(40)]
+    _, v = lm_score.learn(spark.createDataFrame(rows, "doc_id bigint, text string"), 10, 50)
+    assert v.words == [lm_score.END] and v.n_own == 1
+    assert lm_score.class_count(10**5) == lm_score.LEAST_CLASSES < lm_score.class_count(10**8) < lm_score.class_count(10**10) == lm_score.MOST_CLASSES
 
 
 def test_lm_is_normalised_and_learns():
     rng = np.random.default_rng(0)
     unigram = np.full(6, 1 / 6)
     m = lm_score.LogBilinear(6, unigram, dim=4)
-    seq = [list(np.tile([0, 1, 2, 3, 4, 5], 40)) for _ in range(20)]
-    one, two, target = lm_score._contexts(seq, 6)
-    before = m.log_probabilities(one, two, target).mean()
+    seq = np.tile([0, 1, 2, 3, 4, 5], 800)
+    contexts = lm_score._contexts(seq, np.arange(0, len(seq), 240), 6)
+    before = m.log_probabilities(*contexts, m.norms()).mean()
     t = lm_score.Trainer(m, unigram, 0.2, 1)
     for _ in range(30):
-        lm_score._steps(t, seq, 6)
-    assert m.log_probabilities(one, two, target).mean() > before + 0.3
-    ctx = rng.integers(0, 6, (5, 2))
-    total = sum(np.exp(m.log_probabilities(ctx[:, 0], ctx[:, 1], np.full(5, k))) for k in range(6))
+        lm_score._steps(t, *contexts)
+    assert m.log_probabilities(*contexts, m.norms()).mean() > before + 0.3
+    ctx = rng.integers(0, 7, (5, 2))
+    total = sum(np.exp(m.log_probabilities(ctx[:, 0], ctx[:, 1], np.full(5, k), m.norms())) for k in range(6))
     assert np.allclose(total, 1, atol=1e-4)
 
 
-def test_label_model_finds_the_good_labellers():
+@pytest.mark.parametrize("chances", [((0.003, 0.8), (0.004, 0.7), (0.005, 0.6), (0.001, 0.95)), ((0.03, 0.8), (0.04, 0.7), (0.05, 0.6), (0.01, 0.95)), ((0.05, 0.7), (0.05, 0.7), (0.05, 0.7), (0.02, 0.8))])
+def test_label_model_finds_the_good_labellers(chances):
+    """Close to what could be decided with the truth of each pattern in hand."""
     rng = random.Random(9)
     patterns = collections.Counter()
     truth = collections.defaultdict(list)
     for _ in range(4000):
         bad = rng.random() < 0.2
-        v = tuple((quality.BAD if rng.random() < p[bad] else quality.GOOD) if rng.random() < 0.9 else quality.ABSTAIN for p in ((0.003, 0.8), (0.004, 0.7), (0.005, 0.6), (0.001, 0.95)))
+        v = tuple((quality.BAD if rng.random() < p[bad] else quality.GOOD) if rng.random() < 0.9 else quality.ABSTAIN for p in chances)
         patterns[v] += 1
         truth[v].append(bad)
     post = quality.label_model(dict(patterns))
     right = sum(sum(b == (post[v] > 0.5) for b in bs) for v, bs in truth.items())
-    assert right / 4000 > 0.95
+    best = sum(max(sum(bs), len(bs) - sum(bs)) for bs in truth.values())
+    assert right >= best - 0.01 * 4000
     assert quality.label_model({}) == {}
 
 
+def test_label_model_climbs_the_likelihood():
+    """Two rounds of EM by hand, document by document."""
+    rng = random.Random(3)
+    docs = [tuple(rng.choice([0, 1, 1, 1, 2]) for _ in range(3)) for _ in range(60)]
+    kinds = []
+    for v in docs:
+        alarms = [x == 2 for x in v[:-1]]
+        k = [(0.1 if any(alarms) else 0.98) + 1e-3] + [0.9 * a / max(1, sum(alarms)) + 1e-3 for a in alarms]
+        kinds.append([x / sum(k) for x in k])
+    for _ in range(2):
+        share = [sum(k[i] for k in kinds) + 1e-3 for i in range(3)]
+        rate = [[(sum(k[i] for k, v in zip(kinds, docs) if v[j] == 2) + 0.025) / (sum(k[i] for k, v in zip(kinds, docs) if v[j]) + 0.5) for i in range(3)] for j in range(3)]
+        kinds = [[share[i] / sum(share) * math.prod(rate[j][i] if v[j] == 2 else 1 - rate[j][i] if v[j] else 1 for j in range(3)) for i in range(3)] for v in docs]
+        kinds = [[x / sum(k) for x in k] for k in kinds]
+    heard = [sum(k[i] for k, v in zip(kinds, docs) if v[-1]) for i in range(3)]
+    bad = [i > 0 and (heard[i] < quality.HEARD or rate[-1][i] > 0.5) for i in range(3)]
+    post = quality.label_model(dict(collections.Counter(docs)), rounds=2)
+    assert all(abs(post[v] - sum(x for x, b in zip(k, bad) if b)) < 1e-9 for v, k in zip(docs, kinds))
+
+
+def test_quality_on_documents_whose_labels_it_never_saw(spark):
+    """Held-out accuracy: labels of odd ids are kept from the model."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels.where("doc_id % 2 = 0"))
+    found = quality.classify(docs, model).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
+    clean = [r.kept for r in found if r.quality and not r.toxic]
+    junk = [r.kept for r in found if not r.quality and not r.toxic]
+    assert sum(clean) >= 0.98 * len(clean) and sum(junk) <= 0.05 * len(junk) and len(junk) > 15
+
+
+def test_quality_takes_long_texts_and_repeats(spark):
+    rows = [(1, "fine words of several kinds " * 3), (1, "fine words of several kinds " * 3), (2, " ".join(f"word{i % 4000}" for i in range(200_000))), (3, "#$% " * 100_000), (3, "#$% " * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "text", "doc_id AS junk", "text AS word", "1 AS q")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (3, 0, None)], "doc_id bigint, quality int, toxic int")
+    got = quality.classify(docs, quality.fit(docs, labels)).collect()
+    assert len(got) == len(rows) and len({(r.doc_id, r.junk_score, r.toxic_score) for r in got}) == 3
+
+
 def test_quality_keeps_clean_and_rejects_junk(spark, empty):
     rng = random.Random(10)
     vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("n", "r", "st", "ling", "ter")]
@@ -428,7 +569,45 @@ def test_html_lines():
     html = "<article><h1>A &amp; B</h1><p><b>one\n two<br><p>three<aside>side</aside><div class='comments'><p>nice</p></div><form>f</form></article>"
     kept = [t for t, article, furniture in html_extract.text_lines(PAGE.format(html)) if article and not furniture]
     assert kept == ["A & B", "one two", "three"]
-    assert html_extract.text_lines("") == [] and html_extract.text_lines("<p") == [] or True
+    assert html_extract.text_lines("") == [] and html_extract.text_lines("<p") == []
+
+
+def article_text(html):
+    return " ".join(t for t, _, furniture in html_extract.text_lines(html) if not furniture)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("""<script>for(i=0;i<n;i++){f("it's")}</script><article><p>Body</p></article>""", "Body"),
+        ("<script>if(a<b){c()}</script><style>a<b{}</style><article>Body</article>", "Body"),
+        ("<div class='content has-sidebar'><article>Body</article></div>", "Body"),
+        ("<section class='post no-comments'><article>Body</article></section>", "Body"),
+        ("<div class='sidebar-right'><main>Body</main></div><div class='sidebar'>Side</div>", "Body"),
+        ("<article><div class='entry-header'><h1>Head</h1></div><header><h2>Sub</h2></header>Body</article>", "Head Sub Body"),
+        ("<article><p class='search-results'>Found</p></article>", "Found"),
+        ("<p title=don't>Body one</p><p>it's</p>", "Body one it's"),
+        ("<p title=don't>Body one", "Body one"),
+        ("<p title='a > b' data-x=\"<i>\">Body</p>", "Body"),
+        ("a < b <!-- <p>no</p> --><!doctype html><?x y?>c<![CDATA[ <p>no</p> ]]>", "a < b c"),
+        ("<!--> one <!---> two <!-- never <p>three", "one two"),
+        ("<title>no</title><textarea><p>no</textarea><svg><text>no</text></svg>yes<noscript>no</noscript>", "yes"),
+        ("<article>Body<section id='comments'><article class='comment'>Hi</article></section></article><div class='related-posts'><article>Card</article></div>", "Body"),
+        ("<div class='post-comments'>Hi</div><div class='ad-slot'>Buy</div><div hidden>h</div><div style='display : none'>h</div><div aria-hidden=true>h</div><p>Body", "Body"),
+        ("<ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table>", "one two a b c"),
+        ("<nav>Menu<div>Body</nav></div>after</b></i>!", "after!"),
+        ("<div>&lt;p&gt; &amp;amp; &#233;&eacute;</div>", "<p> &amp; éé"),
+    ],
+)
+def test_html_of_the_wild(html, text):
+    assert article_text(html) == text
+
+
+def test_html_scanner_is_linear():
+    for piece in ("<a ", "<a b='", '<p x="', "<!--", "</", "<div>", "<p>", "<script>", "<i>", "</b>", "<b x=y ", "&", "<![CDATA[", "<li><i>"):
+        began = time.process_time()
+        html_extract.text_lines(piece * 60_000)
+        assert time.process_time() - began < 4, piece
 
 
 def test_shared_lines_is_a_longest_common_subsequence():
@@ -469,6 +648,70 @@ def test_differencing_decides_open_lines_of_pages_with_articles(spark):
     assert all(got[i] == f"lead {i} story {i}" and got[10 + i] == f"story {i}" and got[20 + i] == f"story {i} More" for i in range(4))
 
 
+class Reader(HTMLParser):
+    """Text of pages of well-formed blocks, by the standard library's parser: what is in the article, and the lines outside it."""
+
+    BLOCKS = set("html head body nav ul li div article h1 p footer br title style script".split())
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.held, self.stack = [], [], []
+        self.feed(html)
+        self.close()
+        self.end()
+
+    def end(self):
+        text = " ".join("".join(self.held).split())
+        if text and not set(self.stack) & {"script", "style", "title"}:
+            self.lines.append((text, "article" in self.stack, bool({"nav", "ad", "footer"} & set(self.stack))))
+        self.held = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.BLOCKS:
+            self.end()
+        if tag not in ("br", "meta", "b", "p"):
+            self.stack.append("ad" if ("class", "ad") in attrs else tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCKS:
+            self.end()
+        if tag not in ("br", "meta", "b", "p"):
+            self.stack.pop()
+
+    def handle_data(self, data):
+        self.held.append(data)
+
+
+def test_html_extraction_against_another_parser_and_all_alignments(spark):
+    """The whole query by brute force: another parser, pages sorted by host and path, and a full table for each alignment."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = {r.page_id: r for r in pages.collect()}
+    read = {i: Reader(r.html).lines for i, r in rows.items()}
+    key = lambda r: hashlib.md5(f"{len(r.url)}:{r.url}{len(r.html)}:{r.html}".encode()).digest()
+    order = sorted(rows, key=lambda i: (*html_extract.host_path(rows[i].url), key(rows[i])))
+    host = lambda i: html_extract.host_path(rows[i].url)[0]
+    got = {r.page_id: r for r in html_extract.extract(pages).collect()}
+    shared = 0
+    for n, i in enumerate(order):
+        pair = next((k for k in (order[n - 1 : n] + order[n + 1 : n + 2]) if host(k) == host(i)), None)
+        a, b = ([t for t, article, _ in read.get(k, ()) if not article] for k in (i, pair))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for x in range(len(a)):
+            for y in range(len(b)):
+                table[x + 1][y + 1] = table[x][y] + 1 if a[x] == b[y] else max(table[x][y + 1], table[x + 1][y])
+        assert got[i].text == " ".join(t for t, _, furniture in read[i] if not furniture)
+        assert got[i].lines_shared == table[-1][-1] and got[i].lines_shared + got[i].lines_furniture == len(a)
+        shared += table[-1][-1]
+    assert shared > 0
+
+
+def test_html_extraction_of_very_long_pages(spark):
+    page = "<div>{}</div>" + "".join(f"<div>line {i % 700}</div>" for i in range(20_000)) + "<article>" + "word " * 200_000 + "</article>"
+    rows = [(i, f"http://long.org/{i}", page.format(f"own {i}")) for i in range(2)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert all(r.text == f"own {r.page_id} " + ("word " * 200_000).strip() and r.lines_shared == 20_000 for r in got)
+
+
 def test_word_pattern_is_ascii_space():
     assert re.findall(r"[^\x20\x09-\x0D]+", "a\x0bb\x1cc d e") == [w.decode() for w in simhash.words("a\x0bb\x1cc d e".encode())]
 
@@ -483,15 +726,6 @@ def test_parities_never_exceed_the_difference_of_sets():
             assert bits <= len(np.setxor1d(base, other))
 
 
-def test_the_first_of_a_family_is_the_fingerprint():
-    rng = np.random.default_rng(4)
-    for n in (0, 1, 2, 254, 255, 256, 3000):
-        hashes = rng.integers(0, 2**64, n, dtype=np.uint64)
-        family = simhash.fingerprint_family(hashes, 4)
-        assert family[0] == simhash.fingerprint(hashes)
-        assert len(family) == 4 and (not n or len(set(family)) > 1)
-
-
 def edited(rng, ws, kind, share):
     """A copy of ws with edits that leave about 0.8 to 0.9 of its five-word shingles."""
     out = list(ws)
