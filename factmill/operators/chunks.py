@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import tokens
 from ..functions.text import collapse, is_blank, strip, token_length
 
 
@@ -35,8 +36,9 @@ def char_windows(text: Column, size: int, overlap: int) -> Column:
     return F.filter(windows, lambda w: F.length(w) > 0)
 
 
-def token_windows(tokens: Column, size: int, overlap: int) -> Column:
-    return F.transform(window_starts(F.size(tokens), size, overlap), lambda s: F.slice(tokens, s + 1, F.lit(size)))
+def token_windows(ids: Column, size: int, overlap: int) -> Column:
+    """Windows of so many tokens over an array of tokens; the first that reaches the end is the last."""
+    return F.transform(window_starts(F.size(ids), size, overlap), lambda s: F.slice(ids, s + 1, F.lit(size)))
 
 
 def split_table(markdown: Column, size: int) -> Column:
@@ -58,12 +60,27 @@ def split_table(markdown: Column, size: int) -> Column:
     return F.when(F.size(lines) < 3, F.array(markdown)).otherwise(pieces)
 
 
-def units(blocks: DataFrame, size: int, overlap: int) -> DataFrame:
-    """Blocks cut to the budget: long prose into windows, long tables by rows, figures never; column part orders the cuts."""
-    over = token_length(F.col("text")) > size
-    pieces = F.when(over & (F.col("type") == "prose"), char_windows(F.col("text"), size, overlap)).when(over & (F.col("type") == "table"), split_table(F.col("text"), size)).otherwise(F.array("text"))
+def units(blocks: DataFrame, size: int, overlap: int, tokenizer: str | None = None) -> DataFrame:
+    """Blocks cut to the budget: long prose into windows, long tables by rows, figures never; column part orders the cuts.
+
+    With a tokenizer file prose is measured and cut in its tokens, else in estimated ones.
+    """
+    measured = blocks.where(~is_blank(F.col("text"))).withColumn("text", strip(F.col("text")))
     rest = [c for c in blocks.columns if c != "text"]
-    return blocks.where(~is_blank(F.col("text"))).withColumn("text", strip(F.col("text"))).select(*rest, F.posexplode(pieces).alias("part", "text"))
+    if tokenizer is None:
+        measured = measured.withColumn("_n", token_length(F.col("text")))
+        windows = char_windows(F.col("text"), size, overlap)
+    else:
+        measured = measured.withColumn("_ids", tokens.encode(F.col("text"), tokenizer)).withColumn("_n", F.size("_ids"))
+        windows = None
+    over = F.col("_n") > size
+    rows = F.when(over & (F.col("type") == "table"), split_table(F.col("text"), size)).otherwise(F.array("text"))
+    if windows is not None:
+        return measured.select(*rest, F.posexplode(F.when(over & (F.col("type") == "prose"), windows).otherwise(rows)).alias("part", "text"))
+    long = over & (F.col("type") == "prose")
+    whole = measured.where(~long).select(*rest, F.posexplode(rows).alias("part", "text"))
+    cut = measured.where(long).select(*rest, F.posexplode(token_windows(F.col("_ids"), size, overlap)).alias("part", "_w"))
+    return whole.unionByName(cut.withColumn("text", strip(tokens.decode(F.col("_w"), tokenizer))).where(~is_blank(F.col("text"))).select(*rest, "part", "text"))
 
 
 def pack(ordered: Column, size: int) -> Column:

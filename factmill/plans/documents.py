@@ -165,6 +165,14 @@ def sliding_windows(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.posexplode(C.char_windows(F.col("text"), 100, 20)).alias("i", "piece"))
 
 
+@query("""WITH t AS (SELECT doc_id, string_split(text, ' ') AS ws FROM documents), w AS (SELECT doc_id, ws, unnest(generate_series(0, CASE WHEN len(ws) > 50 THEN ceil((len(ws) - 50) / 40.0)::INT ELSE 0 END)) AS i FROM t)
+SELECT doc_id, i::INT AS i, array_to_string(ws[i * 40 + 1 : i * 40 + 50], ' ') AS piece FROM w""")
+def token_windows(spark, sf_dir):
+    """Windows of fifty tokens, ten of them shared, words being the tokens."""
+    d = read(spark, sf_dir, "documents")
+    return d.select("doc_id", F.posexplode(C.token_windows(F.split("text", " "), 50, 10)).alias("i", "ids")).select("doc_id", "i", F.array_join("ids", " ").alias("piece"))
+
+
 @query("""WITH RECURSIVE u AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, role = 'system' AS atomic, CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, length(text) // 4) END AS tok FROM conversations),
 w AS (SELECT conv_id, i, atomic, tok, 0 AS pack, tok AS held FROM u WHERE i = 1
 UNION ALL SELECT u.conv_id, u.i, u.atomic, u.tok, CASE WHEN w.atomic OR u.atomic OR w.held + u.tok > 100 THEN w.pack + 1 ELSE w.pack END, CASE WHEN w.atomic OR u.atomic OR w.held + u.tok > 100 THEN u.tok ELSE w.held + u.tok END FROM w JOIN u ON u.conv_id = w.conv_id AND u.i = w.i + 1)

@@ -52,6 +52,12 @@ class Context:
             raise ValueError(f"{attached} isn't one of {sorted(layers)}")
         self.layers, self.attached = dict(layers), attached
 
+    def mount(self, layer: str, path: str) -> str:
+        """Where a layer lies; to say the same again does nothing, to say something else of it fails."""
+        if self.layers.setdefault(layer, path) != path:
+            raise RuntimeError(f"{layer} is mounted at {self.layers[layer]}, not at {path}")
+        return path
+
     def expect(self, layer: str) -> str:
         if layer != self.attached:
             raise RuntimeError(f"this stage runs on {layer}, not on {self.attached}")

@@ -21,7 +21,14 @@ def todo(store: Store, active: DataFrame, forced=None) -> DataFrame:
     return scd2.apply_force(active, rest, forced, KEY)
 
 
-def extract(files: DataFrame, provider: providers.Provider = providers.layout_of_text, quality: float = 0.6, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+def described(results: DataFrame, describe: providers.Provider) -> DataFrame:
+    """(relative_path, figure_id, words): what a model says of each figure that has an image; a call that fails says nothing."""
+    figures = results.select(KEY, F.explode("result.figures").alias("f")).where("f.id is not null")
+    asked = figures.select(KEY, F.col("f.id").alias("figure_id"), F.to_json(F.struct(F.col("f.id").alias("figure"), F.col("f.caption").alias("caption"), F.col("f.ocr").alias("ocr"))).alias("request"))
+    return providers.call(asked, "request", describe).where("ok").select(KEY, "figure_id", F.col("payload").alias("words"))
+
+
+def extract(files: DataFrame, provider: providers.Provider = providers.layout_of_text, quality: float = 0.6, describe: providers.Provider | None = None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(text, blocks, tables) of files (relative_path, content ...), analysed already if there is a column payload.
 
     A file that can't be analysed has its error in extraction_error and neither blocks nor tables.
@@ -29,7 +36,7 @@ def extract(files: DataFrame, provider: providers.Provider = providers.layout_of
     read = files if "payload" in files.columns else providers.call(files, "content", provider)
     results = read.withColumn("result", F.from_json("payload", layout.RESULT))
     good = results.where("ok").select(KEY, "result")
-    blocks, tables = layout.build(good, KEY, **options)
+    blocks, tables = layout.build(good, KEY, described=described(good, describe) if describe else None, **options)
     text = layout.blocks_to_text(blocks, KEY).withColumnRenamed("text", "rebuilt")
     figures = blocks.where("type = 'figure'").select(KEY).distinct().withColumn("has_figures", F.lit(True))
     read_well = layout.document_quality(layout.word_confidences(good, KEY), KEY, least=quality)

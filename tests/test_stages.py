@@ -12,7 +12,7 @@ from factmill.sources import providers
 from factmill.sources.snapshots import Conflict, Store
 from factmill.stages import chunk, gold, measure, silver
 
-TEXT = "# Deal\nThe parties are Acme Ltd and Bolt Inc.\n\nkey | value\nterm | 30 days\nfee | 5\nBolt Inc. is paid by Acme Ltd within 30 days of the invoice, always.\nGoverned by the law of the land; signed on 2024-01-05 by all of them."
+TEXT = "# Deal\nThe parties are Acme Ltd of Rome and Bolt Inc.\n\nkey | value\nterm | 30 days\nfee | 5\nBolt Inc. is paid by Acme Ltd within 30 days of the invoice, always.\nGoverned by the law of the land; signed on 2024-01-05 by all of them."
 
 
 def now():
@@ -287,3 +287,42 @@ def test_bm25_asks_no_job_while_it_is_planned(spark):
     index = search.postings(spark.createDataFrame([(1, "a b b"), (2, "a c")], "chunk int, text string"), "chunk")
     found = search.bm25(index, spark.createDataFrame([("q", "b"), ("q", "a")], "q string, term string"), "chunk", "q")
     assert {r.chunk for r in found.collect()} == {1, 2} and "BroadcastNestedLoop" not in found._jdf.queryExecution().toString()
+
+
+def test_chunks_in_tokens_of_a_vocabulary(spark):
+    import public_tokenizers
+
+    from factmill.functions import tokens
+    from factmill.operators import chunks
+
+    text = " ".join(f"word{i} is here" for i in range(60))
+    for name in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"):
+        path = public_tokenizers.path(name)
+        df = spark.createDataFrame([(1, "prose", text), (2, "prose", "short"), (3, "figure", text), (4, "prose", " ")], "block_index int, type string, text string")
+        got = chunks.units(df, 40, 8, path).orderBy("block_index", "part").select("block_index", "part", "text", tokens.length(F.col("text"), path).alias("n")).collect()
+        mine = [r for r in got if r.block_index == 1]
+        assert len(mine) > 3 and all(r.n <= 41 for r in mine) and mine[0].text.startswith("word0 is") and mine[-1].text.endswith("word59 is here")
+        assert [r.text for r in got if r.block_index > 1] == ["short", text]
+    assert [r.n for r in spark.createDataFrame([(None,), ("",)], "t string").select(tokens.length(F.col("t"), path).alias("n")).collect()] == [0, 0]
+
+
+def test_layers_are_mounted_once():
+    from factmill.sources.config import Context
+
+    c = Context({"gold": "/g"}, "gold")
+    assert c.mount("silver", "/s") == c.mount("silver", "/s") == "/s" and c.expect("gold") == "/g"
+    with pytest.raises(RuntimeError):
+        c.mount("silver", "/other")
+
+
+def test_figures_are_described_where_the_model_can(spark):
+    def eyes(requests):
+        if any("f1" in r for r in requests):
+            raise ValueError("no")
+        return ["roads" for _ in requests]
+
+    page = {"content": "", "paragraphs": [], "tables": [], "figures": [{"id": i, "caption": None, "ocr": "map", "regions": [{"page": 1}], "spans": [{"offset": k, "length": 1}]} for k, i in enumerate(["f0", "f1", None])], "pages": [{"width": 1.0, "height": 1.0, "words": []}]}
+    given = spark.createDataFrame([("d", "x")], "relative_path string, content string")
+    text, blocks, _ = silver.extract(given, lambda rs: [json.dumps(page) for _ in rs], describe=eyes)
+    assert [r.text for r in blocks.orderBy("block_index").collect()] == ["[FIGURE p.1 — roads — map]", "[FIGURE p.1 — map]", "[FIGURE p.1 — map]"]
+    assert text.first().has_figures and text.first().extracted_text.startswith("[FIGURE")
