@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, exact_dedup, html_extract, line_dedup, lm_score, quality, sharding, simhash, token_counts
-from .common import read, shared_dir
+from .common import read, remove_folder, shared_dir
 
 
 def op1_html_extract(spark, sf_dir):
@@ -29,9 +29,11 @@ def op4_decontamination(spark, sf_dir):
 
 
 def op5_token_counts(spark, sf_dir):
-    """With a cache of its own, so that each run encodes all distinct texts."""
+    """With a cache of its own, so that each run encodes all distinct texts; it goes once the counts have been taken from it."""
     cache = f"{shared_dir(spark)}/token_counts/{uuid.uuid4().hex}"
-    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), cache)
+    counted = token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), cache)
+    remove_folder(spark, cache)
+    return counted
 
 
 def op6_bpe(spark, sf_dir):

@@ -8,6 +8,7 @@ storage, and every document takes its count from there.
 from __future__ import annotations
 
 import hashlib
+import json
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,13 +19,25 @@ from .common import as_bytes, bound_batches, cut, slices, tidy
 _loaded: dict = {}
 
 
-def normalise(text: bytes) -> bytes:
-    """Outer ASCII white space has no token in these vocabularies' word splitting, so it isn't part of the identity."""
-    return text.strip()
+def ignores_outer_space(path: str) -> bool:
+    """Whether the tokenizer file itself says that white space outside of a text makes no token: it splits by words and takes what is between them out."""
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    first = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+    normal = {n["type"]: n for n in (spec.get("normalizer") or {}).get("normalizers", [])}
+    collapses = normal.get("Replace", {}).get("pattern", {}).get("Regex") == r"\s+" and normal["Replace"].get("content") == " "
+    return collapses and first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
+
+
+def normalised(text: bytes, strip: bool) -> bytes:
+    """What a text is known by: its exact bytes, less outer ASCII white space where the tokenizer makes nothing of it."""
+    return text.strip() if strip else text
 
 
 def digest(text: bytes) -> bytes:
-    return hashlib.blake2b(normalise(text), digest_size=16).digest()
+    return hashlib.blake2b(text, digest_size=16).digest()
 
 
 def tokenizer_digest(path: str) -> bytes:
@@ -57,24 +70,32 @@ def _counter(path: str) -> _Counter:
     return _loaded[path]
 
 
-def _digests(batches):
-    for batch in batches:
-        for part in slices(batch, "text"):
-            raw = as_bytes(part.column("text"))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([digest(b) for b in raw], pa.binary()), pa.array([len(b) for b in raw], pa.int64())], ["doc_id", "digest", "n_bytes"])
+def _digests(strip: bool):
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                raw = as_bytes(part.column("text"))
+                found = [digest(normalised(b, strip)) for b in raw]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.binary()), pa.array([len(b) for b in raw], pa.int64())], ["doc_id", "digest", "n_bytes"])
+
+    return run
+
 
+def _contents(strip: bool):
+    def run(batches):
+        seen = set()  # of this task: a hot text leaves it once
+        for batch in batches:
+            for part in slices(batch, "text"):
+                out = {}
+                for b in as_bytes(part.column("text")):
+                    b = normalised(b, strip)
+                    d = digest(b)
+                    if d not in seen:
+                        seen.add(d)
+                        out[d] = b
+                yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.binary()), pa.array([v.decode() for v in out.values()], pa.string())], ["digest", "text"])
 
-def _contents(batches):
-    seen = set()  # of this task: a hot text leaves it once
-    for batch in batches:
-        for part in slices(batch, "text"):
-            out = {}
-            for b in as_bytes(part.column("text")):
-                d = digest(b)
-                if d not in seen:
-                    seen.add(d)
-                    out[d] = normalise(b)
-            yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.binary()), pa.array([v.decode() for v in out.values()], pa.string())], ["digest", "text"])
+    return run
 
 
 def _encoded(path: str, version: bytes):
@@ -111,15 +132,17 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048, id_c
 
     Counts are the library's for the file at path (tokenizers for .json, sentencepiece for .model)
     without added begin or end tokens, truncation or padding. Null counts as empty: zero tokens.
+    A count is stored under the text's exact bytes (less outer white space only where the tokenizer
+    file says that it makes no token) and the digest of the tokenizer file, so tokenizers can share a cache.
     cache is a folder that driver and executors share; it is made if it isn't there and grows by
     the distinct texts that it lacks. Repeated rows are kept; an empty table gives an empty result;
     other columns are ignored. Losing an executor repeats tasks; a cache file appears only whole.
     """
     bound_batches(docs.sparkSession)
-    spark, version = docs.sparkSession, tokenizer_digest(path)
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = docs.mapInArrow(tidy(_digests), "doc_id bigint, digest binary, n_bytes bigint")
-    contents = docs.mapInArrow(tidy(_contents), "digest binary, text string")
+    spark, version, strip = docs.sparkSession, tokenizer_digest(path), ignores_outer_space(path)
+    docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    wanted = docs.mapInArrow(tidy(_digests(strip)), "doc_id bigint, digest binary, n_bytes bigint")
+    contents = docs.mapInArrow(tidy(_contents(strip)), "digest binary, text string")
     stored = _cached(spark, cache, version)
     if stored is not None:
         contents = contents.join(stored.select("digest"), "digest", "left_anti")
