@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bound_batches, broadcast_if_small, cut, slices, tidy
+from .common import as_bytes, bound_batches, broadcast_if_small, cut, in_order, slices, tidy
 
 BLOCK_BYTES = 16384
 
@@ -64,14 +64,7 @@ def _blocks(block_bytes: int, digest):
 
 def sorted_names(keys: DataFrame, columns: list[str]) -> DataFrame:
     """Number the distinct rows of keys 0, 1, 2, ... in their order; sorted range by range, so no task sees all."""
-    ranged = keys.select(*columns).distinct().repartitionByRange(*columns).withColumn("rid", F.spark_partition_id())
-    placed = cut(ranged.withColumn("rn", F.row_number().over(Window.partitionBy("rid").orderBy(*columns))))
-    offset, before = 0, []
-    for r in sorted(placed.groupBy("rid").count().collect()):  # a row for each shuffle partition
-        before += [F.lit(r[0]), F.lit(offset)]
-        offset += r[1]
-    start = F.create_map(*before)[F.col("rid")] if before else F.lit(0)
-    return placed.select(*columns, (start + F.col("rn") - 1).cast("bigint").alias("name"))
+    return in_order(keys.select(*columns).distinct(), *columns).withColumnRenamed("place", "name")
 
 
 def _first_names(docs: DataFrame, blocks: DataFrame, block_bytes: int, digest) -> DataFrame:

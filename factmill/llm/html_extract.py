@@ -16,10 +16,10 @@ import re
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, bound_batches, broadcast_if_small, cut, row_key, slices, tidy
+from .common import as_text, bound_batches, broadcast_if_small, cut, in_order, row_key, slices, tidy
 
 #: Pages of one host that are differenced by one task at a time.
 RUN_PAGES = 256
@@ -337,17 +337,7 @@ def _deletions(rows):
 def template_lines(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     """(key, gone) for rows (key, url, html): for each page the lines outside articles, by number among them, that it shares with the page beside it in URL order."""
     lines = pages.select("key", "url", "html").mapInArrow(tidy(_open_lines), "key binary, host string, path string, lines binary").distinct()
-    order = ["host", "path", "key"]
-    ranged = lines.repartitionByRange(*order).withColumn("rid", F.spark_partition_id())
-    placed = cut(ranged.withColumn("rn", F.row_number().over(Window.partitionBy("rid").orderBy(*order))))
-    before, offsets = 0, []
-    for r in sorted(placed.groupBy("rid").count().collect()):  # a row for each shuffle partition
-        offsets.append((r[0], before))
-        before += r[1]
-    if not offsets:
-        return placed.select("key", F.array().cast("array<int>").alias("gone"))
-    offsets = pages.sparkSession.createDataFrame(offsets, "rid int, before bigint")
-    numbered = placed.join(F.broadcast(offsets), "rid").select("host", "key", "lines", (F.col("before") + F.col("rn") - 1).alias("g"))
+    numbered = in_order(lines, "host", "path", "key").select("host", "key", "lines", F.col("place").alias("g"))
     run = F.floor(F.col("g") / run_pages).cast("bigint")
     # each run of pages is one unit of work and also sees the page before it and the page after it
     homes = F.array(F.struct(run.alias("run"), F.lit(True).alias("own")), F.struct((run - 1).alias("run"), F.lit(False).alias("own")), F.struct((run + 1).alias("run"), F.lit(False).alias("own")))
