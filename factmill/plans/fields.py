@@ -163,11 +163,11 @@ def parse_responses(spark, sf_dir):
 
 @query("""WITH w AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS item, generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations),
 f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, lower(trim(item)) ORDER BY turn, pos) AS r FROM w WHERE trim(item) <> ''),
-q AS (SELECT conv_id, arg_min(substr(text, 1, 10), turn) AS quote FROM conversations WHERE role = 'user' AND trim(substr(text, 1, 10)) <> '' GROUP BY 1)
+q AS (SELECT conv_id, arg_min(text, turn) AS quote FROM conversations WHERE role = 'user' AND trim(text) <> '' GROUP BY 1)
 SELECT c.conv_id, u.value, q.quote FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN (SELECT conv_id, string_agg(item, ' ' ORDER BY turn, pos) AS value FROM f WHERE r = 1 GROUP BY 1) u USING (conv_id) LEFT JOIN q USING (conv_id)""")
 def map_union_first_seen(spark, sf_dir):
     c = read(spark, sf_dir, "conversations")
-    partials = c.select("conv_id", F.col("turn").alias("chunk_index"), F.split("text", " ").alias("items"), F.when(F.col("role") == "user", F.substring("text", 1, 10)).alias("quote"))
+    partials = c.select("conv_id", F.col("turn").alias("chunk_index"), F.split("text", " ").alias("items"), F.when(F.col("role") == "user", F.col("text")).alias("quote"))
     return extract.union_partials(partials, ["conv_id"]).withColumn("value", F.array_join("value", " "))
 
 
@@ -202,10 +202,13 @@ def _quotes(spark, sf_dir):
     return d.select("doc_id", "text", "n_chars", F.when(kind < 5, F.lit("v")).alias("value"), quote.alias("quote"))
 
 
-@query(f"""WITH q AS (SELECT doc_id, text, CASE doc_id % 6 WHEN 0 THEN substr(text, 21, 120) WHEN 1 THEN replace(replace(substr(text, 21, 120), ' ', '  '), 'e', 'E') WHEN 3 THEN 'no such words are in here 0123456789 at all' END AS quote FROM documents WHERE n_chars >= 200 AND doc_id % 6 IN (0, 1, 3))
-SELECT doc_id, CASE WHEN contains(text, quote) THEN 'exact' WHEN contains({_NORM.format('text')}, {_NORM.format('quote')}) THEN 'normalized' ELSE 'not_found' END AS match_type FROM q""")
+@query(f"""WITH q AS (SELECT doc_id, text, CASE doc_id % 3 WHEN 0 THEN substr(text, 21, 120) WHEN 1 THEN replace(replace(substr(text, 21, 120), ' ', '  '), 'e', 'E') ELSE 'no such words are in here 0123456789 at all' END AS quote FROM documents)
+SELECT doc_id, CASE WHEN {_NORM.format('quote')} = '' THEN 'not_found' WHEN contains(text, quote) THEN 'exact' WHEN contains({_NORM.format('text')}, {_NORM.format('quote')}) THEN 'normalized' ELSE 'not_found' END AS match_type FROM q""")
 def locate_quotes(spark, sf_dir):
-    return evidence.locate(_quotes(spark, sf_dir).where((F.col("n_chars") >= 200) & (F.col("doc_id") % 6).isin(0, 1, 3))).select("doc_id", "match_type")
+    """A quote of every document: as it stands, with other case and spaces, or foreign."""
+    part, kind = F.substr("text", F.lit(21), F.lit(120)), F.col("doc_id") % 3
+    quote = F.when(kind == 0, part).when(kind == 1, F.replace(F.replace(part, F.lit(" "), F.lit("  ")), F.lit("e"), F.lit("E"))).otherwise("no such words are in here 0123456789 at all")
+    return evidence.locate(read(spark, sf_dir, "documents").select("doc_id", "text", F.lit("v").alias("value"), quote.alias("quote"))).select("doc_id", "match_type")
 
 
 @query()
@@ -293,12 +296,12 @@ def source_gate(spark, sf_dir):
     return _rated(spark, sf_dir).select("doc_id", R.source_verified(F.col("document_flag"), F.col("conf_min")).alias("source_verified"), R.fold_verdict(verdict, F.col("trust")).alias("folded"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_size::VARCHAR WHEN p_size % 3 = 1 THEN CASE WHEN p_size % 2 = 0 THEN '7' ELSE '7,' || p_size END ELSE '1,2,3' END AS pages FROM part WHERE p_size <> 7""")
+@query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_size::VARCHAR WHEN p_size % 3 = 1 THEN CASE WHEN p_size % 2 = 0 OR p_size = 7 THEN '7' ELSE '7,' || p_size END ELSE '1,2,3' END AS pages FROM part""")
 def page_resolution(spark, sf_dir):
     s = F.col("p_size")
     found = F.when(s % 3 == 1, F.array(F.lit(7), F.when(s % 2 == 0, F.lit(7)).otherwise(s), F.lit(None).cast("int")))
     pages = R.pages_to_read(F.when(s % 3 == 0, s), found, F.lit(3))
-    return read(spark, sf_dir, "part").where("p_size <> 7").select("p_partkey", F.array_join(pages, ",").alias("pages"))
+    return read(spark, sf_dir, "part").select("p_partkey", F.array_join(pages, ",").alias("pages"))
 
 
 def _trails(spark, sf_dir):

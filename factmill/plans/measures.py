@@ -65,14 +65,14 @@ def eval_string(spark, sf_dir):
     return read(spark, sf_dir, "customer").select("c_custkey", M.string_score(F.lit("Building!"), F.concat(F.lit(" "), F.col("c_mktsegment"))).alias("score"))
 
 
-@query("""WITH t AS (SELECT conv_id, list_distinct(list_filter(list_transform(string_split(string_agg(role || ',' || substr(text, 1, 6), ',' ORDER BY turn), ','), lambda x: """ + _PLAIN.format("x") + """), lambda x: length(x) > 0)) AS e FROM conversations GROUP BY 1),
+@query("""WITH t AS (SELECT conv_id, list_distinct(list_filter(list_transform(regexp_split_to_array(string_agg(role || ',' || text, ',' ORDER BY turn), '[,;\\n]'), lambda x: """ + _PLAIN.format("x") + """), lambda x: length(x) > 0)) AS e FROM conversations GROUP BY 1),
 a AS (SELECT conv_id, list_distinct(list_filter(list_transform(string_split(string_agg(substr(role, 1, 4) || ',' || lang, ','), ','), lambda x: """ + _PLAIN.format("x") + """), lambda x: length(x) > 0)) AS a FROM (SELECT *, 'system' AS lang FROM conversations WHERE turn < 2) GROUP BY 1),
 s AS (SELECT conv_id, len(list_filter(e, lambda x: len(list_filter(a, lambda y: contains(x, y) OR contains(y, x))) > 0)) / len(e) AS r, len(list_filter(a, lambda x: len(list_filter(e, lambda y: contains(x, y) OR contains(y, x))) > 0)) / len(a) AS p FROM t JOIN a USING (conv_id))
 SELECT conv_id, round(CASE WHEN r + p > 0 THEN 2 * r * p / (r + p) ELSE 0 END, 9)::DOUBLE AS f1 FROM s""")
 def eval_set_f1(spark, sf_dir):
     c = read(spark, sf_dir, "conversations")
     joined = lambda x, df: df.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", x.alias("x")))), lambda r: r["x"]), ",").alias("t"))
-    e = joined(F.concat("role", F.lit(","), F.substring("text", 1, 6)), c)
+    e = joined(F.concat("role", F.lit(","), "text"), c)
     a = joined(F.concat(F.substring("role", 1, 4), F.lit(",system")), c.where("turn < 2")).withColumnRenamed("t", "u")
     return e.join(a, "conv_id").select("conv_id", F.round(M.set_f1(F.col("t"), F.col("u")), 9).alias("f1"))
 
