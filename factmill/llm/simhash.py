@@ -182,17 +182,16 @@ def bands(shingles: np.ndarray) -> list[int]:
 _MARKED = "key binary, doc_id bigint, node binary, fp bigint, bands array<bigint>, parity array<bigint>, size int"
 
 
-def _row_marks(width: int):
+def _row_marks(width: int, print_width: int):
     def run(batches):
         for batch in batches:
             rows = []
             for part in slices(batch, "text"):
                 for key, d, b in zip(part.column("key").to_pylist(), part.column("doc_id").to_pylist(), as_bytes(part.column("text"))):
                     ws = words(b)
-                    hashes = shingle_hashes(ws, width)
-                    shingles = np.unique(hashes)
+                    shingles = np.unique(shingle_hashes(ws, width))
                     met = np.array(bands(shingles), np.uint64).view(np.int64)
-                    rows.append((key, d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint(hashes), met, parities(shingles), len(shingles)))
+                    rows.append((key, d, xxhash.xxh3_128_digest(b" ".join(ws)), fingerprint(shingle_hashes(ws, print_width)), met, parities(shingles), len(shingles)))
             keys, ids, nodes, fps, met, odd, sizes = zip(*rows) if rows else ((),) * 7
             arrays = [pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(met, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64())), pa.array(sizes, pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "doc_id", "node", "fp", "bands", "parity", "size"])
@@ -371,16 +370,16 @@ def near_links(docs: DataFrame, nodes: DataFrame, width: int, radius: int, simil
     return links_
 
 
-def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 3, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", print_width: int = 2) -> DataFrame:
     """docs less its near copies: of each group, the row with the smallest doc_id stays.
 
     Texts with the same words are one. Others are linked if their sets of shingles of width words
     have a Jaccard similarity of at least similarity, and groups are what links connect. Compared
-    are texts whose fingerprints over these shingles differ in at most radius bits, found by the
-    popcount grid, and texts that share a band of minima of their shingles (BANDS): at a similarity
-    of 0.8 fingerprints are 10 of 64 bits apart on average, where no grid can tell them from strangers,
-    while the bands miss 3 pairs in a million whatever their edits look like. Every comparison is
-    exact. Texts of a band are first compared with a few of them; then only texts that these links
+    are texts whose fingerprints over shingles of print_width words differ in at most radius bits,
+    found by the popcount grid, and texts that share a band of minima of their shingles (BANDS): at
+    a similarity of 0.8 fingerprints are 5 of 64 bits apart in the median and often more, where the
+    grid can't tell them from strangers, while the bands miss 3 pairs in a million whatever their
+    edits look like. Every comparison is exact. Texts of a band are first compared with a few of them; then only texts that these links
     have not put into one part, and whose shingles are not surely too far apart, are compared, so
     that a large group doesn't meet itself whole.
 
@@ -394,7 +393,7 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 3, similarit
     rows = keyed(by_place(docs), text_at, id_at)
     texts = docs.select(F.col(f"`{text_col}`").alias("text"))
     marked = rows.select("key", F.expr(f"try_cast(c{id_at} AS bigint)").alias("doc_id"), F.col(f"c{text_at}").alias("text"))
-    marks = cut(marked.mapInArrow(tidy(_row_marks(width)), _MARKED))
+    marks = cut(marked.mapInArrow(tidy(_row_marks(width, print_width)), _MARKED))
     parity = [F.element_at("parity", i + 1).alias(f"p{i}") for i in range(PARITY_WORDS)]
     nodes = cut(marks.groupBy("node").agg(F.first(F.struct("fp", "bands", "size", *parity)).alias("m")).select("node", "m.*"))
     links_ = near_links(texts, nodes, width, radius, similarity)
