@@ -32,6 +32,21 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Counts(dict):
+    """The number of ids of each word that a worker has met; emptied when full."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+
+    def __missing__(self, word: str) -> int:
+        letters = "".join(map(self.codec.letters.__getitem__, word.encode()))
+        ids, _ = self.codec._pieces(self.codec.cut(letters))
+        if len(self) >= 2 * CACHE_ENTRIES:
+            self.clear()
+        self[word] = n = ids.count(" ") + 1 if ids else 0
+        return n
+
+
 class Codec:
     """Encodes and decodes as the vocabulary file says: NFC, lower case, words, bytes as letters, merges, a word-end mark."""
 
@@ -62,6 +77,7 @@ class Codec:
         self.ids: dict[str, str] = {}
         self.forms: dict[str, str] = {}
         self.fragments: dict[tuple[str, bool], tuple[str, str]] = {}
+        self.counts = _Counts(self)
 
     def _pairs(self) -> tuple[set[str], set[str]]:
         """Letter pairs inside tokens; pairs that end a token with the word-end mark."""
@@ -119,12 +135,15 @@ class Codec:
             return " ".join(ids), " ".join(forms)
         return self._plain(text)
 
-    def _plain(self, text: str) -> tuple[str, str]:
+    def _split(self, text: str) -> list[str]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         if "Σ" in text:  # letters are lowered one by one, so a final sigma is not special
             text = text.replace("Σ", "σ")
-        found = self.words.findall(text.lower())
+        return self.words.findall(text.lower())
+
+    def _plain(self, text: str) -> tuple[str, str]:
+        found = self._split(text)
         if len(self.ids) >= CACHE_ENTRIES:
             self.ids.clear()
             self.forms.clear()
@@ -133,6 +152,15 @@ class Codec:
             self._word(w)
         return " ".join([known[w] for w in found]), " ".join([self.forms[w] for w in found])
 
+    def count(self, text: str) -> int:
+        """How many ids a text has; each word is encoded once."""
+        if self.mark and "<|" in text:
+            return sum(1 if piece in self.special else self._count(piece) for piece in self.mark.split(text))
+        return self._count(text)
+
+    def _count(self, text: str) -> int:
+        return sum(map(self.counts.__getitem__, self._split(text)))
+
     def decode(self, ids: str) -> str:
         """The decoded text of decimal ids joined by spaces."""
         return " ".join([self.names[i] for i in ids.split()])

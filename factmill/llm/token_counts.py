@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import Codec
 from .common import as_bytes, bound_batches, cut, slices, tidy
 
 _loaded: dict = {}
@@ -46,10 +47,16 @@ def tokenizer_digest(path: str) -> bytes:
 
 
 class _Counter:
+    """Counts the tokens of texts as the library for the file does; for vocabularies of words by forced boundaries, word by word, which takes half the time."""
+
     def __init__(self, path: str):
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
+            if ignores_outer_space(path):
+                count = Codec(path).count
+                self.count = lambda texts: list(map(count, texts))
+                return
             t = Tokenizer.from_file(path)
             t.no_truncation()
             t.no_padding()

@@ -371,6 +371,7 @@ def test_bpe_on_odd_words():
         got, form = c.encode(s)
         assert got == " ".join(map(str, ids)), repr(s)
         assert form == t.decode(ids, skip_special_tokens=False) == c.decode(got)
+        assert c.count(s) == len(ids)
     assert any(len(c.cut("".join(map(c.letters.__getitem__, w.encode())))) > 1 for w in ("中文日本語", "😀😀"))
 
 
