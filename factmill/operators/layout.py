@@ -68,10 +68,9 @@ def build(results: DataFrame, doc: str, least_fraction: float = 0.02, most_capti
     span = F.named_struct(F.lit("start"), span_start(F.col("e.spans")), F.lit("end"), span_end(F.col("e.spans")))
     placed = lambda df: df.withColumn("at", span).withColumns({"start": F.col("at.start"), "end": F.col("at.end")})
     none = F.lit(None).cast("string")
-    spans = F.filter(F.concat(F.coalesce(F.transform("result.tables", lambda t: t["spans"]), F.array()), F.coalesce(F.transform("result.figures", lambda f: f["spans"]), F.array())), lambda s: F.size(s) > 0)
-    ranges = F.transform(spans, lambda s: F.named_struct(F.lit("lo"), span_start(s), F.lit("hi"), span_end(s)))
-    paragraphs = placed(results.select(doc, ranges.alias("ranges"), F.posexplode("result.paragraphs").alias("idx", "e")).withColumn("role", F.col("e.role")))
-    prose = drop_noise(paragraphs).where(~F.exists("ranges", lambda r: (F.col("start") >= r["lo"]) & (F.col("start") < r["hi"])))
+    paragraphs = placed(results.select(doc, F.posexplode("result.paragraphs").alias("idx", "e")).withColumn("role", F.col("e.role")))
+    covered = results.select(doc, F.explode(F.concat(F.coalesce(F.transform("result.tables", lambda t: t["spans"]), F.array()), F.coalesce(F.transform("result.figures", lambda f: f["spans"]), F.array()))).alias("s")).where(F.size("s") > 0)
+    prose = drop_covered(drop_noise(paragraphs), covered.select(doc, span_start(F.col("s")).alias("lo"), span_end(F.col("s")).alias("hi")), doc)
     prose = prose.select(doc, F.lit("prose").alias("kind"), "role", "start", "end", "idx", first_page(F.col("e.regions")).alias("page"), strip(F.col("e.content")).alias("text"), none.alias("table_id"), none.alias("figure_uri"))
 
     tables = placed(results.select(doc, F.posexplode("result.tables").alias("table_index", "e")))
@@ -125,14 +124,18 @@ def table_markdown(cells: DataFrame, table: list[str]) -> DataFrame:
     counts. Tables without rows or columns give an empty string.
     """
     inside = cells.where((F.col("row") >= 0) & (F.col("row") < F.col("n_rows")) & (F.col("col") >= 0) & (F.col("col") < F.col("n_cols")))
-    placed = inside.groupBy(*table, "row", "col").agg(F.max_by(cell_text(F.col("text")), F.col("seq")).alias("text"))
-    grid = placed.groupBy(*table).agg(F.map_from_entries(F.collect_list(F.struct(F.struct("row", "col"), "text"))).alias("at"))
+    placed = inside.groupBy(*table, "row", "col").agg(F.max_by(cell_text(F.col("text")), F.col("seq")).alias("text"), F.max("n_cols").alias("n_cols"))
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
+    # a row at a time: looking cells up in a map of the whole grid would take the square of its size
+    rows = placed.groupBy(*table, "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("at"), F.max("n_cols").alias("n_cols"))
+    rows = rows.select(*table, "row", line(F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), lambda c: F.coalesce(F.try_element_at("at", c), F.lit("")))).alias("line"))
+    grid = rows.groupBy(*table).agg(F.map_from_entries(F.collect_list(F.struct("row", "line"))).alias("at"))
     shape = cells.groupBy(*table).agg(F.max("n_rows").alias("n_rows"), F.max("n_cols").alias("n_cols"))
     joined = shape.join(grid, table, "left")
-    line = lambda r: F.concat(F.lit("| "), F.array_join(F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), lambda c: F.coalesce(F.try_element_at("at", F.struct(r.alias("row"), c.alias("col"))), F.lit(""))), " | "), F.lit(" |"))
-    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.col("n_cols")), " | "), F.lit(" |"))
-    body = F.transform(F.sequence(F.lit(0), F.col("n_rows") - 1), line)
+    empty = line(F.array_repeat(F.lit(""), F.col("n_cols")))
+    body = F.transform(F.sequence(F.lit(0), F.col("n_rows") - 1), lambda r: F.coalesce(F.try_element_at("at", r), empty))
     lines = joined.withColumn("body", F.when((F.col("n_rows") > 0) & (F.col("n_cols") > 0), body))
+    rule = line(F.array_repeat(F.lit("---"), F.col("n_cols")))
     whole = F.array_join(F.concat(F.slice("body", 1, 1), F.array(rule), F.slice("body", F.lit(2), F.greatest(F.col("n_rows"), F.lit(1)))), "\n")
     return lines.select(*table, F.coalesce(F.when(F.col("body").isNotNull(), whole), F.lit("")).alias("markdown"))
 

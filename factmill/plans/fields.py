@@ -12,6 +12,7 @@ from ..functions import values as V
 from ..functions.fuzzy import ratio
 from ..operators import audit, evidence, extract
 from ..sources import providers
+from ..sources.files import spread
 from .catalog import query, read
 
 _WS = "[ \\t\\n\\r\\f\\x0B]+"
@@ -236,7 +237,7 @@ def flagship(spark, sf_dir):
     A quote and a document meet on one of the quote's words, the one that the fewest documents hold,
     so the join is keyed and grows with what that word finds.
     """
-    d = read(spark, sf_dir, "documents").select("doc_id", "text", T.normalize(F.col("text")).alias("t"))
+    d = spread(read(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("t", T.normalize(F.col("text")))
     b = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"), T.normalize(F.col("text")).alias("q"))
     hits = evidence.containing(d, b, "doc_id", "item_id")
     match = T.locate(F.col("quote"), F.col("text"))

@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..operators import scd2
 from ..operators import search as S
 from ..sources import providers
+from ..sources.files import spread
 from ..sources.snapshots import Store, scratch
 from ..stages import bronze, chunk, gold, measure, silver
 from .catalog import ORACLES, query, read
@@ -56,7 +57,7 @@ def stage_silver_blocks(spark, sf_dir):
     """Documents through the layout port to blocks: headings, furniture, tables of lines with bars, confidence of words."""
     d = read(spark, sf_dir, "documents")
     files = d.select(F.col("doc_id").cast("string").alias("relative_path"), F.col("text").alias("content"))
-    _, blocks, _ = silver.extract(files)
+    _, blocks, _ = silver.extract(_store(spark).staged(silver.analysed(spread(files))))  # analysed once
     return blocks.select(F.col("relative_path").cast("bigint").alias("doc_id"), "block_index", "type", "section", "page", "text", "char_count", F.round("conf_min", 6).alias("conf_min"), F.round("conf_mean", 6).alias("conf_mean"))
 
 
@@ -121,8 +122,8 @@ def _gold(spark, sf_dir, mode: str = "off", entries=None) -> Store:
     """A store with fields of all documents, from their text alone (no blocks, so nothing is known of a quote's place)."""
     d = read(spark, sf_dir, "documents")
     files = d.select(F.col("doc_id").cast("string").alias("relative_path"), F.concat(F.lit("Doc-"), "doc_id").alias("file_name"), F.sha2("text", 256).alias("content_hash"), F.lit("s1").alias("code_hash"), F.lit("v1").alias("version_id"), F.col("text").alias("content"))
-    text, _, _ = silver.extract(files)
     store = _store(spark)
+    text, _, _ = silver.extract(store.staged(silver.analysed(spread(files))))
     store.commit(**{silver.TEXT: scd2.fresh(text.withColumn("valid_from", _AT("2024-01-01")))})
     gold.run(store, entries or _GOLD, "g1", _AT("2024-01-02"), mode=mode)
     return store

@@ -27,3 +27,15 @@ def listing(spark: SparkSession, root: str, extensions=EXTENSIONS) -> DataFrame:
     return files.where(extension(name).isin(*extensions)).select(
         relative_path(F.col("path"), root).alias("relative_path"), name.alias("file_name"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("content_hash")
     )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table that is read in fewer parts than there are cores, dealt over them; larger ones as they are.
+
+    Only tables of less than a part for each core are moved, so what is shuffled stays small whatever the data.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    part = int(str(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if size < part * cores and size > 1 << 20 and -(-size // part) < cores else df

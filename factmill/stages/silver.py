@@ -21,6 +21,11 @@ def todo(store: Store, active: DataFrame, forced=None) -> DataFrame:
     return scd2.apply_force(active, rest, forced, KEY)
 
 
+def analysed(files: DataFrame, provider: providers.Provider = providers.layout_of_text) -> DataFrame:
+    """files (relative_path, content ...) with ok, error and the layout as a struct in place of their content; to be staged, so that it is asked for and parsed once."""
+    return providers.call(files, "content", provider).withColumn("result", F.from_json("payload", layout.RESULT)).drop("content", "payload")
+
+
 def described(results: DataFrame, describe: providers.Provider) -> DataFrame:
     """(relative_path, figure_id, words): what a model says of each figure that has an image; a call that fails says nothing."""
     figures = results.select(KEY, F.explode("result.figures").alias("f")).where("f.id is not null")
@@ -29,12 +34,11 @@ def described(results: DataFrame, describe: providers.Provider) -> DataFrame:
 
 
 def extract(files: DataFrame, provider: providers.Provider = providers.layout_of_text, quality: float = 0.6, describe: providers.Provider | None = None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(text, blocks, tables) of files (relative_path, content ...), analysed already if there is a column payload.
+    """(text, blocks, tables) of files (relative_path, content ...), or of what analysed() made of them.
 
     A file that can't be analysed has its error in extraction_error and neither blocks nor tables.
     """
-    read = files if "payload" in files.columns else providers.call(files, "content", provider)
-    results = read.withColumn("result", F.from_json("payload", layout.RESULT))
+    results = files if "result" in files.columns else analysed(files, provider)
     good = results.where("ok").select(KEY, "result")
     blocks, tables = layout.build(good, KEY, described=described(good, describe) if describe else None, **options)
     text = layout.blocks_to_text(blocks, KEY).withColumnRenamed("text", "rebuilt")
@@ -44,7 +48,7 @@ def extract(files: DataFrame, provider: providers.Provider = providers.layout_of
     rows = results.join(text, KEY, "left").join(figures, KEY, "left").join(read_well, KEY, "left")
     ok = F.col("ok")
     rows = rows.select(
-        *[c for c in files.columns if c not in ("content", "ok", "payload", "error")],
+        *[c for c in files.columns if c not in ("content", "ok", "result", "error")],
         F.when(ok, F.when(F.length(content) > 0, content).otherwise(F.coalesce("rebuilt", F.lit("")))).alias("extracted_text"),
         F.when(ok, F.coalesce(F.size("result.pages"), F.lit(0))).alias("page_count"),
         F.when(ok, F.coalesce(F.size("result.tables") > 0, F.lit(False))).alias("has_tables"),
@@ -58,7 +62,7 @@ def run(store: Store, files: DataFrame, code: str, now: Column, provider: provid
     """Analyse what changed in files (the live inventory with content) and commit text, blocks and tables together."""
     active = files.withColumn("code_hash", F.lit(code)).withColumn("version_id", ids.version_id(F.col(KEY), F.col("content_hash"), F.col("code_hash")))
     pending = todo(store, active, forced).select(KEY, "file_name", "content_hash", "code_hash", "version_id", "content")
-    read = store.staged(providers.call(pending, "content", provider))
+    read = store.staged(analysed(pending, provider))
     text, blocks, tables = extract(read, **options)
     versions = read.select(KEY, "file_name", "content_hash", "code_hash", "version_id")
     known = lambda df, name, suffix: stamped(df.join(versions, KEY).withColumn(name, ids.safe_key(F.col(KEY), suffix, F.col("version_id"))), now)
