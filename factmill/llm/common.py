@@ -13,6 +13,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import spread
+
 try:
     _LIBC = ctypes.CDLL("libc.so.6")
 except OSError:  # another C library
@@ -195,4 +197,4 @@ def in_order(df: DataFrame, *order: str) -> DataFrame:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
