@@ -13,7 +13,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.files import spread
+from ..sources.files import bound_batches, spread  # noqa: F401
 
 try:
     _LIBC = ctypes.CDLL("libc.so.6")
@@ -171,17 +171,6 @@ def tidy(run, pause_gc: bool = False):
     return whole
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Hold the batches that go to Python to a few megabytes; by default Spark lets them grow to 64 MB.
-
-    Set for the session, as plans run after the operator has returned. Settings that were changed
-    from the default are kept.
-    """
-    for key, default, most in (("maxRecordsPerBatch", "10000", "1000"), ("maxBytesPerBatch", "67108864b", "4m")):
-        if spark.conf.get(f"spark.sql.execution.arrow.{key}", default) == default:
-            spark.conf.set(f"spark.sql.execution.arrow.{key}", most)
-
-
 def in_order(df: DataFrame, *order: str) -> DataFrame:
     """df with place, its rows' numbers from 0 in that order; sorted range by range, so that no task sees all."""
     ranged = df.repartitionByRange(*order).withColumn("rid", F.spark_partition_id())

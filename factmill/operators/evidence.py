@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import trust as R
 from ..functions.fuzzy import ratio
+from ..sources.files import bound_batches
 
 
 #: Bytes of short quotes that are broadcast at a time.
@@ -20,6 +21,7 @@ def locate(df: DataFrame, threshold: float = 0.85, autojunk: bool = True) -> Dat
     The tiers are columns; only rows that need the fuzzy comparison go through Python, in a branch
     of their own.
     """
+    bound_batches(df.sparkSession)
     tier = F.when(F.col("value").isNull(), "na_null").otherwise(T.locate(F.col("quote"), F.col("text")))
     staged = df.withColumn("match_type", tier)
     window = T.fuzzy_window(T.normalize(F.col("quote")), T.normalize(F.col("text")))

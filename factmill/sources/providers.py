@@ -1,8 +1,9 @@
 """Ports to models and services, with deterministic defaults that need no network.
 
-A provider answers a batch of requests. It is called inside mapInPandas, a batch at a time, and a
-request that fails becomes a row with an error, not a failed task. budget bounds the estimated
-tokens of one call's batch.
+A provider answers a batch of requests. It is called inside mapInArrow, and a request that fails
+becomes a row with an error, not a failed task. budget bounds the estimated tokens of one call's
+batch; the answers of each call leave Python before the next is made, so that what a worker holds
+doesn't grow with the table.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
+from .files import bound_batches
+
 Provider = Callable[[list[str]], list[str]]
 
 
@@ -34,25 +38,31 @@ def admitted(costs: list[int], budget: int) -> Iterator[range]:
 
 def call(df: DataFrame, column: str, provider: Provider, budget: int = 500_000, reserve: int = 2000) -> DataFrame:
     """df with ok, payload and error for the requests in a column."""
+    bound_batches(df.sparkSession)
     schema = df.schema.simpleString()[7:-1] + ",ok:boolean,payload:string,error:string"
 
-    def run(frames):
-        for f in frames:
-            answers: list[tuple] = []
-            requests = ["" if r is None else r for r in f[column]]
-            for part in admitted([max(1, len(r) // 4 + reserve) for r in requests], budget):
-                batch = [requests[i] for i in part]
+    def answered(requests: list[str]) -> list[tuple]:
+        try:
+            answers = [(True, a, None) for a in provider(requests)]
+        except Exception:  # one by one, so that the others keep their answers
+            answers = []
+            for r in requests:
                 try:
-                    answers += [(True, a, None) for a in provider(batch)]
-                except Exception:  # one by one, so that the others keep their answers
-                    for r in batch:
-                        try:
-                            answers.append((True, provider([r])[0], None))
-                        except Exception as e:
-                            answers.append((False, None, f"{type(e).__name__}: {e}"[:500]))
-            yield f.assign(ok=[a[0] for a in answers], payload=[a[1] for a in answers], error=[a[2] for a in answers])
+                    answers.append((True, provider([r])[0], None))
+                except Exception as e:
+                    answers.append((False, None, f"{type(e).__name__}: {e}"[:500]))
+        return answers
+
+    def run(batches):
+        for batch in batches:
+            asked = batch.column(column)
+            costs = [max(1, (n or 0) // 4 + reserve) for n in pa.compute.utf8_length(asked).to_pylist()]
+            for part in admitted(costs, budget):
+                answers = answered(["" if r is None else r for r in asked.slice(part.start, len(part)).to_pylist()])
+                told = [pa.array([a[i] for a in answers], kind) for i, kind in enumerate((pa.bool_(), pa.string(), pa.string()))]
+                yield pa.RecordBatch.from_arrays([*batch.slice(part.start, len(part)).columns, *told], [*batch.schema.names, "ok", "payload", "error"])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def call_with_fallback(df: DataFrame, column: str, provider: Callable[[list[str], str], list[str]], formats: tuple[str, ...] = ("json_schema", "json_object"), budget: int = 500_000) -> DataFrame:
@@ -91,15 +101,17 @@ def hashed_embedding(texts: list[str | None], dim: int = 64) -> list[list[float]
 
 def embed(df: DataFrame, text: str, embedding: Callable[[list[str | None]], list[list[float]]] = hashed_embedding, batch: int = 100) -> DataFrame:
     """df with embedding, in requests of so many texts, order kept."""
+    bound_batches(df.sparkSession)
     schema = df.schema.simpleString()[7:-1] + ",embedding:array<float>"
 
-    def run(frames):
-        for f in frames:
-            texts = f[text].tolist()
-            vectors = [v for i in range(0, len(texts), batch) for v in embedding(texts[i : i + batch])]
-            yield f.assign(embedding=pd.Series(vectors, dtype=object))
+    def run(batches):
+        for whole in batches:
+            for i in range(0, whole.num_rows, batch):
+                part = whole.slice(i, batch)
+                vectors = pa.array(embedding(part.column(text).to_pylist()), pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, vectors], [*part.schema.names, "embedding"])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def layout_of_text(requests: list[str]) -> list[str]:

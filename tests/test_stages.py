@@ -335,3 +335,32 @@ def test_a_path_listed_twice_keeps_the_name_it_had(spark, store):
     bronze.run(store, listed(("1", "a"), ("2", "b"), ("3", "c")), "c1", later())
     got = sorted((r.file_name, r.content_hash, r.is_current) for r in store.read(bronze.TABLE).collect())
     assert got == [("1", "a", False), ("1", "a", False), ("1", "a", True), ("1", "b", True), ("1", "c", True)]
+
+
+def test_answers_leave_python_call_by_call(spark):
+    """A worker holds the answers of one call, not those of a whole batch of rows."""
+    import pyarrow as pa
+
+    class Rows:
+        """A table whose Python step is handed back, to be run here."""
+
+        sparkSession, schema = spark, spark.createDataFrame([], "i int, r string").schema
+
+        def mapInArrow(self, run, _):
+            return run
+
+    asked = []
+
+    def provider(requests):
+        asked.append(len(requests))
+        return [r.upper() for r in requests]
+
+    batch = pa.RecordBatch.from_pydict({"i": [1, 2, 3, None, 5], "r": ["a" * 40, None, "b" * 40, "c", "d" * 400]})
+    out = providers.call(Rows(), "r", provider, budget=12, reserve=1)([batch])
+    first = next(out)
+    assert asked == [2] and first.num_rows == 2 and first.column("payload").to_pylist() == ["A" * 40, ""]
+    rest = [r for b in out for r in b.to_pylist()]
+    assert asked == [2, 2, 1]
+    assert [(r["i"], r["ok"], r["payload"], r["error"]) for r in rest] == [(3, True, "B" * 40, None), (None, True, "C", None), (5, True, "D" * 400, None)]
+    vectors = providers.embed(Rows(), "r", lambda ts: asked.append(-len(ts)) or [[0.0]] * len(ts), 2)([batch])
+    assert next(vectors).num_rows == 2 and asked[-1] == -2
