@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, spelt out because \s differs between engines.
 SPACE = r"[ \t\n\r\f\x0B]+"
+BLANKS = " \t\n\r\f\x0b"
 #: Characters of a quote that have to be found literally before its surroundings are compared.
 ANCHOR = 40
 SLACK = 20
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def collapse(text: Column) -> Column:

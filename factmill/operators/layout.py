@@ -113,6 +113,14 @@ def document_quality(words: DataFrame, doc: str, high: float = 0.9, least: float
     return words.where("conf is not null").groupBy(doc).agg(share.alias("di_quality")).withColumn("di_quality_flag", F.when(F.col("di_quality") < least, "low").otherwise("ok"))
 
 
+def pages_quality(pages: Column, high: float = 0.9, least: float = 0.6) -> tuple[Column, Column]:
+    """document_quality() of one document's pages, as columns of its own row."""
+    words = F.flatten(F.filter(F.transform(pages, lambda p: p["words"]), lambda w: w.isNotNull()))
+    sure = F.transform(F.filter(words, lambda w: w["confidence"].isNotNull() & w["offset"].isNotNull()), lambda w: w["confidence"])
+    share = F.when(F.size(sure) > 0, F.size(F.filter(sure, lambda c: c >= high)) / F.size(sure))
+    return share, F.when(share < least, "low").when(share.isNotNull(), "ok")
+
+
 def cell_text(text: Column) -> Column:
     return F.trim(F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" ")), F.lit("|"), F.lit("\\|")))
 

@@ -30,4 +30,6 @@ def replaced(store: Store, table: str, rows: DataFrame, changed: DataFrame, acti
     """The table with the rows of changed keys replaced, and what isn't active any more closed; rows alone on the first run."""
     if not store.exists(table):
         return rows
+    if changed.isEmpty():  # no row of the table is joined to find that out
+        return scd2.tombstone(scd2.evolve(store.read(table), rows), active, key, now)
     return scd2.tombstone(scd2.expire_and_append(store.read(table), rows, changed, KEY, now), active, key, now)

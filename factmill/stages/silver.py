@@ -40,21 +40,28 @@ def extract(files: DataFrame, provider: providers.Provider = providers.layout_of
     """
     results = files if "result" in files.columns else analysed(files, provider)
     good = results.where("ok").select(KEY, "result")
-    blocks, tables = layout.build(good, KEY, described=described(good, describe) if describe else None, **options)
-    text = layout.blocks_to_text(blocks, KEY).withColumnRenamed("text", "rebuilt")
-    figures = blocks.where("type = 'figure'").select(KEY).distinct().withColumn("has_figures", F.lit(True))
-    read_well = layout.document_quality(layout.word_confidences(good, KEY), KEY, least=quality)
-    content = strip(F.col("result.content"))
-    rows = results.join(text, KEY, "left").join(figures, KEY, "left").join(read_well, KEY, "left")
-    ok = F.col("ok")
-    rows = rows.select(
-        *[c for c in files.columns if c not in ("content", "ok", "result", "error")],
-        F.when(ok, F.when(F.length(content) > 0, content).otherwise(F.coalesce("rebuilt", F.lit("")))).alias("extracted_text"),
-        F.when(ok, F.coalesce(F.size("result.pages"), F.lit(0))).alias("page_count"),
-        F.when(ok, F.coalesce(F.size("result.tables") > 0, F.lit(False))).alias("has_tables"),
-        F.when(ok, F.coalesce("has_figures", F.lit(False))).alias("has_figures"),
-        "di_quality", "di_quality_flag", F.col("error").alias("extraction_error"),
-    )
+    told = described(good, describe) if describe else None
+    blocks, tables = layout.build(good, KEY, described=told, **options)
+    ok, content = F.col("ok"), strip(F.col("result.content"))
+    # blocks tell of a text only where there is no content or where there are figures; no other row meets them
+    odd = F.coalesce(F.length(content) == 0, F.lit(True)) | F.coalesce(F.size("result.figures") > 0, F.lit(False))
+    few, _ = layout.build(good.where(odd), KEY, described=told, **options)
+    text = layout.blocks_to_text(few, KEY).withColumnRenamed("text", "rebuilt")
+    figures = few.where("type = 'figure'").select(KEY).distinct().withColumn("has_figures", F.lit(True))
+    share, flag = layout.pages_quality(F.col("result.pages"), least=quality)
+
+    def row(df: DataFrame, rebuilt: Column, has_figures: Column) -> DataFrame:
+        return df.select(
+            *[c for c in files.columns if c not in ("content", "ok", "result", "error")],
+            F.when(ok, F.when(F.length(content) > 0, content).otherwise(F.coalesce(rebuilt, F.lit("")))).alias("extracted_text"),
+            F.when(ok, F.coalesce(F.size("result.pages"), F.lit(0))).alias("page_count"),
+            F.when(ok, F.coalesce(F.size("result.tables") > 0, F.lit(False))).alias("has_tables"),
+            F.when(ok, F.coalesce(has_figures, F.lit(False))).alias("has_figures"),
+            F.when(ok, share).alias("di_quality"), F.when(ok, flag).alias("di_quality_flag"), F.col("error").alias("extraction_error"),
+        )
+
+    plain = row(results.where(~odd), F.lit(None).cast("string"), F.lit(None).cast("boolean"))
+    rows = plain.unionByName(row(results.where(odd).join(text, KEY, "left").join(figures, KEY, "left"), F.col("rebuilt"), F.col("has_figures")))
     return rows, blocks, tables
 
 
@@ -68,7 +75,11 @@ def run(store: Store, files: DataFrame, code: str, now: Column, provider: provid
     known = lambda df, name, suffix: stamped(df.join(versions, KEY).withColumn(name, ids.safe_key(F.col(KEY), suffix, F.col("version_id"))), now)
     blocks, tables = known(blocks, "block_id", F.col("block_index")), known(tables, "table_uid", F.col("table_id"))
     text = text.withColumn("valid_from", now)
-    text = scd2.tombstone(scd2.merge(store.read(TEXT), text, KEY), active, KEY, now) if store.exists(TEXT) else scd2.fresh(text)
+    if store.exists(TEXT):
+        before = store.read(TEXT)
+        text = scd2.tombstone(scd2.evolve(before, text) if read.isEmpty() else scd2.merge(before, text, KEY), active, KEY, now)
+    else:
+        text = scd2.fresh(text)
     done = store.commit(**{TEXT: text, BLOCKS: replaced(store, BLOCKS, blocks, read, active, now), TABLES: replaced(store, TABLES, tables, read, active, now)})
     store.clear()
     return done

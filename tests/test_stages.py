@@ -364,3 +364,26 @@ def test_answers_leave_python_call_by_call(spark):
     assert [(r["i"], r["ok"], r["payload"], r["error"]) for r in rest] == [(3, True, "B" * 40, None), (None, True, "C", None), (5, True, "D" * 400, None)]
     vectors = providers.embed(Rows(), "r", lambda ts: asked.append(-len(ts)) or [[0.0]] * len(ts), 2)([batch])
     assert next(vectors).num_rows == 2 and asked[-1] == -2
+
+
+def test_text_needs_blocks_of_few_documents_only(spark):
+    """Quality comes from a document's own row; white space goes at the very ends alone; blank content and figures still ask the blocks."""
+    from factmill.functions import text as T
+
+    word = lambda at, conf: {"offset": at, "length": 1, "confidence": conf}
+    page = lambda words: {"width": 1.0, "height": 1.0, "words": words}
+    made = {
+        "a": {"content": " whole \u2028", "pages": [page([word(0, 0.95), word(None, 0.1), word(2, None)]), page(None), page([word(4, 0.2), word(5, 0.9)])], "figures": []},
+        "b": {"content": " \n", "pages": None, "figures": None},
+        "c": {"content": "text", "pages": [page([word(0, 0.1)])], "figures": [{"id": None, "caption": "map", "ocr": None, "regions": [{"page": 1}], "spans": [{"offset": 0, "length": 1}]}]},
+    }
+    prose = [{"role": None, "content": "said", "regions": [{"page": 1}], "spans": [{"offset": 0, "length": 4}]}]
+    given = spark.createDataFrame([(k, json.dumps(v | {"paragraphs": prose, "tables": []})) for k, v in made.items()], "relative_path string, content string")
+    text, _, _ = silver.extract(given, lambda rs: rs)
+    got = {r.relative_path: (r.extracted_text, r.page_count, r.has_figures, r.di_quality, r.di_quality_flag) for r in text.collect()}
+    assert got == {"a": ("whole \u2028", 3, False, 2 / 3, "ok"), "b": ("said", 0, False, None, None), "c": ("text", 1, True, 0.0, "low")}
+    share, flag = layout.pages_quality(F.col("result.pages"))
+    results = given.select("relative_path", F.from_json("content", layout.RESULT).alias("result"))
+    old = layout.document_quality(layout.word_confidences(results, "relative_path"), "relative_path")
+    assert sorted(results.select("relative_path", share.alias("q"), flag.alias("f")).where("q is not null").collect()) == sorted(old.collect())
+    assert spark.range(1).select(T.strip(F.lit("\t x \u2028"))).first()[0] == "x \u2028"
