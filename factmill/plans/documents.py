@@ -204,7 +204,7 @@ _COS = """c AS (SELECT q.vec_id AS q, e.vec_id, e.label, list_cosine_similarity(
 def _cosines(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("qe"), "label")
-    return q.join(e, "label").where("q <> vec_id").select("q", "vec_id", "label", S.cosine(F.col("qe"), F.col("embedding")).alias("score"))
+    return S.nearest(q, e, "q", "vec_id", "label", 5)
 
 
 @query(f"WITH {_COS} SELECT q, vec_id, round(score, 4) AS score, r::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(score, 4) DESC, vec_id) AS r FROM c) WHERE r <= 5")

@@ -387,3 +387,25 @@ def test_text_needs_blocks_of_few_documents_only(spark):
     old = layout.document_quality(layout.word_confidences(results, "relative_path"), "relative_path")
     assert sorted(results.select("relative_path", share.alias("q"), flag.alias("f")).where("q is not null").collect()) == sorted(old.collect())
     assert spark.range(1).select(T.strip(F.lit("\t x \u2028"))).first()[0] == "x \u2028"
+
+
+def test_nearest_holds_the_best_of_all_pairs(spark):
+    """Against cosine() over every pair: copies and ties, no vector, nulls in it, zero and NaN, other lengths, many deals and blocks."""
+    import random
+
+    draw = random.Random(7)
+    rows = [(i, i % 3, [float(draw.randint(-2, 2)) for _ in range(4)]) for i in range(120)]
+    rows += [(200 + i, 0, [1.0, 2.0, 0.0, 1.0]) for i in range(30)]
+    rows += [(300, 1, None), (301, 1, [1.0, None, 0.0, 1.0]), (302, 1, [0.0] * 4), (303, 1, [1.0, 2.0]), (304, 1, [float("nan"), 1.0, 0.0, 0.0]), (305, None, [1.0] * 4), (306, 9, [1.0] * 4), (307, 9, [])]
+    e = spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>")
+    q = e.where("vec_id % 10 = 0 or vec_id >= 300").select(F.col("vec_id").alias("q"), F.col("embedding").alias("qe"), "label")
+    every = q.join(e, "label").where("q <> vec_id").select("q", "vec_id", "label", search.cosine(F.col("qe"), F.col("embedding")).alias("score"))
+    best = lambda df: sorted((r.q, r.rank, r.vec_id, r.label, str(r.score)) for r in search.top_k(df.withColumn("score", F.round("score", 4)), ["q"], 5, "vec_id").collect())
+    wanted = best(every)
+    assert best(search.nearest(q, e, "q", "vec_id", "label", 5)) == wanted
+    few = search.nearest(q, e, "q", "vec_id", "label", 5, per_deal=20, block=30)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that groups lie apart
+    try:
+        assert best(few) == wanted and few.count() < every.count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
